@@ -244,7 +244,9 @@ _cut = "'(?s)<script.*?</script>|<style.*?</style>|<!--.*?-->|<!DOCTYPE[^>]*>|</
 
 def plain(markup: str) -> str:
     """Text of a piece of page markup."""
-    text = f"regexp_replace({markup}, {_cut}, '', 'g')"
+    # a known entity may lack its semicolon before a tag
+    text = f"regexp_replace({markup}, '&(amp|quot|copy|middot|lt|gt)<', '&\\1;<', 'g')"
+    text = f"regexp_replace({text}, {_cut}, '', 'g')"
     text = f"regexp_replace({text}, '&([a-z]+)$', '\\1')"
     for name, character in [("quot", '"'), ("copy", "©"), ("middot", "·"), ("lt", "<"), ("gt", ">"), ("amp", "&")]:
         text = f"replace({text}, '&{name};', '{character}')"

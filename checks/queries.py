@@ -5,8 +5,6 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from checks import inputs
 from checks.inputs import articles, folder, pick, scraped_articles, stories, table
 from pressmill.functions import rules
-from pressmill.functions.html_reader import read_texts
-from pressmill.functions.site_rules import EMPTY_PAGE_SITES, SITES
 from pressmill.operators import extract, fetch, html, imports, search, state, stats, tasks
 from pressmill.plans.articles import extract_batch, import_batch, scrape_batch
 from pressmill.plans.stories import scrape_stories, story_query

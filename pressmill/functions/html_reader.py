@@ -15,7 +15,6 @@ import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import from_arrow_type
-from pyspark.sql.types import StringType
 
 # The readers travel with the job, so executors need no installed package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -39,6 +38,7 @@ PAGE = pa.struct([
     ("page_text", pa.string()),
     ("p_texts", pa.list_(pa.string())),
     ("els", pa.list_(ELEMENT)),
+    ("fragment_text", pa.string()),
     ("failed", pa.bool_()),
 ])
 PAGE_TYPE = from_arrow_type(PAGE)
@@ -198,35 +198,37 @@ class PageReader(HTMLParser):
                 }
                 for position, (tag, attrs, (start, end), script) in enumerate(self.elements)
             ],
+            "fragment_text": None,
             "failed": False,
         }
 
 
-UNREADABLE = {"page_text": None, "p_texts": None, "els": None, "failed": True}
+UNREADABLE = {"page_text": None, "p_texts": None, "els": None, "fragment_text": None, "failed": True}
 
 
-def read_page(html, wanted=None):
-    """Parts of one page; null stays null, unreadable markup is marked."""
+def read_page(html, wanted=None, fragment=None):
+    """Parts of one page, and the text of a fragment that goes with it.
+
+    Null stays null; unreadable markup is marked.
+    """
     if html is None:
         return None
     try:
-        return PageReader(wanted).read(html)
+        page = PageReader(wanted).read(html)
+        if fragment is not None:
+            page["fragment_text"] = PageReader(None).read(fragment)["page_text"]
+        return page
     except (AssertionError, ValueError):
         return UNREADABLE
 
 
-def _read_pages(html: pa.Array, wanted: pa.Array) -> pa.Array:
-    return pa.array(
-        [read_page(h.as_py(), w.as_py()) for h, w in zip(html, wanted)], type=PAGE
+def _read_pages(html: pa.Array, wanted: pa.Array, fragment: pa.Array) -> pa.Array:
+    pages = (
+        read_page(h.as_py(), w.as_py(), f.as_py()) for h, w, f in zip(html, wanted, fragment)
     )
-
-
-def _read_texts(html: pa.Array) -> pa.Array:
-    parts = (read_page(h.as_py()) for h in html)
-    return pa.array([p and p["page_text"] for p in parts], type=pa.string())
+    return pa.array(list(pages), type=PAGE)
 
 
 # Marked non-deterministic so that the optimizer never repeats a page parse
 # when it merges projections or moves filters.
 read_pages = F.arrow_udf(_read_pages, PAGE_TYPE).asNondeterministic()
-read_texts = F.arrow_udf(_read_texts, StringType()).asNondeterministic()

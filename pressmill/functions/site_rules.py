@@ -3,8 +3,9 @@
 A site says which URLs it covers, which page elements it needs, and two SQL
 expressions: its result (article text or error label; null means "use the
 paragraphs") and when reading it fails.  They use the columns ``_url``,
-``_body`` (the raw page), ``els``, ``p_texts`` and ``_fragment`` (the text of
-HTML found by ``fragment_html``), and are evaluated on the site's own pages only.
+``_body`` (the raw page), ``els``, ``p_texts`` and ``fragment_text`` (the text of
+what ``fragment_html`` found in the raw page), and are evaluated on the site's
+own pages only.
 """
 
 from dataclasses import dataclass
@@ -117,7 +118,9 @@ FUSION_TEXT = f"array_join(transform(filter({FUSION_ITEMS}, i -> i.type = 'text'
 FUSION_FAILED = f"""coalesce(exists({FUSION_ITEMS},
     i -> i.type IS NULL OR (i.type = 'text' AND i.content IS NULL)), true)"""
 
-STORY_SCRIPT = f"get(filter({texts(elements('script'))}, s -> coalesce(contains(s, 'pgStoryZeroJSON'), false)), 0)"
+# Scripts of the raw page; a comment outside a script is passed over whole.
+RAW_SCRIPTS = "regexp_extract_all(_body, '(?is)<!--.*?-->|<script\\\\b[^>]*>(.*?)</script\\\\s*>', 1)"
+STORY_SCRIPT = f"get(filter({RAW_SCRIPTS}, s -> contains(s, 'pgStoryZeroJSON')), 0)"
 STORY_JSON = f"replace(replace({STORY_SCRIPT}, 'pgStoryZeroJSON = ', ''), '\\n', '')"
 # Cut out as text where the JSON is broken; the comma after the value stays.
 STORY_CUT = f"regexp_extract({STORY_JSON}, '(?d)body\": \"(.*?\",)', 1)"
@@ -143,11 +146,11 @@ SITES = [
     element_site("X2", in_url("miamiherald.typepad.com"), "div", "id", "story-content"),
     element_site("X3", in_url("dailywire.com"), "div", "id", "post-body-text"),
     Site("X4", in_url("nationalreview.com"),
-         f"CASE WHEN {HAS_PRELOADED} THEN {strip('_fragment')} ELSE {label_sql('No text fathered')} END",
-         f"{HAS_PRELOADED} AND _fragment IS NULL", fragment_html=PRELOADED_HTML),
+         f"CASE WHEN {HAS_PRELOADED} THEN {strip('fragment_text')} ELSE {label_sql('No text fathered')} END",
+         f"{HAS_PRELOADED} AND fragment_text IS NULL", fragment_html=PRELOADED_HTML),
     Site("X5", in_url("columbiaspectator.com"), FUSION_TEXT, FUSION_FAILED),
-    Site("X6", in_url("toledoblade"), strip("_fragment"), "_fragment IS NULL",
-         f"{STORY_SCRIPT} IS NULL", SCRIPTS, STORY_HTML),
+    Site("X6", in_url("toledoblade"), strip("fragment_text"), "fragment_text IS NULL",
+         f"{STORY_SCRIPT} IS NULL", fragment_html=STORY_HTML),
     element_site("X7", in_url("blacknews.com/news"), "div", "class", "post-body entry-content"),
     Site("X8", in_url("thepoliticalinsider"),
          f"""CASE WHEN size({elements(*INSIDER)}) > 0 THEN {join_stripped(texts(elements(*INSIDER)))}

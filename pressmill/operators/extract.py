@@ -2,7 +2,6 @@
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from pressmill.functions.html_reader import read_texts
 from pressmill.functions.rules import (
     empty_page_result, last_resort_label, page_text_label, url_label,
 )
@@ -38,15 +37,15 @@ def extract_parts(pages: DataFrame, url: str = "url", html: str = "html",
     df = pages.withColumns({"_url": F.col(url), "_body": body}).withColumns({
         "_first_site": F.expr(site_of_url(SITES)),
         "_empty_site": F.expr(site_of_url(EMPTY_PAGE_SITES)),
-        "_wanted": F.expr(wanted_elements()),
     })
-    df = page_parts(df, "_body", F.col("_wanted"))
-    # text inside scripts, for the few sites that hide it there; null for others
+    df = page_parts(
+        df, "_body", F.expr(wanted_elements()),
+        F.expr(by_site("_first_site", SITES, "fragment_html", "NULL")),
+    )
     df = df.withColumns({
         "_site": F.expr(fall_through("_first_site")),
         "_lower_text": F.lower("page_text"),
         "_empty": is_empty("p_texts"),
-        "_fragment": read_texts(F.expr(by_site("_first_site", SITES, "fragment_html", "NULL"))),
     })
     df = df.withColumns({
         "page_label": page_text_label("_lower_text"),
@@ -64,8 +63,8 @@ def extract_parts(pages: DataFrame, url: str = "url", html: str = "html",
         "empty_failed": F.coalesce(unexplained & failed, F.lit(False)),
     }).withColumn(
         "extract_exception", F.col("parse_failed") | F.col("site_failed") | F.col("empty_failed")
-    ).drop("_url", "_body", "_first_site", "_empty_site", "_wanted", "_site", "_lower_text",
-           "_empty", "_fragment", "_by_rules")
+    ).drop("_url", "_body", "_first_site", "_empty_site", "_site", "_lower_text", "_empty",
+           "_by_rules")
 
 
 def resolve_pair(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:

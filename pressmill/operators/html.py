@@ -8,25 +8,30 @@ from pressmill.functions.text import join_stripped, strip
 WANTED = "array<struct<tag: string, attr: string, value: string>>"
 
 
-def page_parts(pages: DataFrame, html: str = "html", wanted: Column | None = None) -> DataFrame:
+def page_parts(pages: DataFrame, html: str = "html", wanted: Column | None = None,
+               fragment: Column | None = None) -> DataFrame:
     """Parse every page once and add its parts.
 
     Adds ``page_text``, ``p_texts`` (text of each paragraph), ``els`` (the
     elements asked for) and ``parse_failed``.  ``wanted`` is an array of
     ``(tag, attr, value)``, usually an expression over the URL, and is null for
-    pages that need no elements: only those then leave the Python worker.  A
-    null ``html`` is not parsed.
+    pages that need no elements: only those then leave the Python worker.
+    ``fragment`` is HTML found inside a script; its text is added as
+    ``fragment_text``.  A null ``html`` is not parsed.
 
     The parse is a scalar Arrow UDF: only the page body crosses to Python, all
     other columns wait in the JVM, and there is no shuffle.
     """
     wanted = F.lit(None) if wanted is None else wanted
+    fragment = F.lit(None) if fragment is None else fragment
     return (
-        pages.withColumn("_page", read_pages(F.col(html), wanted.cast(WANTED)))
+        pages.withColumn(
+            "_page", read_pages(F.col(html), wanted.cast(WANTED), fragment.cast("string")))
         .withColumns({
             "page_text": F.col("_page.page_text"),
             "p_texts": F.col("_page.p_texts"),
             "els": F.col("_page.els"),
+            "fragment_text": F.col("_page.fragment_text"),
             "parse_failed": F.coalesce("_page.failed", F.lit(False)),
         })
         .drop("_page")
