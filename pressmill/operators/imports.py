@@ -18,6 +18,10 @@ WHOLE_NUMBER = "^ *[+-]?[0-9]+([.]0*)? *$"
 _TEXT_OF = "try_variant_get({v}, '$', 'string')"
 _IS_NUMBER = "({t} = 'BIGINT' OR {t} LIKE 'DECIMAL%' OR {t} IN ('DOUBLE', 'FLOAT'))"
 _IN = lambda texts: "(" + ", ".join(f"'{t}'" for t in texts) + ")"
+_PARTS_FIT = " AND ".join(
+    f"coalesce(schema_of_variant(variant_get({{v}}, '$.{field.name}')), 'VOID') RLIKE '^(VOID|OBJECT)'"
+    for field in METADATA
+)
 CONVERT = {
     STRING: f"CASE WHEN {{t}} = 'STRING' THEN {_TEXT_OF} END",
     INTEGER: f"""CASE WHEN {{t}} = 'BOOLEAN' THEN CAST(try_variant_get({{v}}, '$', 'boolean') AS BIGINT)
@@ -29,10 +33,12 @@ CONVERT = {
         WHEN {{t}} = 'STRING' THEN CASE WHEN lower({_TEXT_OF}) IN {_IN(TRUE_TEXTS)} THEN true
             WHEN lower({_TEXT_OF}) IN {_IN(FALSE_TEXTS)} THEN false END
         WHEN {_IS_NUMBER} THEN CASE try_variant_get({{v}}, '$', 'double') WHEN 1 THEN true WHEN 0 THEN false END END""",
-    OBJECT: f"CASE WHEN {{t}} LIKE 'OBJECT%' THEN try_variant_get({{v}}, '$', '{METADATA.simpleString()}') END",
+    OBJECT: f"""CASE WHEN {{t}} LIKE 'OBJECT%' AND {_PARTS_FIT}
+        THEN try_variant_get({{v}}, '$', '{METADATA.simpleString()}') END""",
     # an absent list means an empty one; an explicit null stays null
     LIST: f"""CASE WHEN {{v}} IS NULL THEN CAST(array() AS {TAGS.simpleString()})
-        WHEN {{t}} LIKE 'ARRAY%' THEN try_variant_get({{v}}, '$', '{TAGS.simpleString()}') END""",
+        WHEN {{t}} LIKE 'ARRAY%' AND forall(try_variant_get({{v}}, '$', 'array<variant>'),
+            i -> schema_of_variant(i) LIKE 'OBJECT%') THEN try_variant_get({{v}}, '$', '{TAGS.simpleString()}') END""",
 }
 
 

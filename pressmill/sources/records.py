@@ -45,7 +45,7 @@ def read_lines(spark: SparkSession, folder: str, pattern: str = "*.json") -> Dat
 
 def is_record(value: str) -> Column:
     """True for a line that holds exactly one JSON object."""
-    return F.expr(f"({one_record(value, '_: string')}) IS NOT NULL")
+    return F.expr(f"size({one_record(value, '_: string')}) = 1")
 
 
 def read_article_lines(spark: SparkSession, folder: str,
