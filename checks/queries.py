@@ -489,7 +489,7 @@ def last_resort_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def page_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """H1: raw pages, with unclosed paragraphs and cut-off ends."""
-    parts = html.page_parts(table(spark, sf_dir, "pages"))
+    parts = html.page_parts(html.spread(table(spark, sf_dir, "pages")))
     return parts.select("page_id", F.md5("page_text").alias("text_md5"),
                         F.size("p_texts").cast("bigint").alias("n_paragraphs"), "parse_failed")
 
@@ -497,7 +497,7 @@ def page_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def page_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """H2: paragraph text of raw pages; an unclosed paragraph holds the next ones."""
-    parts = html.page_parts(table(spark, sf_dir, "pages"))
+    parts = html.page_parts(html.spread(table(spark, sf_dir, "pages")))
     text = html.paragraph_text()
     return parts.select("page_id", F.length(text).cast("bigint").alias("n_chars"), F.md5(text).alias("text_md5"))
 
@@ -609,7 +609,7 @@ def resolve_pair(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def resolve_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """X22 on raw pages."""
-    resolved = extract.resolve_pair(table(spark, sf_dir, "pages"))
+    resolved = extract.resolve_pair(html.spread(table(spark, sf_dir, "pages")))
     return resolved.select("page_id", F.md5("text").alias("text_md5"), "error", "extract_exception")
 
 

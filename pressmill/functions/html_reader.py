@@ -71,6 +71,9 @@ class PageReader(HTMLParser):
         self.closed_void = []                 # void tags whose end tag is to be ignored
         self.paragraphs, self.elements = [], []
 
+    def updatepos(self, start, end):
+        return end  # line numbers are not needed, and counting them takes time
+
     # -- text ---------------------------------------------------------------
     def handle_data(self, data):
         self.pending.append(data)
@@ -222,11 +225,17 @@ def read_page(html, wanted=None, fragment=None):
         return UNREADABLE
 
 
+NO_PAGE = dict.fromkeys(PAGE.names)
+
+
 def _read_pages(html: pa.Array, wanted: pa.Array, fragment: pa.Array) -> pa.Array:
-    pages = (
-        read_page(h.as_py(), w.as_py(), f.as_py()) for h, w, f in zip(html, wanted, fragment)
-    )
-    return pa.array(list(pages), type=PAGE)
+    pages = [
+        read_page(h.as_py(), w.as_py(), f.as_py()) or NO_PAGE
+        for h, w, f in zip(html, wanted, fragment)
+    ]
+    # column by column, which Arrow builds much faster than a list of records
+    columns = [pa.array([page[f.name] for page in pages], type=f.type) for f in PAGE]
+    return pa.StructArray.from_arrays(columns, fields=list(PAGE))
 
 
 # Marked non-deterministic so that the optimizer never repeats a page parse

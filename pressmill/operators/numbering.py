@@ -13,7 +13,7 @@ def in_order(df: DataFrame, *order: Column | str) -> DataFrame:
     ``_part`` numbers the ranges in order and ``_at`` the rows within a range.
     Ranges are cut from a sample of the keys, so they are even as long as
     ``order`` ends in a unique column.  The result is written once, because both
-    numbers depend on where the ranges were cut.
+    numbers depend on where the ranges were cut; so pass only the columns needed.
     """
     row_id = F.monotonically_increasing_id()
     ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)
@@ -28,14 +28,15 @@ def in_order(df: DataFrame, *order: Column | str) -> DataFrame:
 def add_totals_before(df: DataFrame, totals: DataFrame, total: str, by: list[str]) -> DataFrame:
     """Join to each row the sum of ``total`` over the earlier ranges, as ``_before``.
 
-    ``totals`` has one row per range (and per ``by`` value within it): its size
-    follows the number of partitions, not of rows.
+    ``totals`` has one row per range and ``by`` value in it.  Ranges are
+    contiguous, so that is at most one row per shuffle partition plus one per
+    ``by`` value, whatever the number of rows: small enough to broadcast.
     """
     earlier = Window.partitionBy(*by).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     before = totals.select(
         *by, "_part", F.coalesce(F.sum(total).over(earlier), F.lit(0)).cast("bigint").alias("_before")
     )
-    return df.join(before, [*by, "_part"])
+    return df.join(F.broadcast(before), [*by, "_part"])
 
 
 def number_rows(df: DataFrame, *order: Column | str, name: str = "position") -> DataFrame:

@@ -13,7 +13,7 @@ from pressmill.session import write_between
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-# Up to this many rows a limit is a per-partition top-n; beyond it, a row number.
+# Up to this many rows a limit is a per-partition top-n; beyond it, a cut by id.
 TOP_N = 10_000
 
 
@@ -23,7 +23,8 @@ def fetch_tasks(articles: DataFrame, batch_id: int | None = None, status: str |
     """Rows of a status and batch; no batch or no status means any, limit 0 means all.
 
     The lowest ids are taken, so that the choice is stable.  A large limit never
-    gathers its rows in one task: rows get their number and are filtered by it.
+    gathers its rows in one task: the ids alone are numbered to find the last one
+    to take, and the tasks are then filtered by it in the scan.
     """
     if status:
         articles = articles.filter(F.col("status") == status)
@@ -34,7 +35,8 @@ def fetch_tasks(articles: DataFrame, batch_id: int | None = None, status: str |
         return tasks
     if limit <= TOP_N:
         return tasks.orderBy(order).limit(limit)
-    return number_rows(tasks, order, name="_n").filter(F.col("_n") < limit).drop("_n")
+    last = number_rows(tasks.select(order), order).filter(F.col("position") == limit - 1).first()
+    return tasks if last is None else tasks.filter(F.col(order) <= last[order])
 
 
 def retry_filter(tasks: DataFrame, max_retries: int = 5) -> DataFrame:
@@ -164,7 +166,8 @@ def pause_plan(stories: DataFrame, order: str, min_s: int = 1, max_s: int = 5, s
     previous = F.when(first, F.col("_entering")).otherwise(F.lag(domain).over(here))
     waits = ~F.col("_gated") & F.col(domain).eqNullSafe(previous)
     paused = write_between(
-        rows.join(entering, [*by, "_part"])
+        # as few rows as there are ranges and blocks
+        rows.join(F.broadcast(entering), [*by, "_part"])
         .withColumn("pause", F.when(waits, pause).otherwise(F.lit(0)))
         .withColumn("_so_far", F.sum("pause").over(here))
         .drop("_entering")

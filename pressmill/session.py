@@ -5,12 +5,11 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Settings worth having on any cluster.  Page bodies are large, so Arrow
-# batches are kept small; sizes of shuffles and joins are left to AQE.
+# Settings worth having on any cluster.  Sizes of shuffles and joins are left to
+# AQE, and Spark bounds Arrow batches of page bodies by their bytes.
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.execution.arrow.maxRecordsPerBatch": "500",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.variant.allowDuplicateKeys": "true",
