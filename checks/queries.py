@@ -566,7 +566,7 @@ def _site_query(id: str):
         pages = table(spark, sf_dir, "documents").selectExpr(
             "doc_id", f"concat('{url}', CAST(doc_id AS STRING)) AS url",
             f"concat('<html><body>', {page}, '</body></html>') AS html")
-        parts = extract.extract_parts(pages)
+        parts = extract.extract_parts(html.spread(pages))
         return parts.select("doc_id", F.coalesce("site_result", "empty_result").alias("result"), "extract_exception")
 
     run.__doc__ = f"{id}: the text of every document placed in a page of the site."
@@ -596,13 +596,13 @@ def _mixed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def resolve_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
     """X21."""
-    return extract.resolve_strict(_mixed_pages(spark, sf_dir)).select("doc_id", "text", "extract_exception")
+    return extract.resolve_strict(html.spread(_mixed_pages(spark, sf_dir))).select("doc_id", "text", "extract_exception")
 
 
 @query
 def resolve_pair(spark: SparkSession, sf_dir: str) -> DataFrame:
     """X22."""
-    return extract.resolve_pair(_mixed_pages(spark, sf_dir), html="content").select(
+    return extract.resolve_pair(html.spread(_mixed_pages(spark, sf_dir)), html="content").select(
         "doc_id", "text", "error", "extract_exception")
 
 
@@ -617,7 +617,7 @@ def resolve_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 def extraction_update(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows without a stored page give no update."""
     pages = _mixed_pages(spark, sf_dir).withColumn("content_html", F.expr("CASE WHEN doc_id % 6 <> 0 THEN concat('c', CAST(doc_id AS STRING)) END"))
-    done = extract.extraction_update(extract.resolve_pair(pages, html="content"))
+    done = extract.extraction_update(extract.resolve_pair(html.spread(pages), html="content"))
     return done.select("doc_id", "text_extracted", "abstract", "parsing_error")
 
 

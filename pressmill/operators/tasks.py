@@ -94,7 +94,7 @@ def site_blocks(tasks: DataFrame, n: int, site: str = "media_url", order: str =
     loads, placed = [0] * n, None
     for start in range(0, max(n_sites, 1), chunk_sites):
         chunk = numbered.filter(F.col("position").between(start, start + chunk_sites - 1))
-        rows = chunk.coalesce(1).sortWithinPartitions("position")
+        rows = chunk.repartition(1).sortWithinPartitions("position")
         done = write_between(rows.mapInPandas(_place(loads), f"{sites.schema[site].simpleString()}, "
                                               "n_tasks bigint, position bigint, block int"))
         placed = done if placed is None else placed.unionByName(done)

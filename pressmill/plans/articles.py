@@ -78,7 +78,10 @@ def extract_batch(articles: DataFrame, content: DataFrame, batch_id: int | None
     tasks = fetch_tasks(articles, batch_id, status, limit,
                         ["article_id", "url", "tries", "scraping_result"])
     refs = tasks.withColumn("content_html", F.col("scraping_result.content_html")).drop("scraping_result")
-    refs = refs.filter(F.col("content_html").isNotNull())
+    # references are narrow: spread them by their hash key, so that pages are read
+    # and parsed in as many tasks as the session is set for
+    partitions = int(articles.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    refs = refs.filter(F.col("content_html").isNotNull()).repartition(partitions, "content_html")
     pages = get_content(refs, content.filter(F.col("kind") == "html"), "content_html")
     resolved = extraction_update(resolve_pair(pages, html="body"))
     done = write_between(resolved.select(
