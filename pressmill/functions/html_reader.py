@@ -7,6 +7,7 @@ there is none; an unclosed ``<p>`` therefore nests; void elements hold nothing;
 the text of scripts, styles, templates and ruby notes is not page text.
 """
 
+import re
 import sys
 from html.entities import html5
 from html.parser import HTMLParser
@@ -28,6 +29,19 @@ HIDDEN = frozenset(["script", "style", "template", "rt", "rp"])
 KEEPS_SPACE = frozenset(["pre", "textarea"])
 BLANKS = " \n\t\f\r"
 
+# One token of ordinary markup, for pages whose attributes are not needed.
+TOKEN = re.compile(r"""
+    (?P<text> [^<&]+ | &(?=[^a-zA-Z\#]) )
+  | &\#(?P<number> [0-9]+ | [xX][0-9a-fA-F]+ ) (?=[^0-9a-fA-F]) ;?
+  | &(?P<name> [a-zA-Z][-.a-zA-Z0-9]* ) (?=[^a-zA-Z0-9]) ;?
+  | </(?P<end> [a-zA-Z][a-zA-Z0-9]* ) [ \t\n\r\f]* >
+  | <(?P<start> [a-zA-Z][a-zA-Z0-9]* )
+      (?: [ \t\n\r\f]+ [a-zA-Z_:][-a-zA-Z0-9_:.]* (?: = (?: "[^"]*" | '[^']*' | [^\s"'<>=`]+ ) )? )*
+      [ \t\n\r\f]* (?P<closed>/)? >
+  | (?P<other> <!-- .*? --\s*> | <![dD][oO][cC][tT][yY][pP][eE] [^>]* > )
+""", re.VERBOSE | re.DOTALL)
+RAW_END = {tag: re.compile(rf"</\s*{tag}\s*>", re.IGNORECASE) for tag in ("script", "style")}
+
 ELEMENT = pa.struct([
     ("ord", pa.int32()),
     ("tag", pa.string()),
@@ -181,10 +195,40 @@ class PageReader(HTMLParser):
         self.push(tag, attrs)
         self.handle_endtag(tag)
 
-    # -- result ---------------------------------------------------------------
-    def read(self, html):
-        self.feed(html)
-        self.close()
+    # -- reading --------------------------------------------------------------
+    def read_ordinary(self, html):
+        """Read by pattern, about twice as fast as `feed`; False where it does not apply."""
+        position = 0
+        while position < len(html):
+            token = TOKEN.match(html, position)
+            if token is None:
+                return False
+            kind, position = token.lastgroup, token.end()
+            if kind == "text":
+                self.pending.append(token[0])
+            elif kind == "end":
+                self.handle_endtag(token["end"].lower())
+            elif kind == "closed":
+                self.handle_startendtag(token["start"].lower(), ())
+            elif kind == "start":
+                tag = token["start"].lower()
+                self.handle_starttag(tag, ())
+                if tag in RAW_END:
+                    stop = RAW_END[tag].search(html, position)
+                    if stop is None:
+                        return False
+                    self.pending.append(html[position:stop.start()])
+                    self.handle_endtag(tag)
+                    position = stop.end()
+            elif kind == "name":
+                self.handle_entityref(token["name"])
+            elif kind == "number":
+                self.handle_charref(token["number"])
+            else:
+                self.flush()
+        return True
+
+    def parts(self):
         self.flush()
         while self.open:
             self.pop()
@@ -209,6 +253,15 @@ class PageReader(HTMLParser):
 UNREADABLE = {"page_text": None, "p_texts": None, "els": None, "fragment_text": None, "failed": True}
 
 
+def _parts(html, wanted=None):
+    reader = PageReader(wanted)
+    if wanted or not reader.read_ordinary(html):
+        reader = PageReader(wanted)
+        reader.feed(html)
+        reader.close()
+    return reader.parts()
+
+
 def read_page(html, wanted=None, fragment=None):
     """Parts of one page, and the text of a fragment that goes with it.
 
@@ -217,9 +270,9 @@ def read_page(html, wanted=None, fragment=None):
     if html is None:
         return None
     try:
-        page = PageReader(wanted).read(html)
+        page = _parts(html, wanted)
         if fragment is not None:
-            page["fragment_text"] = PageReader(None).read(fragment)["page_text"]
+            page["fragment_text"] = _parts(fragment)["page_text"]
         return page
     except (AssertionError, ValueError):
         return UNREADABLE

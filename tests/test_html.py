@@ -88,3 +88,29 @@ def test_page_is_parsed_once(spark):
         html.paragraph_text(), "page_text", html.is_empty())
     plan = used._jdf.queryExecution().executedPlan().toString()
     assert plan.count("ArrowEvalPython") == 1
+
+
+PIECES = """<p> <p class="a>b"> <P id=x data-k='"'> </p> </P > </p\xa0> <div> </div> <br> <br/> </br> <br /> <p/> <p\xa0x>
+ <script>a<b&amp;</script> <style>x</style> <script> </script > <SCRIPT>z</sCript> <script/> <pre> </pre> <template> </template>
+ <rt> </rt> <!--c--> <!-- a -- > <!--> --> <!doctype html> <!x> <?pi?> <![CDATA[x]]> < <3 </ </> </3> & &amp; &amp &amp-x &am
+ &#65; &#65 &#65a &# &#x; &#x41; &#150; &nope; &. text é \n  \t <a href=x/> <a b=c d> <a b='<p>'> <a "> <p =x> <p a==b> <b/ > <img src=x>""".split(" ")
+
+
+def test_both_ways_of_reading_agree():
+    import random
+
+    from pressmill.functions.html_reader import PageReader
+
+    rng, ordinary = random.Random(11), 0
+    for _ in range(20_000):
+        # few odd pieces, so that many pages are read by pattern to the end
+        page = "".join(rng.choice(PIECES) + rng.choice(["", "", " ", "x", "\n "]) for _ in range(rng.randrange(1, 7)))
+        fast = PageReader(None)
+        if not fast.read_ordinary(page):
+            continue
+        ordinary += 1
+        slow = PageReader(None)
+        slow.feed(page)
+        slow.close()
+        assert fast.parts() == slow.parts(), page
+    assert ordinary > 3_000
