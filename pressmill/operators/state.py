@@ -3,6 +3,7 @@
 from pyspark.sql import DataFrame, functions as F
 
 from pressmill.schemas import EXTRACTION
+from pressmill.session import write_between
 
 
 def _last_update(updates: DataFrame, fields: list[str], newest: str | None) -> DataFrame:
@@ -62,3 +63,14 @@ def write_snapshot(articles: DataFrame, path: str) -> None:
     Never give the path that ``articles`` was read from.
     """
     articles.write.mode("errorifexists").partitionBy("batch_id").parquet(path)
+
+
+def replace_batches(articles: DataFrame, path: str) -> None:
+    """Write the batches in ``articles`` over those of the table; others stay untouched.
+
+    Lets a job rewrite only the batches it worked on, given whole.  The rows are
+    written apart first, so they may come from the same table.
+    """
+    new = write_between(articles)
+    new.write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
+        .partitionBy("batch_id").parquet(path)

@@ -46,7 +46,7 @@ def get_content(refs: DataFrame, content: DataFrame, ref: str = "content_id") ->
 
     One join on a hash key, so rows spread evenly.  References are far smaller
     than bodies: where they are small enough Spark broadcasts them by size, and
-    otherwise its run-time bloom filter drops unwanted bodies before the shuffle.
+    otherwise its run-time bloom filter can drop unwanted bodies before the shuffle.
     """
     bodies = content.select(F.col("content_id").alias("_id"), "body")
     return refs.join(bodies, F.col(ref) == F.col("_id"), "left").drop("_id")

@@ -64,7 +64,6 @@ def test_content_round_trip(spark, tmp_path):
     assert got == {1: "é", 2: None, 3: None}
     info = content.content_info(refs, table)
     assert {r["article_id"]: r["stored_url"] for r in info.collect()} == {1: "u1", 2: None, 3: None}
-    scan = info._jdf.queryExecution().optimizedPlan().toString()
-    assert "body" not in scan.split("Relation")[-1].replace("body_", "") or True
+    # the bodies are not even read
     plan = info._jdf.queryExecution().executedPlan().toString()
     assert all("body:string" not in line for line in plan.splitlines() if "ReadSchema" in line)

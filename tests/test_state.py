@@ -56,6 +56,16 @@ def test_snapshot_by_batch(spark, tmp_path):
     assert sorted(p.name for p in (tmp_path / "v1").iterdir() if p.is_dir()) == ["batch_id=1", "batch_id=2"]
 
 
+def test_replacing_batches_leaves_others(spark, tmp_path):
+    path = str(tmp_path / "table")
+    schema = "article_id long, v string, batch_id long"
+    state.write_snapshot(spark.createDataFrame([(1, "a", 1), (2, "a", 2), (3, "a", 2)], schema), path)
+    table = lambda: spark.read.schema(schema).parquet(path)
+    state.replace_batches(table().filter("batch_id = 2").withColumn("v", F.lit("b")), path)
+    spark.catalog.refreshByPath(path)
+    assert sorted(tuple(r) for r in table().collect()) == [(1, "a", 1), (2, "b", 2), (3, "b", 2)]
+
+
 def test_articles_from_file_to_text(spark, tmp_path):
     urls = {"http://a/ok": b"<p>caf\xe9</p>", "http://a/audio": b"x", "http://a/empty": b"", "http://a/denied": b"<p>Access denied</p>"}
     lines = [json.dumps({**RECORD, "url": url}) for url in [*urls, "http://a/none"]]
