@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from pressmill.functions.rules import is_error
 from pressmill.operators.extract import extraction_update, resolve_pair, resolve_strict
 
 PAGES = [
@@ -48,6 +49,8 @@ def test_strict_stops_at_the_first_error(spark):
         "9": ("ERROR: Not in English", False), "10": ("ERROR: Not in English", False),
         "11": ("ERROR: requests.exceptions.ReadTimeout", False), "12.pdf": ("ERROR: Content is a pdf", False),
     }
+    errors = {r["url"] for r in resolve_strict(df).filter(is_error(F.col("text"))).collect()}
+    assert len(errors) == 10 and "http://a/1" not in errors
     anything = resolve_strict(df, english_only=False).filter(F.col("url") == "http://a/9").first()
     assert anything["text"] == "x"
 

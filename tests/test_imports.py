@@ -2,9 +2,6 @@
 
 import json
 
-import pytest
-from pyspark.sql import functions as F
-
 from pressmill.operators import imports
 from pressmill.plans.articles import import_batch
 from pressmill.schemas import ARTICLE, ARTICLE_FIELDS

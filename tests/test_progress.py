@@ -2,7 +2,7 @@
 
 import random
 
-from pressmill.operators.stats import count_status, diff_counts
+from pressmill.operators.stats import count_status
 from pressmill.schemas import STATUS_CHANGE
 from pressmill.streaming.progress import progress_stream, read_changes
 
