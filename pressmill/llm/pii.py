@@ -88,22 +88,31 @@ def _valid(kind: str, match: Column) -> Column:
     return F.when(F.length(digits).between(12, 19), luhn(digits)).otherwise(False)
 
 
+def _let(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def _found(text: Column, pattern: str, hint: str | None) -> Column:
     """All matches as ``(start, end, match)`` in code points, from the parts between them."""
-    matches = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    gaps = F.split(text, pattern, -1)
-    pairs = F.arrays_zip(matches.alias("m"), F.slice(gaps, F.lit(1), F.size(matches)).alias("g"))
     empty = F.array().cast("array<struct<start:long,end:long,match:string>>")
-    spans = F.aggregate(
-        pairs, F.struct(F.lit(0).cast("long").alias("at"), empty.alias("out")),
-        lambda s, p: F.struct(
-            (s["at"] + F.length(p["g"]) + F.length(p["m"])).cast("long").alias("at"),
-            F.concat(s["out"], F.array(F.struct(
-                (s["at"] + F.length(p["g"])).cast("long").alias("start"),
-                (s["at"] + F.length(p["g"]) + F.length(p["m"])).cast("long").alias("end"),
-                p["m"].alias("match")))).alias("out")))["out"]
+
+    def placed(matches: Column) -> Column:
+        gaps = F.slice(F.split(text, pattern, -1), F.lit(1), F.size(matches))
+        pairs = F.arrays_zip(matches.alias("m"), gaps.alias("g"))
+        return F.aggregate(
+            pairs, F.struct(F.lit(0).cast("long").alias("at"), empty.alias("out")),
+            lambda s, p: F.struct(
+                (s["at"] + F.length(p["g"]) + F.length(p["m"])).cast("long").alias("at"),
+                F.concat(s["out"], F.array(F.struct(
+                    (s["at"] + F.length(p["g"])).cast("long").alias("start"),
+                    (s["at"] + F.length(p["g"]) + F.length(p["m"])).cast("long").alias("end"),
+                    p["m"].alias("match")))).alias("out")))["out"]
+
     likely = text.rlike(r"[0-9]") if hint is None else text.contains(hint)
-    return F.when(likely & text.rlike(pattern), spans).otherwise(empty)
+    found = _let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)),
+                 lambda m: F.when(F.size(m) > 0, placed(m)).otherwise(empty))
+    return F.when(likely, found).otherwise(empty)
 
 
 def _vote(good: Column, bad: Column | None = None) -> Column:
@@ -128,9 +137,9 @@ def _judged(kind: str, span: Column, text: Column, strict: bool) -> Column:
         size.alias("size"))
 
 
-def candidates(text: Column) -> Column:
-    """All candidates of a text; looser ones only where they touch no strict one of any kind."""
-    text = F.coalesce(text, F.lit(""))
+def with_candidates(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """``docs`` with ``_candidates``; looser ones only where they touch no strict one of any kind."""
+    text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
 
     def strict(kind: str) -> Column:
         valid = F.filter(_found(text, STRICT[kind], HINT[kind]), lambda s: _valid(kind, s["match"]))
@@ -139,14 +148,12 @@ def candidates(text: Column) -> Column:
     def loose(kind: str) -> Column:
         return F.transform(_found(text, LOOSE[kind], LOOSE_HINT[kind]), lambda s: _judged(kind, s, text, False))
 
-    return F.struct(F.concat(*map(strict, KINDS)).alias("strict"), F.concat(*map(loose, KINDS)).alias("loose"))
-
+    def free(base: Column) -> Column:
+        apart = F.filter(F.concat(*map(loose, KINDS)), lambda s: ~F.exists(
+            base, lambda b: (s["start"] < b["end"]) & (b["start"] < s["end"])))
+        return F.concat(base, apart)
 
-def with_candidates(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    both = docs.withColumn("_both", candidates(F.col(f"`{text_col}`")))
-    free = F.filter("_both.loose", lambda s: ~F.exists(
-        "_both.strict", lambda b: (s["start"] < b["end"]) & (b["start"] < s["end"])))
-    return both.withColumn("_candidates", F.concat("_both.strict", free)).drop("_both")
+    return docs.withColumn("_candidates", _let(F.concat(*map(strict, KINDS)), free))
 
 
 def expectation_maximisation(counts: dict[Votes, float], base: set[Votes], rounds: int = 50) -> dict[Votes, float]:

@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from pressmill.llm import langid, mixing, packing, pii, simhash
+from pressmill.llm import langid, mixing, packing, pii, simhash, substring, suffix
 from pressmill.llm.common import held_out, learned, table
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     model = langid.fit(docs, learned("doc_id", 5))
@@ -15,6 +19,10 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", held_out("doc_id", 5).alias("held_out"), "lang_pred", "score", "rejected")
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents")).select(
         "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
@@ -47,7 +55,9 @@ def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
-    f.__name__: f for f in (op2_language_id, op5_best_fit_packing, op6_source_mixing, op8_simhash, op9_pii)
+    f.__name__: f for f in (
+        op1_suffix_dedup, op2_language_id, op3_substring_dedup, op5_best_fit_packing, op6_source_mixing,
+        op8_simhash, op9_pii)
 }
 
 MIXING_SQL = """
