@@ -27,18 +27,18 @@ STRICT = {
     "card": r"[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
-# What a text with a match must hold; cheaper to look for.
-HINT = {"email": "@", "ip": ".", "card": None, "phone": "+"}
+# Strict matches other than of email, and looser ones of card and phone, lie inside
+# one maximal run of these characters and look at no other one; such runs of some
+# length with a digit are found once and the patterns are tried on them alone.
+CHUNK = r"(?<![0-9\x20().+-])(?=[0-9\x20().+-]{7})[\x20().+-]*+[0-9][0-9\x20().+-]*+"
 
 # Looser candidates: spelled-out addresses, grouped digits without a country code,
-# card numbers with a slip, addresses of version 6.
+# card numbers with a slip.
 LOOSE = {
-    "email": r"(?i)(?<![a-z0-9._%+-])[a-z0-9._%+-]{1,64} ?(?:\(at\)|\[at\]) ?[a-z0-9-]{1,63} ?(?:\.|\(dot\)|\[dot\]) ?[a-z]{2,24}(?![a-z0-9-])",
-    "ip": r"(?<![0-9A-Fa-f:])(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}(?![0-9A-Fa-f:])",
+    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64} ?(?:\(at\)|\[at\]) ?[A-Za-z0-9-]{1,63} ?(?:\.|\(dot\)|\[dot\]) ?[A-Za-z]{2,24}(?![A-Za-z0-9-])",
     "card": r"(?<![0-9-])[0-9]{4}([\x20-])[0-9]{4}\1[0-9]{4}\1[0-9]{4}(?![0-9-])",
     "phone": r"(?<![0-9+().-])(?<![+(] )(?:\([0-9]{3}\) ?|[0-9]{3}[-.])[0-9]{3}[-. ][0-9]{4}(?![0-9-])",
 }
-LOOSE_HINT = {"email": "at", "ip": ":", "card": None, "phone": None}
 
 # Gazetteers: what such data commonly begins or ends with.
 GAZETTEER = {
@@ -93,9 +93,12 @@ def _let(value: Column, use) -> Column:
     return F.element_at(F.transform(F.array(value), use), 1)
 
 
-def _found(text: Column, pattern: str, hint: str | None) -> Column:
+_NO_SPANS = "array<struct<start:long,end:long,match:string>>"
+
+
+def _found(text: Column, pattern: str) -> Column:
     """All matches as ``(start, end, match)`` in code points, from the parts between them."""
-    empty = F.array().cast("array<struct<start:long,end:long,match:string>>")
+    empty = F.array().cast(_NO_SPANS)
 
     def placed(matches: Column) -> Column:
         gaps = F.slice(F.split(text, pattern, -1), F.lit(1), F.size(matches))
@@ -109,10 +112,14 @@ def _found(text: Column, pattern: str, hint: str | None) -> Column:
                     (s["at"] + F.length(p["g"]) + F.length(p["m"])).cast("long").alias("end"),
                     p["m"].alias("match")))).alias("out")))["out"]
 
-    likely = text.rlike(r"[0-9]") if hint is None else text.contains(hint)
-    found = _let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)),
-                 lambda m: F.when(F.size(m) > 0, placed(m)).otherwise(empty))
-    return F.when(likely, found).otherwise(empty)
+    return _let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)),
+                lambda m: F.when(F.size(m) > 0, placed(m)).otherwise(empty))
+
+
+def _inside(chunks: Column, pattern: str) -> Column:
+    """Matches inside the chunks of a text, with places in the text."""
+    return F.flatten(F.transform(chunks, lambda c: F.transform(_found(c["match"], pattern), lambda m: F.struct(
+        (c["start"] + m["start"]).alias("start"), (c["start"] + m["end"]).alias("end"), m["match"].alias("match")))))
 
 
 def _vote(good: Column, bad: Column | None = None) -> Column:
@@ -141,19 +148,27 @@ def with_candidates(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """``docs`` with ``_candidates``; looser ones only where they touch no strict one of any kind."""
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
 
-    def strict(kind: str) -> Column:
-        valid = F.filter(_found(text, STRICT[kind], HINT[kind]), lambda s: _valid(kind, s["match"]))
-        return F.transform(valid, lambda s: _judged(kind, s, text, True))
+    none = F.array().cast(_NO_SPANS)
+    addresses = F.when(text.contains("@"), _found(text, STRICT["email"])).otherwise(none)
+    spelled = F.when(text.contains("(at)") | text.contains("[at]"), _found(text, LOOSE["email"])).otherwise(none)
+
+    def strict(kind: str, chunks: Column) -> Column:
+        found = addresses if kind == "email" else _inside(chunks, STRICT[kind])
+        return F.transform(F.filter(found, lambda s: _valid(kind, s["match"])), lambda s: _judged(kind, s, text, True))
+
+    def loose(kind: str, chunks: Column) -> Column:
+        found = spelled if kind == "email" else _inside(chunks, LOOSE[kind])
+        return F.transform(found, lambda s: _judged(kind, s, text, False))
 
-    def loose(kind: str) -> Column:
-        return F.transform(_found(text, LOOSE[kind], LOOSE_HINT[kind]), lambda s: _judged(kind, s, text, False))
+    def judged(chunks: Column) -> Column:
+        def with_free(base: Column) -> Column:
+            apart = F.filter(F.concat(*[loose(k, chunks) for k in LOOSE]), lambda s: ~F.exists(
+                base, lambda b: (s["start"] < b["end"]) & (b["start"] < s["end"])))
+            return F.concat(base, apart)
 
-    def free(base: Column) -> Column:
-        apart = F.filter(F.concat(*map(loose, KINDS)), lambda s: ~F.exists(
-            base, lambda b: (s["start"] < b["end"]) & (b["start"] < s["end"])))
-        return F.concat(base, apart)
+        return _let(F.concat(*[strict(k, chunks) for k in KINDS]), with_free)
 
-    return docs.withColumn("_candidates", _let(F.concat(*map(strict, KINDS)), free))
+    return docs.withColumn("_candidates", _let(_found(text, CHUNK), judged))
 
 
 def expectation_maximisation(counts: dict[Votes, float], base: set[Votes], rounds: int = 50) -> dict[Votes, float]:
