@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from pressmill.llm import langid, mixing, packing, pii, simhash, substring, suffix
+from pressmill.llm import ann, forest, langid, lm, mixing, packing, pii, simhash, substring, suffix
 from pressmill.llm.common import held_out, learned, table
 
 
@@ -23,6 +23,11 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.remove_repeats(table(spark, sf_dir, "documents"))
 
 
+def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(table(spark, sf_dir, "documents")).select(
+        "doc_id", held_out("doc_id", lm.FOLDS).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents")).select(
         "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
@@ -35,6 +40,11 @@ def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "text", "lang", "source", "n_chars", F.col("_copy").alias("copy"), F.col("_order").alias("mix_order"))
 
 
+def op7_ann_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    return ann.search(rows, rows.where("vec_id % 50 = 0"))
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", simhash.hex16(F.col("fingerprint")).alias("fingerprint"), "component_id")
@@ -54,10 +64,14 @@ def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         pii.joined(F.col("_spans")).alias("spans"))
 
 
+def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return forest.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     f.__name__: f for f in (
-        op1_suffix_dedup, op2_language_id, op3_substring_dedup, op5_best_fit_packing, op6_source_mixing,
-        op8_simhash, op9_pii)
+        op1_suffix_dedup, op2_language_id, op3_substring_dedup, op4_lm_scoring, op5_best_fit_packing,
+        op6_source_mixing, op7_ann_search, op8_simhash, op9_pii, op10_embedding_dedup)
 }
 
 MIXING_SQL = """

@@ -135,6 +135,17 @@ def word_names(block: Block, lower: bool = False, seconds: bool = True):
     return doc, names[0], names[1] if seconds else None
 
 
+def last_letters(block: Block, lower: bool = False) -> np.ndarray:
+    """The last two bytes of every word of a block as a number."""
+    data = np.frombuffer(b" ".join(block.texts) + b" ", dtype=np.uint8)
+    if lower:
+        data = _LOWER[data]
+    inside = ~_SPACE[data]
+    ends = np.flatnonzero(np.diff(inside.astype(np.int8), prepend=np.int8(0)) == -1)
+    before = np.where((ends >= 2) & inside[ends - 2], data[ends - 2], 0)
+    return data[ends - 1].astype(np.uint64) * np.uint64(256) + before.astype(np.uint64)
+
+
 def run_words(texts: list[str], lower: bool = False, seconds: bool = True):
     """:func:`word_names` of a whole run."""
     found = [word_names(b, lower, seconds) for b in blocks(texts)]
