@@ -32,22 +32,23 @@ from pressmill.llm.runs import ANSWER as _ANSWER, BLOB as _BLOB, PLACE_BYTES, an
 
 LENGTH = 50
 ANCHOR = 24
-RUN_BYTES = 12 << 20
+RUN_BYTES = 8 << 20
 _PLACE_BITS = 20
 _PLACES = (1 << _PLACE_BITS) - 1
 
 
-def _windows(texts: list[bytes], length: int, anchor: int):
-    """(offset of each text, first bytes, picked places, keys) of all windows of a run.
+def _stretches(texts: list[bytes], length: int, anchor: int):
+    """All windows of a run, as stretches of neighbours that picked one place.
 
-    Positions count in the joined texts.  Long texts are worked through in pieces.
+    Returns the offset of each text in the joined texts, these, and of each stretch
+    its first and last window, place and key.  Long texts are worked through in
+    pieces, which may part a stretch.
     """
     sizes = np.fromiter(map(len, texts), np.int64, len(texts))
     offsets = np.concatenate(([0], np.cumsum(sizes)))
     reach = length - anchor + 1
-    starts, picks, keys = [], [], []
+    out = []
     whole = np.frombuffer(b"".join(texts) + bytes(anchor + 8), dtype=np.uint8)
-    end_of = np.repeat(offsets[1:], sizes)
     step = _PLACES - 2 * length
     for at in range(0, max(0, int(offsets[-1]) - length + 1), step):
         stop = min(at + step + reach - 1, int(offsets[-1]) - anchor + 1)
@@ -65,14 +66,21 @@ def _windows(texts: list[bytes], length: int, anchor: int):
             by = min(span, reach - span)
             value = np.minimum(value[: len(value) - by], value[by:])
             span += by
-        first = np.flatnonzero(np.arange(at, at + len(value)) + length <= end_of[at: at + len(value)])
+        inside = np.ones(len(value), dtype=bool)
+        for end in offsets[np.searchsorted(offsets, at, "right"): np.searchsorted(offsets, at + len(value) + length, "right")].tolist():
+            inside[max(0, end - length + 1 - at): max(0, end - at)] = False
+        head = inside.copy()
+        head[1:] &= (value[1:] != value[:-1]) | ~inside[:-1]
+        tail = inside.copy()
+        tail[:-1] &= (value[1:] != value[:-1]) | ~inside[1:]
+        first = np.flatnonzero(head)
         value = value[first]
-        starts.append(first + at)
-        picks.append(at + _PLACES - (value & np.uint64(_PLACES)).astype(np.int64))
-        keys.append(value & ~np.uint64(_PLACES))
-    empty = np.zeros(0, np.int64)
-    join = lambda x, kind: np.concatenate(x) if x else empty.astype(kind)
-    return offsets, whole, join(starts, np.int64), join(picks, np.int64), join(keys, np.uint64)
+        out.append((first + at, np.flatnonzero(tail) + at,
+                    at + _PLACES - (value & np.uint64(_PLACES)).astype(np.int64), value & ~np.uint64(_PLACES)))
+    if not out:
+        none = np.zeros(0, np.int64)
+        return offsets, whole, none, none, none, none.astype(np.uint64)
+    return offsets, whole, *(np.concatenate(x) for x in zip(*out))
 
 
 class _Run:
@@ -81,13 +89,7 @@ class _Run:
     def __init__(self, rows: pa.Table, length: int, anchor: int):
         self.ids, self.known, texts = R.ordered(rows)
         self.texts = [t.encode("utf-8", "replace") for t in texts]
-        self.offsets, self.whole, starts, picks, keys = _windows(self.texts, length, anchor)
-        # neighbours that picked one place are one stretch
-        head = np.ones(len(starts), dtype=bool)
-        head[1:] = (picks[1:] != picks[:-1]) | (starts[1:] != starts[:-1] + 1)
-        at = np.flatnonzero(head)
-        last = np.append(at[1:], len(starts)) - 1 if len(at) else at
-        self.first, self.last, self.pick, self.key = starts[at], starts[last], picks[at], keys[at]
+        self.offsets, self.whole, self.first, self.last, self.pick, self.key = _stretches(self.texts, length, anchor)
         self.doc = np.searchsorted(self.offsets, self.first, "right") - 1
         if not self.known.all():
             ok = self.known[self.doc]
@@ -351,14 +353,14 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             hit &= (start >= run.first[held.stretch]) & (start <= run.last[held.stretch])
             np.add.at(cover, start[hit], 1)
             np.add.at(cover, start[hit] + length, -1)
-        gone = np.cumsum(cover[:-1]) > 0
+        gone = np.cumsum(cover[:-1], dtype=np.int32) > 0
+        del cover
         begins = gone.copy()
         begins[1:] &= ~gone[:-1]
-        begins[run.offsets[:-1][run.offsets[:-1] < len(gone)]] = gone[run.offsets[:-1][run.offsets[:-1] < len(gone)]]
-        totals = np.concatenate(([0], np.cumsum(gone)))
-        spans = np.concatenate(([0], np.cumsum(begins)))
         a, b = run.offsets[:-1], run.offsets[1:]
-        n_removed, n_spans = totals[b] - totals[a], spans[b] - spans[a]
+        begins[a[a < b]] = gone[a[a < b]]
+        n_removed = np.bincount(np.searchsorted(run.offsets, np.flatnonzero(gone), "right") - 1, minlength=len(a))
+        n_spans = np.bincount(np.searchsorted(run.offsets, np.flatnonzero(begins), "right") - 1, minlength=len(a))
         digests, kept = [], []
         for number, data in enumerate(run.texts):
             if n_removed[number]:
