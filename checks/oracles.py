@@ -98,7 +98,7 @@ SQL["append_articles"] = """SELECT event_id AS article_id, event_type AS status,
 _word = lambda text, words: f"regexp_matches({text}, '(?i)(^|[^\\p{{L}}\\p{{M}}\\p{{N}}_]){words}([^\\p{{L}}\\p{{M}}\\p{{N}}_]|$)')"
 SQL["collection_domains"] = f"WITH {SOURCES} SELECT name FROM sources WHERE collection_id = 1"
 SQL["search_stories"] = f"""WITH {STORIES}, {SOURCES} SELECT doc_id, domain, publication_date FROM stories
-    WHERE publication_date >= '2024-01-03' AND publication_date <= '2024-01-24'
+    WHERE publication_date >= '2024-01-03' AND publication_date <= '2024-01-24' AND doc_id % 29 <> 5
       AND domain IN (SELECT name FROM sources WHERE collection_id = 1) AND {_word('text', 'of[ ' + chr(10) + ']+the')}"""
 SQL["story_search_job"] = f"""WITH {STORIES}, {SOURCES} SELECT doc_id, language, url FROM stories
     WHERE publication_date >= '2024-01-01' AND publication_date <= '2024-01-15'
@@ -110,28 +110,23 @@ DRAW = lambda key, seed: f"CAST(concat('0x', substr(md5(concat({key}, '|{seed}')
 SQL["fetch_tasks"] = f"WITH {ARTICLES} SELECT article_id, url, tries FROM articles WHERE status = 'error' AND batch_id = 3"
 SQL["fetch_tasks_limited"] = f"""WITH {ARTICLES} SELECT article_id, url FROM articles WHERE status = 'click'
     ORDER BY article_id LIMIT 1500"""
-SQL["fetch_tasks_large_limit"] = f"WITH {ARTICLES} SELECT article_id, url FROM articles ORDER BY article_id LIMIT 15000"
+SQL["fetch_tasks_large_limit"] = f"""WITH {ARTICLES}, rows AS (
+    SELECT CASE WHEN article_id % 500 <> 0 THEN article_id // 2 END AS article_id FROM articles)
+    SELECT article_id FROM rows ORDER BY article_id NULLS FIRST LIMIT 9000"""
 SQL["retry_filter"] = f"""WITH {ARTICLES} SELECT * FROM (
     SELECT article_id, CASE WHEN article_id % 13 = 0 THEN NULL ELSE tries END AS tries FROM articles
     WHERE status = 'click' ORDER BY article_id LIMIT 1500) WHERE coalesce(tries, 0) <= 5"""
 SQL["shuffle_tasks"] = f"WITH {ARTICLES} SELECT article_id, url, {DRAW('article_id', 7)} AS draw FROM articles"
-SQL["assign_blocks"] = """WITH RECURSIVE tasks AS (
+SQL["assign_blocks"] = """WITH tasks AS (
     SELECT event_id AS article_id, concat('u', user_id) AS media_url FROM events WHERE event_id % 19 NOT IN (3, 8)),
-sites AS (SELECT media_url, count(*) AS n, row_number() OVER (ORDER BY min(article_id)) AS turn FROM tasks GROUP BY media_url),
-placed AS (
-    SELECT 0::BIGINT AS turn, 0::BIGINT AS block, [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[] AS loads
-    UNION ALL
-    SELECT s.turn, list_position(p.loads, list_min(p.loads))::BIGINT,
-           list_transform(range(1, 9), lambda b: p.loads[b]
-               + CASE WHEN b = list_position(p.loads, list_min(p.loads)) THEN s.n ELSE 0 END)
-    FROM placed p JOIN sites s ON s.turn = p.turn + 1)
-SELECT article_id, media_url, CAST(block - 1 AS INT) AS block
-FROM tasks JOIN sites USING (media_url) JOIN placed USING (turn)"""
+sites AS (SELECT media_url, row_number() OVER (ORDER BY count(*) DESC, media_url) - 1 AS turn FROM tasks GROUP BY media_url)
+SELECT article_id, media_url, CAST(CASE WHEN turn % 16 < 8 THEN turn % 16 ELSE 15 - turn % 16 END AS INT) AS block
+FROM tasks JOIN sites USING (media_url)"""
 SQL["stripe"] = f"""WITH {ARTICLES} SELECT article_id, url,
     CAST((row_number() OVER (ORDER BY article_id) - 1) % 4 AS INT) AS block FROM articles"""
 SQL["language_gate"] = """WITH rows AS (SELECT doc_id, CASE WHEN doc_id % 23 = 0 THEN NULL ELSE lang END AS language FROM documents)
     SELECT doc_id, language, CASE WHEN language IS DISTINCT FROM 'en' THEN 'ERROR: Not in English' END AS text FROM rows"""
-SQL["pause_plan"] = f"""WITH rows AS (SELECT doc_id, substr(source, 1, 4) AS domain, lang FROM documents),
+SQL["pause_plan"] = f"""WITH rows AS (SELECT doc_id, source AS domain, lang FROM documents),
     seen AS (SELECT *, coalesce(lag(domain) OVER (ORDER BY doc_id), (SELECT max_by(domain, doc_id) FROM rows)) AS before FROM rows),
     paused AS (SELECT *, CASE WHEN lang = 'en' AND domain = before THEN 1 + {DRAW('doc_id', 3)} % 5 ELSE 0 END AS pause FROM seen)
     SELECT doc_id, domain, pause, CAST(sum(pause) OVER (ORDER BY doc_id) AS BIGINT) AS start_offset FROM paused"""

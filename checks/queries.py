@@ -33,11 +33,13 @@ STORY_FIELDS = [f.name for f in STORY if f.name in ("title", "publication_date",
 
 @query
 def read_stories(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Files that hold one JSON array each."""
+    """Files that hold one JSON array each, among files cut off."""
     path = folder(spark)
     packed = _chunks(stories(spark, sf_dir), F.struct(*STORY_FIELDS))
     packed.select("chunk", F.to_json("items").alias("value")).write.partitionBy("chunk").text(path)
-    return story_files.read_stories(spark, path).select(
+    spark.range(3).selectExpr("'[{\"url\": \"lost\"}, {\"title\": \"cut' AS value").write.mode("append").text(f"{path}/chunk=broken")
+    good, _ = story_files.read_stories(spark, path)
+    return good.select(
         "url", "domain", "language", "publication_date", F.length("title").alias("title_chars"),
         F.col("capture_time").isNull().alias("no_capture_time"))
 
@@ -244,9 +246,11 @@ def collection_domains(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def search_stories(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Q2: a phrase in title or body."""
+    """Q2: a phrase in title or body; some dates are none."""
+    dated = stories(spark, sf_dir).withColumn("publication_date", F.expr(
+        "CASE WHEN doc_id % 29 = 5 THEN 'n/a' ELSE publication_date END"))
     found = search.search_stories(
-        stories(spark, sf_dir), search.collection_domains(_sources(spark, sf_dir), 1),
+        dated, search.collection_domains(_sources(spark, sf_dir), 1),
         "of the", "2024-01-03", "2024-01-24", text=("title", "text"))
     return found.select("doc_id", "domain", "publication_date")
 
@@ -275,8 +279,9 @@ def fetch_tasks_limited(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def fetch_tasks_large_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A limit too large for a top-n."""
-    return tasks.fetch_tasks(articles(spark, sf_dir), None, "", 15_000, ["article_id", "url"])
+    """Most of the rows; ids are null or come twice, also where the limit cuts."""
+    rows = articles(spark, sf_dir).withColumn("article_id", F.expr("CASE WHEN article_id % 500 <> 0 THEN article_id DIV 2 END"))
+    return tasks.fetch_tasks(rows, None, "", 9_000, ["article_id"])
 
 
 @query
@@ -316,8 +321,8 @@ def language_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def pause_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One sequence of all stories; fewer domains, so that many repeat."""
-    rows = stories(spark, sf_dir).selectExpr("doc_id", "language", "substring(domain, 1, 4) AS domain")
+    """One sequence of all stories."""
+    rows = stories(spark, sf_dir).selectExpr("doc_id", "language", "domain")
     return tasks.pause_plan(rows, "doc_id", seed=3, gated=tasks.gate_label(True).isNotNull()).select(
         "doc_id", "domain", "pause", "start_offset")
 
@@ -489,7 +494,7 @@ def last_resort_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def page_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """H1: raw pages, with unclosed paragraphs and cut-off ends."""
-    parts = html.page_parts(html.spread(table(spark, sf_dir, "pages")))
+    parts = html.page_parts(table(spark, sf_dir, "pages"))
     return parts.select("page_id", F.md5("page_text").alias("text_md5"),
                         F.size("p_texts").cast("bigint").alias("n_paragraphs"), "parse_failed")
 
@@ -497,7 +502,7 @@ def page_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def page_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """H2: paragraph text of raw pages; an unclosed paragraph holds the next ones."""
-    parts = html.page_parts(html.spread(table(spark, sf_dir, "pages")))
+    parts = html.page_parts(table(spark, sf_dir, "pages"))
     text = html.paragraph_text()
     return parts.select("page_id", F.length(text).cast("bigint").alias("n_chars"), F.md5(text).alias("text_md5"))
 
@@ -566,7 +571,7 @@ def _site_query(id: str):
         pages = table(spark, sf_dir, "documents").selectExpr(
             "doc_id", f"concat('{url}', CAST(doc_id AS STRING)) AS url",
             f"concat('<html><body>', {page}, '</body></html>') AS html")
-        parts = extract.extract_parts(html.spread(pages))
+        parts = extract.extract_parts(pages)
         return parts.select("doc_id", F.coalesce("site_result", "empty_result").alias("result"), "extract_exception")
 
     run.__doc__ = f"{id}: the text of every document placed in a page of the site."
@@ -596,20 +601,20 @@ def _mixed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def resolve_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
     """X21."""
-    return extract.resolve_strict(html.spread(_mixed_pages(spark, sf_dir))).select("doc_id", "text", "extract_exception")
+    return extract.resolve_strict(_mixed_pages(spark, sf_dir)).select("doc_id", "text", "extract_exception")
 
 
 @query
 def resolve_pair(spark: SparkSession, sf_dir: str) -> DataFrame:
     """X22."""
-    return extract.resolve_pair(html.spread(_mixed_pages(spark, sf_dir)), html="content").select(
+    return extract.resolve_pair(_mixed_pages(spark, sf_dir), html="content").select(
         "doc_id", "text", "error", "extract_exception")
 
 
 @query
 def resolve_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """X22 on raw pages."""
-    resolved = extract.resolve_pair(html.spread(table(spark, sf_dir, "pages")))
+    resolved = extract.resolve_pair(table(spark, sf_dir, "pages"))
     return resolved.select("page_id", F.md5("text").alias("text_md5"), "error", "extract_exception")
 
 
@@ -617,7 +622,7 @@ def resolve_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 def extraction_update(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows without a stored page give no update."""
     pages = _mixed_pages(spark, sf_dir).withColumn("content_html", F.expr("CASE WHEN doc_id % 6 <> 0 THEN concat('c', CAST(doc_id AS STRING)) END"))
-    done = extract.extraction_update(extract.resolve_pair(html.spread(pages), html="content"))
+    done = extract.extraction_update(extract.resolve_pair(pages, html="content"))
     return done.select("doc_id", "text_extracted", "abstract", "parsing_error")
 
 

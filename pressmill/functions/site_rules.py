@@ -106,10 +106,11 @@ ANY_ARTICLE_BODY = first_with(HAS_LD_JSON, "articleBody")
 PRELOADED = "nr.headless.preloadedData = "
 PRELOADED_JSON = f"regexp_extract(_body, '(?d){PRELOADED}(.*);', 1)"
 HAS_PRELOADED = f"_body RLIKE '(?d){PRELOADED}.*;'"
-RENDERED = "map<string, struct<body: struct<queried_object: struct<content: struct<rendered: string>>>>>"
-# of the first entry, whatever its key
+RENDERED = "body struct<queried_object: struct<content: struct<rendered: string>>>"
+# of the first entry, whatever its key and whatever the others hold
 PRELOADED_HTML = f"""CASE WHEN {is_json(PRELOADED_JSON)}
-    THEN get(map_values(from_json({PRELOADED_JSON}, '{RENDERED}')), 0).body.queried_object.content.rendered END"""
+    THEN from_json(get(map_values(from_json({PRELOADED_JSON}, 'map<string, string>')), 0), '{RENDERED}')
+        .body.queried_object.content.rendered END"""
 
 FUSION_JSON = "regexp_extract(_body, '(?d)Fusion\\\\.globalContent=(.*?\\\\});', 1)"
 FUSION_ITEMS = f"""CASE WHEN {is_json(FUSION_JSON)} THEN from_json({FUSION_JSON},

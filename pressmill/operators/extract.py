@@ -11,6 +11,7 @@ from pressmill.functions.site_rules import (
 from pressmill.operators.fetch import fetch_error_label
 from pressmill.operators.html import is_empty, page_parts, paragraph_text
 from pressmill.operators.tasks import gate_label
+from pressmill.session import settle
 
 ABSTRACT_LENGTH = 250
 
@@ -31,6 +32,7 @@ def extract_parts(pages: DataFrame, url: str = "url", html: str = "html",
 
     Pages whose outcome is ``settled`` already (not null) are not parsed.
     """
+    settle(pages)
     body = F.col(html)
     if settled is not None:
         body = F.when(settled.isNull(), body)
@@ -112,9 +114,11 @@ def resolve_strict(stories: DataFrame, english_only: bool = True, url: str = "ur
 def extraction_update(resolved: DataFrame, html_ref: str = "content_html") -> DataFrame:
     """Values to store for each extracted page, by article id.
 
-    Rows without a stored page or whose extraction failed give no update.
+    Rows without a reference, rows whose page is not in the content table (there is
+    then nothing found, not even an empty ``error``) and rows whose extraction failed
+    give no update.
     """
-    done = F.col(html_ref).isNotNull() & ~F.col("extract_exception")
+    done = F.col(html_ref).isNotNull() & F.col("error").isNotNull() & ~F.col("extract_exception")
     return resolved.filter(done).withColumns({
         "text_extracted": F.lit(True),
         "abstract": F.substring("text", 1, ABSTRACT_LENGTH),

@@ -29,6 +29,24 @@ def one_response_per_url(responses: DataFrame, newest: str) -> DataFrame:
     return responses.join(latest, ["url", newest], "left_semi")
 
 
+def wanted_responses(tasks: DataFrame, responses: DataFrame, newest: str | None = None) -> DataFrame:
+    """One response for each URL of ``tasks``, with ``capped``; bodies over a limit are dropped at once.
+
+    Limits need the response alone, so such bodies never reach a shuffle, and no
+    other does before the URLs asked for are known: Spark broadcasts these if they
+    are few.  Of several captures the one with the highest ``newest`` counts (any
+    fixed one without such a column), the last tie-break being a hash of the whole.
+    """
+    names = [c for c in responses.columns if c != "url"]
+    capped = cap_label(F.col("headers"), F.col("body"), F.col("elapsed"))
+    slim = responses.withColumn("capped", capped).withColumn("body", F.when(F.col("capped").isNull(), F.col("body")))
+    asked = slim.join(tasks.select("url").distinct(), "url", "left_semi")
+    flat = [F.to_json(c).alias(c) if c == "headers" else F.col(c) for c in names]
+    order = F.struct(*([F.col(newest)] if newest else []), F.xxhash64(*flat))
+    one = asked.groupBy("url").agg(F.max_by(F.struct(*names, "capped"), order).alias("_one"))
+    return one.select("url", "_one.*")
+
+
 def attach_responses(tasks: DataFrame, responses: DataFrame) -> DataFrame:
     """Add ``response`` (null if none) and ``status`` to every task.
 

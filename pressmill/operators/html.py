@@ -8,17 +8,6 @@ from pressmill.functions.text import join_stripped, strip
 WANTED = "array<struct<tag: string, attr: string, value: string>>"
 
 
-def spread(pages: DataFrame) -> DataFrame:
-    """Spread a scan over all cores if it has fewer splits than there are cores.
-
-    Parsing costs far more than moving a page, but at scale a scan has splits
-    enough and is left as it is.  Apply it to a plain scan: the number of splits
-    is then known without running anything.
-    """
-    cores = pages.sparkSession.sparkContext.defaultParallelism
-    return pages if pages.rdd.getNumPartitions() >= cores else pages.repartition(cores)
-
-
 def page_parts(pages: DataFrame, html: str = "html", wanted: Column | None = None,
                fragment: Column | None = None) -> DataFrame:
     """Parse every page once and add its parts.

@@ -72,8 +72,12 @@ def check_articles(lines: DataFrame, value: str = "value") -> DataFrame:
 
 def validate_articles(lines: DataFrame, value: str = "value") -> tuple[DataFrame, DataFrame]:
     """Split records into ``(accepted, rejected)``; rejected rows keep their reasons."""
-    checked = check_articles(lines, value)
-    kept = [c for c in lines.columns if c != value]
+    return split_checked(check_articles(lines, value), value)
+
+
+def split_checked(checked: DataFrame, value: str = "value") -> tuple[DataFrame, DataFrame]:
+    """``(accepted, rejected)`` of checked records; write these first, so that both parse once."""
+    kept = [c for c in checked.columns if c not in (value, "article", "reasons")]
     accepted = checked.filter(F.size("reasons") == 0).select(*kept, "article.*")
     rejected = checked.filter(F.size("reasons") > 0).drop("article")
     return accepted, rejected
@@ -109,9 +113,9 @@ def next_batch_id(articles: DataFrame) -> DataFrame:
     return latest_batch_id(articles).select((F.col("batch_id") + 1).alias("batch_id"))
 
 
-def first_open_batch_id(articles: DataFrame) -> DataFrame:
-    """One row: the lowest batch id that still has unprocessed rows, else 0."""
-    open_rows = articles.filter(F.col("status") == UNPROCESSED)
+def first_open_batch_id(articles: DataFrame, status: str = UNPROCESSED) -> DataFrame:
+    """One row: the lowest batch id that still has rows of the status, else 0."""
+    open_rows = articles.filter(F.col("status") == status)
     return open_rows.agg(F.coalesce(F.min("batch_id"), F.lit(0)).cast("bigint").alias("batch_id"))
 
 

@@ -28,15 +28,14 @@ def in_order(df: DataFrame, *order: Column | str) -> DataFrame:
 def add_totals_before(df: DataFrame, totals: DataFrame, total: str, by: list[str]) -> DataFrame:
     """Join to each row the sum of ``total`` over the earlier ranges, as ``_before``.
 
-    ``totals`` has one row per range and ``by`` value in it.  Ranges are
-    contiguous, so that is at most one row per shuffle partition plus one per
-    ``by`` value, whatever the number of rows: small enough to broadcast.
+    ``totals`` has one row per range and ``by`` value in it; Spark broadcasts it if
+    its size allows.
     """
     earlier = Window.partitionBy(*by).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     before = totals.select(
         *by, "_part", F.coalesce(F.sum(total).over(earlier), F.lit(0)).cast("bigint").alias("_before")
     )
-    return df.join(F.broadcast(before), [*by, "_part"])
+    return df.join(before, [*by, "_part"])
 
 
 def number_rows(df: DataFrame, *order: Column | str, name: str = "position") -> DataFrame:

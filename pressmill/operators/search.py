@@ -29,11 +29,12 @@ def search_stories(stories: DataFrame, domains: DataFrame, phrase: str, start, e
     """Stories with the phrase, from one of the domains, within the dates.
 
     Both end dates count.  Repeated stories stay, and repeated domain names add
-    nothing: the join is a semi join.  The cheap date test comes first and can
-    reach the scan.  The domain list is broadcast by Spark only if its size allows;
+    nothing: the join is a semi join.  A date that is none does not count, and the
+    cheap date test comes first; it reaches the scan if the column is a DATE.  The
+    domain list is broadcast by Spark only if its size allows;
     else the join shuffles and AQE splits a hot domain.
     """
-    day = F.col(date).cast("date")
+    day = F.col(date).try_cast("date")
     phrases = [has_phrase(F.coalesce(F.col(c), F.lit("")), phrase) for c in text]
     found = stories.filter(
         day.between(F.lit(start).cast("date"), F.lit(end).cast("date"))

@@ -1,9 +1,5 @@
 """Choosing and spreading work."""
 
-import heapq
-import sys
-
-from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from pressmill.functions.rules import label
@@ -11,32 +7,23 @@ from pressmill.functions.rule_values import NOT_ENGLISH
 from pressmill.operators.numbering import add_totals_before, in_order, number_rows
 from pressmill.session import write_between
 
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
-
-# Up to this many rows a limit is a per-partition top-n; beyond it, a cut by id.
-TOP_N = 10_000
 
-
-def fetch_tasks(articles: DataFrame, batch_id: int | None = None, status: str | None = None,
+def fetch_tasks(articles: DataFrame, batch_id: Column | int | None = None, status: str | None = None,
                 limit: int = 0, fields: list[str] | None = None,
                 order: str = "article_id") -> DataFrame:
     """Rows of a status and batch; no batch or no status means any, limit 0 means all.
 
-    The lowest ids are taken, so that the choice is stable.  A large limit never
-    gathers its rows in one task: the ids alone are numbered to find the last one
-    to take, and the tasks are then filtered by it in the scan.
+    Exactly ``limit`` rows are taken, or all if there are fewer: those of the lowest
+    ids, nulls first; of rows with one id any may be cut off.  Spark finds them as
+    the top of each partition, or after a global sort for a limit over
+    ``spark.sql.execution.topKSortFallbackThreshold``.
     """
     if status:
         articles = articles.filter(F.col("status") == status)
-    if batch_id:
+    if isinstance(batch_id, Column) or batch_id:
         articles = articles.filter(F.col("batch_id") == batch_id)
     tasks = articles.select(order, *[f for f in fields or [] if f != order]) if fields else articles
-    if not limit:
-        return tasks
-    if limit <= TOP_N:
-        return tasks.orderBy(order).limit(limit)
-    last = number_rows(tasks.select(order), order).filter(F.col("position") == limit - 1).first()
-    return tasks if last is None else tasks.filter(F.col(order) <= last[order])
+    return tasks.orderBy(F.col(order).asc_nulls_first()).limit(limit) if limit else tasks
 
 
 def retry_filter(tasks: DataFrame, max_retries: int = 5) -> DataFrame:
@@ -61,62 +48,29 @@ def shuffle_tasks(tasks: DataFrame, seed: int, key: str = "article_id") -> DataF
     return tasks.withColumn("draw", draw(F.col(key), seed)).orderBy("draw", key)
 
 
-def _place(loads: list[int]):
-    """Put each size, in the order met, on the currently smallest block."""
-    def run(batches):
-        heap = [(load, block) for block, load in enumerate(loads)]
-        heapq.heapify(heap)
-        for sites in batches:
-            blocks = []
-            for size in sites["n_tasks"].tolist():
-                load, block = heap[0]
-                heapq.heapreplace(heap, (load + size, block))
-                blocks.append(block)
-            yield sites.assign(block=blocks)
-    return run
-
-
-def site_blocks(tasks: DataFrame, n: int, site: str = "media_url", order: str = "article_id",
-                chunk_sites: int = 1_000_000) -> DataFrame:
-    """One row per site: ``n_tasks``, ``position`` by first appearance, ``block``.
-
-    Each site goes whole to the block with the fewest tasks so far.  That choice
-    depends on all earlier ones, so sites are placed in order; but only their
-    counts are, at most ``chunk_sites`` in one task.  From chunk to chunk only
-    the ``n`` block totals are carried, and every chunk is written.
+def site_blocks(tasks: DataFrame, n: int, site: str = "media_url") -> DataFrame:
+    """One row per site: ``n_tasks``, ``position`` by falling size, ``block``.
+
+    Sites are dealt out by size, to the blocks in turn and back again, so that
+    blocks differ by at most the tasks of the largest site.  Only site names and
+    counts are numbered, by one range shuffle.
     """
-    sites = (
-        tasks.filter(F.col(site) != "")
-        .groupBy(site).agg(F.count("*").alias("n_tasks"), F.min(order).alias("_first"))
-    )
-    numbered = write_between(number_rows(sites, "_first", site).drop("_first"))
-    n_sites = numbered.count()
-    loads, placed = [0] * n, None
-    for start in range(0, max(n_sites, 1), chunk_sites):
-        chunk = numbered.filter(F.col("position").between(start, start + chunk_sites - 1))
-        rows = chunk.repartition(1).sortWithinPartitions("position")
-        done = write_between(rows.mapInPandas(_place(loads), f"{sites.schema[site].simpleString()}, "
-                                              "n_tasks bigint, position bigint, block int"))
-        placed = done if placed is None else placed.unionByName(done)
-        if start + chunk_sites < n_sites:
-            # at most n rows
-            for row in done.groupBy("block").agg(F.sum("n_tasks").alias("n_tasks")).collect():
-                loads[row["block"]] += row["n_tasks"]
-    return placed
-
-
-def assign_blocks(tasks: DataFrame, n: int, site: str = "media_url", order: str = "article_id",
-                  chunk_sites: int = 1_000_000) -> DataFrame:
+    sites = tasks.filter(F.col(site) != "").groupBy(site).agg(F.count("*").alias("n_tasks"))
+    numbered = number_rows(sites, F.desc("n_tasks"), site)
+    turn = F.col("position") % (2 * n)
+    return numbered.withColumn("block", F.when(turn < n, turn).otherwise(2 * n - 1 - turn).cast("int"))
+
+
+def assign_blocks(tasks: DataFrame, n: int, site: str = "media_url") -> DataFrame:
     """Add ``block``: all tasks of a site share one, and blocks are of even size.
 
     Tasks without a site drop out, except that a single block takes everything.
-    The join back is left to Spark: it broadcasts the written site table if its
-    real size allows, and AQE splits a site that holds much of the rows.
+    The join back is left to Spark: it broadcasts the site table if its size
+    allows, and AQE splits a site that holds much of the rows.
     """
     if n <= 1:
         return tasks.withColumn("block", F.lit(0))
-    blocks = site_blocks(tasks, n, site, order, chunk_sites).select(site, "block")
-    return tasks.join(blocks, site)
+    return tasks.join(site_blocks(tasks, n, site).select(site, "block"), site)
 
 
 def stripe(tasks: DataFrame, n: int, order: str = "article_id") -> DataFrame:
@@ -166,8 +120,7 @@ def pause_plan(stories: DataFrame, order: str, min_s: int = 1, max_s: int = 5, s
     previous = F.when(first, F.col("_entering")).otherwise(F.lag(domain).over(here))
     waits = ~F.col("_gated") & F.col(domain).eqNullSafe(previous)
     paused = write_between(
-        # as few rows as there are ranges and blocks
-        rows.join(F.broadcast(entering), [*by, "_part"])
+        rows.join(entering, [*by, "_part"])
         .withColumn("pause", F.when(waits, pause).otherwise(F.lit(0)))
         .withColumn("_so_far", F.sum("pause").over(here))
         .drop("_entering")

@@ -6,25 +6,27 @@ Every job returns DataFrames; the caller writes them with `write_snapshot` and
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from pressmill.operators.extract import extraction_update, resolve_pair
 from pressmill.operators.fetch import (
-    attach_responses, build_scraping_result, cap_label, decode_body,
+    attach_responses, build_scraping_result, decode_body, wanted_responses,
 )
 from pressmill.operators.imports import (
-    append_articles, delete_batch, latest_batch_id, next_batch_id, stamp_articles,
-    validate_articles,
+    append_articles, check_articles, delete_batch, first_open_batch_id, latest_batch_id,
+    next_batch_id, split_checked, stamp_articles,
 )
 from pressmill.operators.state import apply_extraction, apply_scrape
-from pressmill.operators.tasks import fetch_tasks, retry_filter
+from pressmill.operators.tasks import (
+    assign_blocks, fetch_tasks, pause_plan, retry_filter, shuffle_tasks, stripe,
+)
 from pressmill.schemas import CONTENT_FETCHED, FAILED, UNPROCESSED
 from pressmill.session import write_between
-from pressmill.sources.content import get_content, put_content
+from pressmill.sources.content import put_content, stored_bodies
 from pressmill.sources.records import read_lines
 
-# Defaults of the fetch and extraction jobs.
-FETCH_LIMIT, MAX_RETRIES, EXTRACT_LIMIT = 1_000_000, 5, 500
+# Fixed value: default of the fetch job.  No limit is set unless the caller gives one.
+MAX_RETRIES = 5
 
 
 @dataclass
@@ -40,25 +42,58 @@ def import_batch(spark: SparkSession, articles: DataFrame, folder: str, overwrit
     """Import JSON-lines files as a new batch; ``overwrite`` replaces the last one."""
     if overwrite:
         articles = delete_batch(articles, latest_batch_id(articles).scalar())
-    accepted, rejected = validate_articles(read_lines(spark, folder, pattern))
+    checked = write_between(check_articles(read_lines(spark, folder, pattern)))
+    accepted, rejected = split_checked(checked)
     new = write_between(stamp_articles(accepted, next_batch_id(articles).scalar()))
     return Step(append_articles(articles, new), rejected=rejected)
 
 
-def scrape_batch(articles: DataFrame, responses: DataFrame, batch_id: int | None = None,
-                 status: str = UNPROCESSED, limit: int = FETCH_LIMIT,
-                 max_retries: int = MAX_RETRIES) -> Step:
+def choose_batch(articles: DataFrame, batch: int | str | None, status: str) -> Column | int | None:
+    """Batch id of ``"all"``, ``"first"`` (with rows of the status), ``"last"`` or a number; None for all."""
+    if batch in (None, "all", 0):
+        return None
+    if batch == "last":
+        return latest_batch_id(articles).scalar()
+    if batch == "first":
+        return first_open_batch_id(articles, status).scalar()
+    return int(batch)
+
+
+def fetch_plan(articles: DataFrame, n: int, seed: int, batch: int | str | None = None,
+               status: str = UNPROCESSED, limit: int = 0, max_retries: int = MAX_RETRIES,
+               min_s: int = 1, max_s: int = 5) -> DataFrame:
+    """Fetch work of ``n`` blocks: tasks in random order, each site in one block, with its pauses.
+
+    Adds ``draw``, ``block``, ``pause`` and ``start_offset``.
+    """
+    chosen = fetch_tasks(articles, choose_batch(articles, batch, status), status, limit,
+                         ["article_id", "url", "media_url", "tries"])
+    dealt = assign_blocks(shuffle_tasks(retry_filter(chosen, max_retries), seed), n)
+    return pause_plan(dealt, "draw", min_s, max_s, seed, domain="media_url", by="block")
+
+
+def extract_plan(articles: DataFrame, n: int, batch: int | str | None = None,
+                 status: str = CONTENT_FETCHED, limit: int = 0) -> DataFrame:
+    """Extraction work dealt out to ``n`` blocks in turn."""
+    chosen = fetch_tasks(articles, choose_batch(articles, batch, status), status, limit, ["article_id", "url"])
+    return stripe(chosen, n)
+
+
+def scrape_batch(articles: DataFrame, responses: DataFrame, batch_id: int | str | None = None,
+                 status: str = UNPROCESSED, limit: int = 0,
+                 max_retries: int = MAX_RETRIES, newest: str | None = None) -> Step:
     """Take the outcome of fetching from captured responses.
 
+    Each task takes one response, the newest of its URL by the column ``newest``.
     Bodies over a limit are dropped with their row set to failed; the others are
     decoded, to be stored apart from the article.
     """
-    tasks = retry_filter(
-        fetch_tasks(articles, batch_id, status, limit, ["article_id", "url", "tries"]), max_retries)
-    got = attach_responses(tasks, responses)
+    chosen = fetch_tasks(articles, choose_batch(articles, batch_id, status), status, limit,
+                         ["article_id", "url", "tries"])
+    tasks = retry_filter(chosen, max_retries)
+    got = attach_responses(tasks, wanted_responses(tasks, responses, newest))
     part = lambda name: F.col(f"response.{name}")
-    capped = cap_label(part("headers"), part("body"), part("elapsed"))
-    failed = (F.col("status") == FAILED) | capped.isNotNull()
+    failed = (F.col("status") == FAILED) | part("capped").isNotNull()
     got = got.withColumns({
         "status": F.when(failed, FAILED).otherwise(CONTENT_FETCHED),
         "response": F.when(~failed, F.col("response")),
@@ -72,17 +107,14 @@ def scrape_batch(articles: DataFrame, responses: DataFrame, batch_id: int | None
     return Step(apply_scrape(articles, outcome), content)
 
 
-def extract_batch(articles: DataFrame, content: DataFrame, batch_id: int | None = None,
-                  status: str = CONTENT_FETCHED, limit: int = EXTRACT_LIMIT) -> Step:
+def extract_batch(articles: DataFrame, content: DataFrame, batch_id: int | str | None = None,
+                  status: str = CONTENT_FETCHED, limit: int = 0) -> Step:
     """Extract text from stored pages; articles without a stored page stay as they are."""
-    tasks = fetch_tasks(articles, batch_id, status, limit,
+    tasks = fetch_tasks(articles, choose_batch(articles, batch_id, status), status, limit,
                         ["article_id", "url", "tries", "scraping_result"])
     refs = tasks.withColumn("content_html", F.col("scraping_result.content_html")).drop("scraping_result")
-    # references are narrow: spread them by their hash key, so that pages are read
-    # and parsed in as many tasks as the session is set for
-    partitions = int(articles.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    refs = refs.filter(F.col("content_html").isNotNull()).repartition(partitions, "content_html")
-    pages = get_content(refs, content.filter(F.col("kind") == "html"), "content_html")
+    refs = refs.filter(F.col("content_html").isNotNull())
+    pages = stored_bodies(refs, content.filter(F.col("kind") == "html"), "content_html")
     resolved = extraction_update(resolve_pair(pages, html="body"))
     done = write_between(resolved.select(
         "article_id", "url", "tries", "text", "text_extracted", "abstract", "parsing_error"))

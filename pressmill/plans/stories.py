@@ -1,10 +1,12 @@
 """Story jobs: search an index, and resolve stories to text."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
+from pressmill.functions.rules import url_label
 from pressmill.operators.extract import resolve_strict
-from pressmill.operators.fetch import decode_body
+from pressmill.operators.fetch import decode_body, wanted_responses
 from pressmill.operators.search import collection_domains, search_stories
+from pressmill.operators.tasks import gate_label
 
 
 def story_query(stories: DataFrame, sources: DataFrame, phrase: str, collection_id: int,
@@ -13,12 +15,20 @@ def story_query(stories: DataFrame, sources: DataFrame, phrase: str, collection_
     return search_stories(stories, collection_domains(sources, collection_id), phrase, start, end, text)
 
 
-def scrape_stories(stories: DataFrame, responses: DataFrame, english_only: bool = True) -> DataFrame:
+def scrape_stories(stories: DataFrame, responses: DataFrame, english_only: bool = True,
+                   newest: str | None = None) -> DataFrame:
     """Stories with ``text``: the article, or the first error on the way to it.
 
-    One join by URL; bodies are decoded and parsed in the stage after it.
+    Stories settled by language or URL are not looked up, and each other one takes
+    one response, the newest of its URL by the column ``newest``.  One join by URL;
+    bodies are decoded and parsed in the stage after it.
     """
     names = ["landing_url", "status_code", "headers", "encoding", "body", "elapsed", "error_kind"]
-    joined = stories.join(responses.select("url", *names), "url", "left")
+    settled = F.coalesce(gate_label(english_only), url_label("url"))
+    asked = stories.withColumn("_asked", F.when(settled.isNull(), F.col("url")))
+    captured = responses.select("url", *names, *([newest] if newest and newest not in names else []))
+    wanted = wanted_responses(asked.select(F.col("_asked").alias("url")).filter("url IS NOT NULL"), captured, newest)
+    found = wanted.select(F.col("url").alias("_found"), *names)
+    joined = asked.join(found, F.col("_asked") == F.col("_found"), "left").drop("_asked", "_found")
     resolved = resolve_strict(decode_body(joined), english_only)
     return resolved.select(*stories.columns, "text")

@@ -13,6 +13,7 @@ SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.variant.allowDuplicateKeys": "true",
+    "spark.sql.execution.topKSortFallbackThreshold": "100000",
 }
 
 
@@ -22,6 +23,16 @@ def configure(builder: SparkSession.Builder) -> SparkSession.Builder:
     return builder
 
 
+def settle(df: DataFrame) -> DataFrame:
+    """``df``, with its session set to take repeated JSON keys, of which the last counts.
+
+    Operators that read JSON call it, so that results do not depend on how the
+    session was made.
+    """
+    df.sparkSession.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
+    return df
+
+
 _local_folder = []
 
 

@@ -44,12 +44,23 @@ def read_content(spark, path: str, kind: str | None = None) -> DataFrame:
 def get_content(refs: DataFrame, content: DataFrame, ref: str = "content_id") -> DataFrame:
     """Add ``body`` by reference; null where nothing was stored.
 
-    One join on a hash key, so rows spread evenly.  References are far smaller
-    than bodies: where they are small enough Spark broadcasts them by size, and
-    otherwise its run-time bloom filter can drop unwanted bodies before the shuffle.
+    Rows with a body come from `stored_bodies`; the others are found by an anti
+    join on ids alone.
+    """
+    ids = content.select(F.col("content_id").alias("_id"))
+    absent = refs.join(ids, F.col(ref) == F.col("_id"), "left_anti")
+    return stored_bodies(refs, content, ref).unionByName(absent.withColumn("body", F.lit(None).cast("string")))
+
+
+def stored_bodies(refs: DataFrame, content: DataFrame, ref: str = "content_id") -> DataFrame:
+    """Rows whose body is stored, with ``body``.
+
+    An inner join on a hash key: Spark broadcasts the references where they are
+    small enough, so that no body is moved, and otherwise a run-time bloom filter
+    can drop unwanted bodies before the shuffle.
     """
     bodies = content.select(F.col("content_id").alias("_id"), "body")
-    return refs.join(bodies, F.col(ref) == F.col("_id"), "left").drop("_id")
+    return refs.join(bodies, F.col(ref) == F.col("_id")).drop("_id")
 
 
 def content_info(refs: DataFrame, content: DataFrame, ref: str = "content_id") -> DataFrame:

@@ -3,6 +3,7 @@
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from pressmill.functions.json_text import one_record
+from pressmill.session import settle
 
 
 def envelope_items(text: str) -> Column:
@@ -20,7 +21,7 @@ def unwrap_envelope(spark: SparkSession, folder: str) -> DataFrame:
     An envelope is one JSON document, so a file is one task; files spread over
     the cluster.
     """
-    files = spark.read.option("wholetext", True).option("pathGlobFilter", "*.json").text(folder)
+    files = settle(spark.read.option("wholetext", True).option("pathGlobFilter", "*.json").text(folder))
     return files.select(
         F.col("_metadata.file_name").alias("file"),
         F.explode(envelope_items("value")).alias("value"),

@@ -1,18 +1,28 @@
 """Story files."""
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from pressmill.schemas import STORY
 
 
-def read_stories(spark: SparkSession, path: str, schema=STORY) -> DataFrame:
-    """Read files that each hold one JSON array of story objects.
+BAD = "_unreadable"
 
+
+def read_stories(spark: SparkSession, path: str, schema=STORY) -> tuple[DataFrame, DataFrame]:
+    """Stories of files that each hold one JSON array, and files that could not be read.
+
+    Returns ``(good, bad)``; ``bad`` has ``file`` and ``value``, the text put aside.
     Fields a file leaves out come back as null.  An array spanning a whole file
     cannot be split, so parallelism is per file; `write_stories` exports lines,
     which can.
     """
-    return spark.read.schema(schema).option("multiLine", True).json(path)
+    fields = StructType([*schema, StructField(BAD, StringType())])
+    rows = spark.read.schema(fields).option("multiLine", True).option("mode", "PERMISSIVE") \
+        .option("columnNameOfCorruptRecord", BAD).json(path)
+    file = F.col("_metadata.file_name").alias("file")
+    return (rows.filter(F.col(BAD).isNull()).drop(BAD),
+            rows.filter(F.col(BAD).isNotNull()).select(file, F.col(BAD).alias("value")))
 
 
 def write_stories(df: DataFrame, path: str, mode: str = "errorifexists") -> None:

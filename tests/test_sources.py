@@ -12,10 +12,13 @@ def test_story_array_and_minimal_story(spark, tmp_path):
         {"title": "A\nB", "publication_date": "2022-02-11", "language": "en", "domain": "d", "url": "u1", "extra": 1},
         {"language": "en", "domain": "a", "url": "u2"},
         {"language": "en", "domain": "a", "url": "u2"}], indent=1))
-    rows = stories.read_stories(spark, str(tmp_path)).orderBy("url").collect()
+    (tmp_path / "cut.json").write_text('[{"title": "lost", "url": "u0"}, {"title": "cu')
+    good, bad = stories.read_stories(spark, str(tmp_path))
+    rows = good.orderBy("url").collect()
+    assert [(r["file"], r["value"][:10]) for r in bad.collect()] == [("cut.json", '[{"title":')]
     assert [(r["url"], r["title"], r["publication_date"]) for r in rows] == [
         ("u1", "A\nB", "2022-02-11"), ("u2", None, None), ("u2", None, None)]
-    stories.write_stories(stories.read_stories(spark, str(tmp_path)), str(tmp_path / "out"))
+    stories.write_stories(good, str(tmp_path / "out"))
     assert spark.read.json(str(tmp_path / "out")).count() == 3
 
 

@@ -26,28 +26,27 @@ def frame(spark, request):
     return make
 
 
-def greedy(rows, n):
-    groups = {}
-    for i, site, _ in rows:
-        if site:
-            groups.setdefault(site, []).append(i)
-    loads, blocks = [0] * n, {}
-    for ids in groups.values():
-        block = loads.index(min(loads))
-        loads[block] += len(ids)
-        blocks.update(dict.fromkeys(ids, block))
-    return blocks, loads, groups
-
-
-@pytest.mark.parametrize("n, chunk", [(4, 1_000_000), (7, 5), (3, 1), (60, 7)])
-def test_blocks(frame, n, chunk):
+@pytest.mark.parametrize("n", [4, 7, 3, 60])
+def test_blocks(frame, n):
     rows = task_rows()
+    sizes = {}
+    for _, site, _ in rows:
+        if site:
+            sizes[site] = sizes.get(site, 0) + 1
     df = frame(rows, "article_id long, media_url string, domain string")
-    got = tasks.assign_blocks(df, n, chunk_sites=chunk).collect()
-    want, loads, groups = greedy(rows, n)
-    assert {r["article_id"]: r["block"] for r in got} == want and len(got) == len(want)
-    used = [load for load in loads if load] if n < len(groups) else [0]
-    assert max(used) - min(used) <= max(map(len, groups.values()))
+    got = tasks.assign_blocks(df, n).collect()
+    order = sorted(sizes, key=lambda s: (-sizes[s], s))
+    want = {s: min(i % (2 * n), 2 * n - 1 - i % (2 * n)) for i, s in enumerate(order)}
+    assert len(got) == sum(sizes.values()) and all(r["block"] == want[r["media_url"]] for r in got)
+    loads = [sum(sizes[s] for s in sizes if want[s] == b) for b in range(n)]
+    assert max(loads) - min(loads) <= max(sizes.values())
+
+
+def test_limits_are_exact(frame):
+    df = frame([(None,), (1,), (2,), (2,), (2,), (3,)], "article_id long")
+    got = [sorted((r[0] for r in tasks.fetch_tasks(df, limit=k).collect()), key=lambda x: -1 if x is None else x)
+           for k in (1, 3, 5, 9)]
+    assert got == [[None], [None, 1, 2], [None, 1, 2, 2, 2], [None, 1, 2, 2, 2, 3]]
 
 
 def test_one_block_takes_everything(frame):
