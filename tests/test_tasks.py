@@ -111,7 +111,7 @@ def test_pauses_per_block(frame):
     assert {r["k"]: (r["pause"], r["start_offset"]) for r in got} == want
 
 
-def test_selection(frame, monkeypatch):
+def test_selection(frame):
     rows = [(i, i % 3, ["UNPROCESSED", "FAILED"][i % 2], None if i % 5 == 0 else i % 8) for i in range(100)]
     df = frame(rows, "article_id long, batch_id long, status string, tries int")
     ids = lambda d: sorted(r["article_id"] for r in d.collect())
@@ -120,7 +120,6 @@ def test_selection(frame, monkeypatch):
     assert ids(tasks.fetch_tasks(df, 0, "")) == list(range(100))
     assert ids(tasks.fetch_tasks(df, 2, None, 4)) == [2, 5, 8, 11]
     first = tasks.fetch_tasks(df, None, "FAILED", 20, ["article_id", "tries"])
-    monkeypatch.setattr(tasks, "TOP_N", 3)
     assert ids(tasks.fetch_tasks(df, None, "FAILED", 20, ["tries"])) == ids(first) == list(range(1, 41, 2))
     kept = ids(tasks.retry_filter(first, 5))
     assert kept == [i for i in range(1, 41, 2) if (rows[i][3] or 0) <= 5]
