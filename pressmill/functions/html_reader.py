@@ -50,7 +50,7 @@ ELEMENT = pa.struct([
 ])
 PAGE = pa.struct([
     ("page_text", pa.string()),
-    ("p_texts", pa.list_(pa.string())),
+    ("p_spans", pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))),
     ("els", pa.list_(ELEMENT)),
     ("fragment_text", pa.string()),
     ("failed", pa.bool_()),
@@ -235,7 +235,8 @@ class PageReader(HTMLParser):
         text = "".join(self.pieces)
         return {
             "page_text": text,
-            "p_texts": [text[start:end] for start, end in self.paragraphs],
+            # places in the page text: an unclosed paragraph holds all later ones
+            "p_spans": [{"start": start, "end": end} for start, end in self.paragraphs],
             "els": [
                 {
                     "ord": position,
@@ -250,7 +251,7 @@ class PageReader(HTMLParser):
         }
 
 
-UNREADABLE = {"page_text": None, "p_texts": None, "els": None, "fragment_text": None, "failed": True}
+UNREADABLE = {"page_text": None, "p_spans": None, "els": None, "fragment_text": None, "failed": True}
 
 
 def _parts(html, wanted=None):

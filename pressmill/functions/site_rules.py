@@ -3,7 +3,7 @@
 A site says which URLs it covers, which page elements it needs, and two SQL
 expressions: its result (article text or error label; null means "use the
 paragraphs") and when reading it fails.  They use the columns ``_url``,
-``_body`` (the raw page), ``els``, ``p_texts`` and ``fragment_text`` (the text of
+``_body`` (the raw page), ``els``, ``p_spans`` and ``fragment_text`` (the text of
 what ``fragment_html`` found in the raw page), and are evaluated on the site's
 own pages only.
 """
@@ -15,6 +15,11 @@ from pressmill.functions.rule_values import FORBIDDEN, NO_TEXT, VIDEO
 from pressmill.functions.rules import contains_any, label_sql
 from pressmill.functions.text import join_stripped, lit, strip
 
+# Paragraphs are cut out of the page text where they are used: only their places
+# come from the parse, as nested ones repeat the text over and over.
+P_TEXTS = """CASE WHEN NOT parse_failed
+    THEN transform(p_spans, s -> substring(page_text, s.start + 1, s.end - s.start)) END"""
+
 NOTHING = label_sql(NO_TEXT)
 BLOCKED = label_sql(FORBIDDEN)
 IS_FORBIDDEN = "contains(_body, 'Forbidden')"
@@ -88,7 +93,7 @@ def unreadable(test: str, needle: str) -> str:
 ARTICLE_BODY = f"""CASE WHEN {IS_FORBIDDEN} THEN {BLOCKED}
     WHEN {first_with(IS_LD_JSON, 'articleBody')} IS NOT NULL
         THEN {text_at(first_with(IS_LD_JSON, 'articleBody'), '.articleBody', NOTHING)}
-    WHEN size(p_texts) > 0 THEN {join_stripped('p_texts')} ELSE {NOTHING} END"""
+    WHEN size(p_spans) > 0 THEN {join_stripped(P_TEXTS)} ELSE {NOTHING} END"""
 
 BODY_TEXT = f"""CASE WHEN {first_with(HAS_JSON, 'bodyText')} IS NULL THEN {NOTHING}
     ELSE {text_at(first_with(HAS_JSON, 'bodyText'), '.props.pageProps.data.page.leaf.bodyText', NOTHING)} END"""

@@ -6,7 +6,7 @@ from pressmill.functions.rules import (
     empty_page_result, last_resort_label, page_text_label, url_label,
 )
 from pressmill.functions.site_rules import (
-    EMPTY_PAGE_SITES, SITES, by_site, fall_through, site_of_url, wanted_elements,
+    EMPTY_PAGE_SITES, P_TEXTS, SITES, by_site, fall_through, site_of_url, wanted_elements,
 )
 from pressmill.operators.fetch import fetch_error_label
 from pressmill.operators.html import is_empty, page_parts, paragraph_text
@@ -47,13 +47,13 @@ def extract_parts(pages: DataFrame, url: str = "url", html: str = "html",
     df = df.withColumns({
         "_site": F.expr(fall_through("_first_site")),
         "_lower_text": F.lower("page_text"),
-        "_empty": is_empty("p_texts"),
+        "_empty": is_empty(P_TEXTS, "p_spans"),
     })
     df = df.withColumns({
         "page_label": page_text_label("_lower_text"),
         "site_result": F.expr(by_site("_site", SITES, "result", "NULL")),
         "site_failed": F.expr(f"coalesce({by_site('_site', SITES, 'failed', 'false')}, false)"),
-        "paragraphs": paragraph_text("p_texts"),
+        "paragraphs": paragraph_text(P_TEXTS),
         "_by_rules": F.when(F.col("_empty"), empty_page_result("_url", "page_text", "_lower_text")),
     })
     unexplained = F.col("_empty") & F.col("_by_rules").isNull()
@@ -81,7 +81,7 @@ def resolve_pair(pages: DataFrame, url: str = "url", html: str = "html") -> Data
     readable = ~F.col("extract_exception")
     return df.withColumns({
         "text": F.when(readable, F.col("paragraphs")),
-        "error": F.when(readable & F.col("p_texts").isNotNull(), error),
+        "error": F.when(readable & F.col("p_spans").isNotNull(), error),
     }).select(*pages.columns, "text", "error", "extract_exception")
 
 

@@ -34,7 +34,17 @@ from pressmill.operators import html
 ])
 def test_text_and_paragraphs(page, text, paragraphs):
     parts = read_page(page)
-    assert (parts["page_text"], parts["p_texts"], parts["failed"]) == (text, paragraphs, False)
+    found = [parts["page_text"][s["start"]:s["end"]] for s in parts["p_spans"]]
+    assert (parts["page_text"], found, parts["failed"]) == (text, paragraphs, False)
+
+
+def test_unclosed_paragraphs(spark):
+    """Every one holds all later ones, but only places leave the parser."""
+    page = "<p>x" * 5_000
+    assert len(read_page(page)["p_spans"]) == 5_000
+    df = html.page_parts(spark.createDataFrame([(page,)], "html string"))
+    row = df.select(F.size("p_spans").alias("n"), F.length(F.col("p_texts")[0]).alias("first"), html.is_empty(items="p_spans").alias("e")).first()
+    assert (row["n"], row["first"], row["e"]) == (5_000, 5_000, False)
 
 
 def want(tag, attr=None, value=None):
