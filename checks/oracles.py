@@ -136,6 +136,23 @@ SQL["pause_plan_per_block"] = f"""WITH rows AS (SELECT event_id AS article_id, e
     paused AS (SELECT *, CASE WHEN domain = before THEN 1 + {DRAW('article_id', 5)} % 5 ELSE 0 END AS pause FROM seen)
     SELECT article_id, block, pause, CAST(sum(pause) OVER (PARTITION BY block ORDER BY article_id) AS BIGINT) AS start_offset FROM paused"""
 
+SQL["fetch_plan_job"] = f"""WITH {ARTICLES},
+    tasks AS (SELECT article_id, media_url, {DRAW('article_id', 7)} AS draw FROM articles
+        WHERE status = 'click' AND coalesce(tries, 0) <= 5),
+    sites AS (SELECT media_url, row_number() OVER (ORDER BY count(*) DESC, media_url) - 1 AS turn FROM tasks GROUP BY media_url),
+    dealt AS (SELECT article_id, media_url, draw,
+        CAST(CASE WHEN turn % 16 < 8 THEN turn % 16 ELSE 15 - turn % 16 END AS INT) AS block FROM tasks JOIN sites USING (media_url)),
+    seen AS (SELECT *, coalesce(lag(media_url) OVER w, last_value(media_url) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)) AS before
+        FROM dealt WINDOW w AS (PARTITION BY block ORDER BY draw)),
+    paused AS (SELECT *, CASE WHEN media_url = before THEN 1 + {DRAW('draw', 7)} % 5 ELSE 0 END AS pause FROM seen)
+    SELECT article_id, media_url, block, pause, CAST(sum(pause) OVER (PARTITION BY block ORDER BY draw) AS BIGINT) AS start_offset FROM paused"""
+SQL["extract_plan_job"] = f"""WITH {ARTICLES} SELECT article_id, url,
+    CAST((row_number() OVER (ORDER BY article_id) - 1) % 4 AS INT) AS block FROM articles
+    WHERE status = 'error' AND batch_id = (SELECT max(batch_id) FROM articles)"""
+SQL["extract_plan_first"] = f"""WITH {ARTICLES} SELECT article_id, url,
+    CAST((row_number() OVER (ORDER BY article_id) - 1) % 3 AS INT) AS block FROM articles
+    WHERE status = 'error' AND batch_id = (SELECT min(batch_id) FROM articles WHERE status = 'error' AND batch_id > 2)"""
+
 # -- fetch outcome -----------------------------------------------------------------------
 
 FETCHES = """fetches AS (SELECT doc_id AS article_id, concat('https://x.example/', doc_id) AS url,

@@ -6,7 +6,7 @@ from checks import inputs
 from checks.inputs import articles, folder, pick, scraped_articles, stories, table
 from pressmill.functions import rules
 from pressmill.operators import extract, fetch, html, imports, search, state, stats, tasks
-from pressmill.plans.articles import extract_batch, import_batch, scrape_batch
+from pressmill.plans.articles import extract_batch, extract_plan, fetch_plan, import_batch, scrape_batch
 from pressmill.plans.stories import scrape_stories, story_query
 from pressmill.schemas import ARTICLE, STORY
 from pressmill.session import write_between
@@ -335,6 +335,25 @@ def pause_plan_per_block(spark: SparkSession, sf_dir: str) -> DataFrame:
         "article_id", "block", "pause", "start_offset")
 
 
+@query
+def fetch_plan_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tasks of all batches in random order, in blocks of whole sites, with their pauses."""
+    plan = fetch_plan(articles(spark, sf_dir), 8, 7, "all", "click")
+    return plan.select("article_id", "media_url", "block", "pause", "start_offset")
+
+
+@query
+def extract_plan_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tasks of the last batch dealt out in turn."""
+    return extract_plan(articles(spark, sf_dir), 4, "last", "error")
+
+
+@query
+def extract_plan_first(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first batch that has tasks."""
+    return extract_plan(articles(spark, sf_dir).filter("batch_id > 2"), 3, "first", "error")
+
+
 # -- fetch outcome -------------------------------------------------------------
 
 def _responses(spark: SparkSession, sf_dir: str) -> DataFrame:
