@@ -332,8 +332,12 @@ SQL["diff_counts"] = """WITH rows AS (SELECT event_type AS before, CASE WHEN eve
     new AS (SELECT after AS status, count(*) AS new_count FROM rows GROUP BY 1)
     SELECT status, (SELECT count(*) FROM rows WHERE before = status) AS previous_count, new_count,
     new_count - (SELECT count(*) FROM rows WHERE before = status) AS diff FROM new"""
-SQL["progress_counts"] = """WITH latest AS (SELECT max_by(event_type, event_id) AS status FROM events GROUP BY user_id)
-    SELECT status, CAST(0 AS BIGINT) AS previous_count, count(*) AS new_count, count(*) AS diff FROM latest GROUP BY 1"""
+SQL["progress_counts"] = """WITH
+    before AS (SELECT status, count(*) AS n FROM (SELECT max_by(event_type, event_id) AS status FROM events
+        WHERE event_id % 3 < 2 GROUP BY user_id) GROUP BY 1),
+    after AS (SELECT status, count(*) AS n FROM (SELECT max_by(event_type, event_id) AS status FROM events GROUP BY user_id) GROUP BY 1)
+    SELECT status, coalesce(before.n, 0) AS previous_count, after.n AS new_count, after.n - coalesce(before.n, 0) AS diff
+    FROM after LEFT JOIN before USING (status)"""
 
 # -- whole jobs --------------------------------------------------------------------------------
 

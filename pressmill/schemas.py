@@ -88,5 +88,5 @@ RESPONSE = table(
 )
 
 STATUS_CHANGE = table(
-    article_id=T.LongType(), version=T.LongType(), status=T.StringType(),
+    article_id=T.StringType(), version=T.LongType(), status=T.StringType(),
 )

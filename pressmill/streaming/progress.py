@@ -23,6 +23,16 @@ def read_changes(spark: SparkSession, path: str, files_per_refresh: int | None =
     return reader.parquet(path)
 
 
+def changes_between(before: DataFrame | None, after: DataFrame, version: int) -> DataFrame:
+    """Rows for the change log: articles of a table whose status is not that of its last version."""
+    rows = after.select("article_id", F.lit(version).cast("bigint").alias("version"), "status")
+    if before is None:
+        return rows
+    old = before.select(F.col("article_id").alias("_id"), F.col("status").alias("_was"), F.lit(True).alias("_known"))
+    joined = rows.join(old, F.col("article_id") == F.col("_id"), "left")
+    return joined.filter(F.col("_known").isNull() | ~F.col("status").eqNullSafe(F.col("_was"))).select(rows.columns)
+
+
 def _newest_in_batch(batches):
     """Keep the newest change per article within each batch, before the shuffle."""
     for changes in batches:
@@ -54,8 +64,8 @@ def count_changes(changes: DataFrame) -> DataFrame:
     costs what changed, not what exists.  Changes that arrive late or twice carry
     an old version and add nothing.
     """
-    newest = changes.select("article_id", "version", "status").mapInPandas(
-        _newest_in_batch, STATUS_CHANGE)
+    rows = changes.select("article_id", "version", "status")
+    newest = rows.mapInPandas(_newest_in_batch, rows.schema)
     return newest.groupBy("article_id").applyInPandasWithState(
         _count_change, COUNTS, "version bigint, status string", "update",
         GroupStateTimeout.NoTimeout)

@@ -4,10 +4,11 @@ import random
 
 from pressmill.operators.stats import count_status
 from pressmill.schemas import STATUS_CHANGE
-from pressmill.streaming.progress import progress_stream, read_changes
+from pressmill.streaming.progress import changes_between, progress_stream, read_changes
 
 
 def drop(spark, path, rows):
+    rows = [(str(key), version, status) for key, version, status in rows]
     spark.createDataFrame(rows, STATUS_CHANGE).coalesce(1).write.mode("append").parquet(path)
 
 
@@ -52,3 +53,12 @@ def test_vanished_status_is_not_shown(spark, tmp_path):
     drop(spark, log, [(1, 2, "b"), (2, 0, "late")])
     (_, rows), = run(spark, log, folder)
     assert [tuple(r) for r in rows] == [("b", 1, 2, 1)]
+
+
+def test_changes_between_versions(spark):
+    kind = "article_id string, status string"
+    before = spark.createDataFrame([("a", "x"), ("b", None), ("c", "x"), ("e", None)], kind)
+    after = spark.createDataFrame([("a", "x"), ("b", "x"), ("c", None), ("d", None), ("e", None)], kind)
+    got = {(r["article_id"], r["version"], r["status"]) for r in changes_between(before, after, 2).collect()}
+    assert got == {("b", 2, "x"), ("c", 2, None), ("d", 2, None)}
+    assert changes_between(None, after, 1).count() == 5
