@@ -96,35 +96,54 @@ class Model:
         hit = np.append(self.words, np.uint64(0))[at] == names
         return np.where(hit & (at < len(self.words)), at, by_letters)
 
-    def logits(self, rows: list[np.ndarray]) -> np.ndarray:
-        out = self.weights[0][rows[0]]
+    def logits(self, rows: list[np.ndarray], out: np.ndarray, spare: np.ndarray) -> None:
+        """Logits of all classes into ``out``; ``spare`` is room of the same shape."""
+        np.take(self.weights[0], rows[0], axis=0, out=out, mode="clip")
         for table, own in zip(self.weights[1:], rows[1:]):
-            out = out + table[own]
-        return out + self.bias
-
-
-def _softmax(z: np.ndarray) -> np.ndarray:
-    z = z - z.max(axis=1, keepdims=True)
-    np.exp(z, out=z)
-    return z / z.sum(axis=1, keepdims=True)
+            np.take(table, own, axis=0, out=spare, mode="clip")
+            out += spare
+        out += self.bias
+
+
+def segment_sums(rows: np.ndarray, heads: np.ndarray) -> np.ndarray:
+    """Sums of stretches of rows that begin at ``heads``: row by row, the rest of a long one at once."""
+    ends = np.append(heads[1:], len(rows))
+    sizes = ends - heads
+    out = rows[heads]
+    open_, k = np.flatnonzero(sizes > 1), 1
+    while len(open_) and k < 8:
+        out[open_] += rows[heads[open_] + k]
+        k += 1
+        open_ = open_[sizes[open_] > k]
+    for i in open_.tolist():
+        out[i] += rows[heads[i] + k: ends[i]].sum(axis=0)
+    return out
 
 
 def take_steps(model: Model, touched: list[np.ndarray], owner: np.ndarray, names: np.ndarray, letters: np.ndarray,
                squares: list[np.ndarray]) -> None:
     """Gradient steps on the tokens of a block, with rates that fall as a row's gradients add up."""
-    classes, rows = model.classes(names, letters), _features(owner, names)
+    classes = model.classes(names, letters)
+    rows = [r.astype(np.uint16) for r in _features(owner, names)]
+    one = np.ones(CLASSES, np.float32)
+    room, spare = np.empty((BATCH, CLASSES), np.float32), np.empty((BATCH, CLASSES), np.float32)
     for at in range(0, len(names), BATCH):
         own = [r[at: at + BATCH] for r in rows]
-        slope = _softmax(model.logits(own))
+        slope, moved = room[: len(own[0])], spare[: len(own[0])]
+        model.logits(own, slope, moved)
+        slope -= slope.max()
+        np.exp(slope, out=slope)
+        slope /= np.maximum(slope @ one, np.float32(1e-30))[:, None]
         slope[np.arange(len(slope)), classes[at: at + BATCH]] -= 1
         model.bias -= np.float32(RATE) * slope.mean(axis=0)
         for table, seen, square, r in zip(model.weights, touched, squares, own):
             order = np.argsort(r, kind="stable")
             heads = R.groups(r[order])
-            total = np.add.reduceat(slope[order], heads, axis=0)
-            which = r[order][heads]
-            square[which] += (total ** 2).mean(axis=1)
-            table[which] -= np.float32(RATE) * total / np.sqrt(square[which] + 1)[:, None]
+            np.take(slope, order, axis=0, out=moved, mode="clip")
+            total, which = segment_sums(moved, heads), r[order][heads]
+            square[which] += np.einsum("ij,ij->i", total, total) / CLASSES
+            total *= (np.float32(RATE) / np.sqrt(square[which] + 1))[:, None]
+            table[which] -= total
             seen[which] = True
 
 
@@ -289,18 +308,21 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", run_b
             total[at] = R.from_planes(found[part], at.stop - at.start, 6).astype(np.int64)
         n, n_known = np.zeros(len(texts), np.int64), np.zeros(len(texts), np.int64)
         base, full = np.zeros(len(texts)), np.zeros(len(texts))
+        one = np.ones(CLASSES, np.float32)
+        room, spare = np.empty((BATCH, CLASSES), np.float32), np.empty((BATCH, CLASSES), np.float32)
         inner = known.mass + SMOOTHING * (known.size + 1)
         for block, owner, names, letters in parts:
             count = total[np.searchsorted(keys, names)]
             classes, features = known.classes(names, letters), _features(owner, names)
             chance = np.empty(len(names))
             for at in range(0, len(names), BATCH):
-                z = known.logits([r[at: at + BATCH] for r in features])
-                top = z.max(axis=1)
-                z -= top[:, None]
-                own = z[np.arange(len(z)), classes[at: at + BATCH]]
+                rows_ = [r[at: at + BATCH] for r in features]
+                z, moved = room[: len(rows_[0])], spare[: len(rows_[0])]
+                known.logits(rows_, z, moved)
+                z -= z.max(axis=1)[:, None]
+                own = z[np.arange(len(z)), classes[at: at + BATCH]].astype(np.float64)
                 np.exp(z, out=z)
-                chance[at: at + BATCH] = own - np.log(z.sum(axis=1, dtype=np.float64))
+                chance[at: at + BATCH] = own - np.log(z @ one)
             inside = np.where(classes <= WORD_CLASSES, 1.0, (count + SMOOTHING) / inner[classes])
             size, here = len(block.texts), slice(block.first, block.first + len(block.texts))
             n[here] = np.bincount(owner, minlength=size)
