@@ -81,7 +81,7 @@ rates AS (
   SELECT source, w / (SELECT sum(w) FROM weights) * CAST((SELECT sum(n) FROM sizes) AS DOUBLE) / n AS rate
   FROM weights),
 terms AS (
-  SELECT source, list_sum(list_transform(range(0, j + 1), i -> exp(i * ln(rate) - rate - lgamma(i + 1)))) AS c
+  SELECT source, list_sum(list_transform(range(0, j + 1), lambda i: exp(i * ln(rate) - rate - lgamma(i + 1)))) AS c
   FROM rates, range(0, 80) AS t(j)),
 draws AS (
   SELECT *, CAST('0x' || substr(md5('mix-1|' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 13) AS BIGINT)
