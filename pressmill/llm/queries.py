@@ -95,4 +95,49 @@ SELECT doc_id, text, lang, source, n_chars, CAST(c.copy AS INTEGER) AS copy,
 FROM copies, unnest(range(1, k + 1)) AS c(copy)
 """
 
-SQL = {"op6_source_mixing": MIXING_SQL}
+WORDS_SQL = r"""
+WITH docs AS (SELECT doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS w FROM documents),
+windows AS (SELECT doc_id, s, array_to_string(w[s:s + 12], ' ') AS g FROM docs, unnest(range(1, len(w) - 11)) AS t(s)),
+firsts AS (SELECT g, min(doc_id) AS m FROM windows GROUP BY g),
+gone AS (SELECT DISTINCT doc_id, s + k AS p FROM windows JOIN firsts USING (g), range(0, 13) AS r(k) WHERE m < doc_id),
+removed AS (SELECT doc_id, list(p) AS ps, count(*) AS n FROM gone GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n, 0) AS n_removed,
+  sha256(array_to_string(list_filter(w, lambda x, i: NOT coalesce(list_contains(ps, i), false)), ' ')) AS kept_sha256
+FROM docs LEFT JOIN removed USING (doc_id)
+"""
+
+BYTES_SQL = """
+WITH docs AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+windows AS (SELECT doc_id, s, substr(h, 2 * s + 1, 100) AS g FROM docs, unnest(range(0, length(h) // 2 - 49)) AS t(s)),
+firsts AS (SELECT g, min(doc_id) AS m FROM windows GROUP BY g),
+hits AS (SELECT doc_id, s, lag(s) OVER (PARTITION BY doc_id ORDER BY s) AS before FROM windows JOIN firsts USING (g) WHERE m < doc_id),
+marked AS (SELECT doc_id, s, sum(CASE WHEN before >= s - 50 THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY s) AS span FROM hits),
+spans AS (SELECT doc_id, min(s) AS a, max(s) + 50 AS b FROM marked GROUP BY doc_id, span),
+kept AS (
+  SELECT doc_id, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS a, a AS b FROM spans
+  UNION ALL SELECT doc_id, max(b), NULL FROM spans GROUP BY doc_id),
+texts AS (
+  SELECT doc_id, string_agg(CASE WHEN kept.b IS NULL THEN substr(h, 2 * kept.a + 1) ELSE substr(h, 2 * kept.a + 1, 2 * (kept.b - kept.a)) END,
+    '' ORDER BY kept.a, kept.b NULLS LAST) AS k
+  FROM kept JOIN docs USING (doc_id) GROUP BY doc_id),
+sums AS (SELECT doc_id, sum(b - a) AS n_removed, count(*) AS n_spans FROM spans GROUP BY doc_id)
+SELECT doc_id, CAST(length(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+  coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(k, h))) AS kept_sha256
+FROM docs LEFT JOIN texts USING (doc_id) LEFT JOIN sums USING (doc_id)
+"""
+
+LINKS_SQL = """
+WITH RECURSIVE v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+links AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id AND list_cosine_similarity(a.e, b.e) >= 0.9),
+reach AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+found AS (SELECT a, min(b) AS least FROM reach GROUP BY a),
+counts AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT vec_id, coalesce(n, 0) AS n_links, least(vec_id, coalesce(found.least, vec_id)) AS component_id,
+  vec_id <= coalesce(found.least, vec_id) AS kept
+FROM v LEFT JOIN counts ON counts.a = vec_id LEFT JOIN found ON found.a = vec_id
+"""
+
+SQL = {
+    "op1_suffix_dedup": BYTES_SQL, "op3_substring_dedup": WORDS_SQL, "op6_source_mixing": MIXING_SQL,
+    "op10_embedding_dedup": LINKS_SQL,
+}
