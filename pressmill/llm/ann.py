@@ -5,6 +5,10 @@ its own centroids, so that ``K`` centroids a half make ``K x K`` cells.  A query
 visits cells in order of the sum of its two halves' distances to the centroids, by
 a heap over the two sorted lists, until they hold a share of all rows, and ranks
 the rows of these cells by exact cosine.
+
+The cells of one centroid of the first half are worked on together: a query is sent
+once to each such centroid, with a bit for every second one, and gets back one list
+of its best rows there.
 """
 
 from __future__ import annotations
@@ -71,10 +75,10 @@ def visit(one: np.ndarray, two: np.ndarray, sizes: dict[int, int], wanted: float
     return out
 
 
-def best(query: np.ndarray, rows: np.ndarray, ids: np.ndarray, own: np.ndarray, k: int):
-    """Exact ``k`` best of ``rows`` for each query, as (query number, id, cosine)."""
+def best(query: np.ndarray, rows: np.ndarray, ids: np.ndarray, own: np.ndarray, asked: np.ndarray, k: int):
+    """Exact ``k`` best of the ``asked`` ones of ``rows`` for each query, as (query number, id, cosine)."""
     like = query @ rows.T
-    like[own[:, None] == ids[None, :]] = -np.inf
+    like[~asked | (own[:, None] == ids[None, :])] = -np.inf
     out = []
     for number, line in enumerate(like):
         # a little more than needed, as products of blocks round differently
@@ -119,12 +123,16 @@ def search(table: DataFrame, queries: DataFrame, id_col: str = "vec_id", vector_
         for batch in batches:
             if len(batch):
                 x = unit(matrix(batch["_vector"]))
-                yield batch.assign(cell=nearest(x[:, :half], one) * len(two) + nearest(x[:, half:], two))
+                yield batch.assign(first=nearest(x[:, :half], one), second=nearest(x[:, half:], two))
 
-    entries = write_between(rows.mapInPandas(assign, "_id long, _vector array<double>, cell long"))
+    entries = write_between(rows.mapInPandas(assign, "_id long, _vector array<double>, first int, second int"))
+    second = len(books[1])
     # at most MOST_CENTROIDS squared cells
-    held = {r[0]: r[1] for r in entries.groupBy("cell").count().collect()}
+    held = {r[0] * second + r[1]: r[2] for r in entries.groupBy("first", "second").count().collect()}
     wanted = share * sum(held.values())
+    of_first: dict[int, int] = {}
+    for cell, n in held.items():
+        of_first[cell // second] = of_first.get(cell // second, 0) + n
 
     def traverse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         one, two = sent.value
@@ -132,30 +140,34 @@ def search(table: DataFrame, queries: DataFrame, id_col: str = "vec_id", vector_
             if not len(batch):
                 continue
             x = unit(matrix(batch["_vector"]))
-            first, second = distances(x[:, :half], one), distances(x[:, half:], two)
-            cells = [visit(first[i], second[i], held, wanted) for i in range(len(x))]
-            times = [len(c) for c in cells]
-            out = batch.loc[batch.index.repeat(times)].assign(cell=np.concatenate([np.array(c, np.int64) for c in cells]))
-            yield out
-
-    blocks = F.create_map(*[x for c, n in held.items() for x in (F.lit(c), F.lit(math.ceil(n / BLOCK_ROWS)))]) \
-        if any(n > BLOCK_ROWS for n in held.values()) else None
-    count = blocks[F.col("cell")] if blocks is not None else F.lit(1)
-    visits = asked.mapInPandas(traverse, "_id long, _vector array<double>, cell long") \
+            first, second_ = distances(x[:, :half], one), distances(x[:, half:], two)
+            out = []
+            for i in range(len(x)):
+                chosen = np.zeros((len(one), second), dtype=bool)
+                chosen.ravel()[visit(first[i], second_[i], held, wanted)] = True
+                out += [(batch["_id"].iat[i], batch["_vector"].iat[i], int(c), np.packbits(chosen[c]).tobytes())
+                        for c in np.flatnonzero(chosen.any(axis=1))]
+            yield pd.DataFrame(out, columns=["_id", "_vector", "first", "asked"])
+
+    blocks = F.create_map(*[x for c, n in of_first.items() for x in (F.lit(c), F.lit(math.ceil(n / BLOCK_ROWS)))])
+    count = blocks[F.col("first")]
+    visits = asked.mapInPandas(traverse, "_id long, _vector array<double>, first int, asked binary") \
         .withColumn("block", F.explode(F.sequence(F.lit(0), count - 1)))
     dealt = entries.withColumn("block", F.pmod(F.xxhash64("_id"), count).cast("int"))
 
     def compare(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if not len(left) or not len(right):
             return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
-        ids, own = right["_id"].to_numpy(), left["_id"].to_numpy()
+        ids, own, cells = right["_id"].to_numpy(), left["_id"].to_numpy(), right["second"].to_numpy()
         x, y = unit(matrix(left["_vector"])), unit(matrix(right["_vector"]))
+        wanted_here = np.stack([np.unpackbits(np.frombuffer(b, np.uint8), count=second) for b in left["asked"]]).astype(bool)
         found = []
         for at in range(0, len(x), 256):
-            found += [(own[at + q], v, s) for q, v, s in best(x[at: at + 256], y, ids, own[at: at + 256], k)]
+            part = slice(at, at + 256)
+            found += [(own[at + q], v, s) for q, v, s in best(x[part], y, ids, own[part], wanted_here[part][:, cells], k)]
         return pd.DataFrame(found, columns=["query_id", "vec_id", "score"])
 
-    near = visits.groupBy("cell", "block").cogroup(dealt.groupBy("cell", "block")) \
+    near = visits.groupBy("first", "block").cogroup(dealt.groupBy("first", "block")) \
         .applyInPandas(compare, "query_id long, vec_id long, score double")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return near.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k) \
