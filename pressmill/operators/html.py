@@ -8,7 +8,6 @@ from pressmill.functions.text import join_stripped, strip
 
 WANTED = "array<struct<tag: string, attr: string, value: string>>"
 
-
 # A string holds 2**31 bytes, and a character takes up to four.
 MOST_CHARS = (1 << 29) - 1
 
@@ -18,9 +17,10 @@ def page_parts(pages: DataFrame, html: str = "html", wanted: Column | None = Non
     """Parse every page once and add its parts.
 
     Adds ``page_text``, ``p_spans`` (place of each paragraph in it), ``p_texts``
-    (their texts), ``els`` (the elements asked for) and ``parse_failed``.  ``wanted`` is an array of
-    ``(tag, attr, value)``, usually an expression over the URL, and is null for
-    pages that need no elements: only those then leave the Python worker.
+    (their texts), ``els`` (the elements asked for) and ``parse_failed``.
+    ``wanted`` is an array of ``(tag, attr, value)``, usually an expression over the
+    URL, and is null for pages that need no elements: only those then leave the
+    Python worker.  A page whose paragraphs would not fit in one string has failed.
     ``fragment`` is HTML found inside a script; its text is added as
     ``fragment_text``.  A null ``html`` is not parsed.
 
