@@ -182,6 +182,7 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     prints = narrow.groupBy("fingerprint").agg(F.min(key).alias("first"))
     classes = fingerprint_classes(prints.select("fingerprint"), max_bits)
     kept = prints.join(classes, "fingerprint").groupBy("class").agg(F.min("first").alias("first"))
-    kept = kept.select(F.col("first.r").alias("_kept"))
-    return docs.withColumn("_row", whole).join(kept.distinct(), F.col("_row") == F.col("_kept"), "left_semi") \
-        .dropDuplicates(["_row"]).select(*[F.col(f"`{c}`") for c in columns])
+    kept = kept.select(F.col("first.r").alias("_kept"), F.col("first.i").alias("_kept_id"))
+    chosen = (F.col("_row") == F.col("_kept")) & F.col(f"`{id_col}`").eqNullSafe(F.col("_kept_id"))
+    return docs.withColumn("_row", whole).join(kept, chosen, "left_semi") \
+        .dropDuplicates(["_row", id_col]).select(*[F.col(f"`{c}`") for c in columns])
