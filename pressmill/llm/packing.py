@@ -28,8 +28,10 @@ END_ID = 1
 TOKENIZER = "word_bpe_49k.json"
 # words a Python worker remembers the ids of
 REMEMBERED_WORDS = 600_000
-# numbering of one length is spread over so many groups
+# numbering of one length is spread over so many groups at least, and over one more
+# for so many pieces
 NUMBER_GROUPS = 64
+GROUP_PIECES = 1_000_000
 
 
 def tokenizer_path(name: str = TOKENIZER) -> str:
@@ -267,23 +269,21 @@ def pack(parts: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     The runs of places sent to the tasks number at most a few per length, so their
     size is bounded by the capacity.
     """
-    spark = parts.sparkSession
-    group = F.pmod(F.xxhash64("row", "piece"), F.lit(NUMBER_GROUPS)).cast("int")
-    grouped = parts.withColumn("_group", group)
+    groups = max(NUMBER_GROUPS, parts.count() // GROUP_PIECES)
+    grouped = parts.withColumn("_group", F.pmod(F.xxhash64("row", "piece"), F.lit(groups)).cast("int"))
     sizes = grouped.groupBy("length", "_group").agg(F.count("*").alias("n"))
-    counts, firsts = {}, []
-    # at most capacity x NUMBER_GROUPS rows
-    for length, number, n in sorted(tuple(r) for r in sizes.collect()):
-        firsts.append((length, number, counts.get(length, 0)))
-        counts[length] = counts.get(length, 0) + n
+    # at most a row for each length
+    counts = dict(map(tuple, sizes.groupBy("length").agg(F.sum("n")).collect()))
     runs = pd.DataFrame(places(plan(counts, capacity)), columns=["length", "first", "last", "sequence", "per", "offset"])
     by_length = {k: g.sort_values("first") for k, g in runs.groupby("length")}
-    before = {(a, b): c for a, b, c in firsts}
+    earlier = Window.partitionBy("length").orderBy("_group").rowsBetween(Window.unboundedPreceding, -1)
+    firsts = sizes.select("length", "_group", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("_before"))
+
+    names = parts.columns
 
     def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            rank = batch["_rank"].to_numpy(np.int64) + np.array(
-                [before[x] for x in zip(batch["length"], batch["_group"])], dtype=np.int64)
+            rank = batch["_rank"].to_numpy(np.int64) + batch["_before"].to_numpy(np.int64)
             sequence, offset = np.zeros(len(batch), np.int64), np.zeros(len(batch), np.int64)
             lengths = batch["length"].to_numpy(np.int64)
             for length in np.unique(lengths):
@@ -295,10 +295,11 @@ def pack(parts: DataFrame, capacity: int = CAPACITY) -> DataFrame:
                 per = run["per"].to_numpy()
                 sequence[own] = run["sequence"].to_numpy() + inside // per
                 offset[own] = run["offset"].to_numpy() + inside % per * length
-            yield batch.drop(columns=["_rank", "_group"]).assign(sequence_id=sequence, offset=offset)
+            yield batch[names].assign(sequence_id=sequence, offset=offset)
 
     ranked = grouped.withColumn(
         "_rank", F.row_number().over(Window.partitionBy("length", "_group").orderBy("row", "piece")) - 1)
+    ranked = ranked.join(firsts, ["length", "_group"]).select(*names, "_rank", "_before")
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in parts.schema)
     return ranked.mapInPandas(place, f"{fields}, sequence_id long, offset long")
 
