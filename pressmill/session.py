@@ -62,3 +62,10 @@ def write_between(df: DataFrame) -> DataFrame:
     ])
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def clear_between(spark: SparkSession) -> None:
+    """Remove the tables this application wrote between stages; call it when no result needs them any more."""
+    path = spark._jvm.org.apache.hadoop.fs.Path("/".join([
+        shared_folder(spark).rstrip("/"), "pressmill", spark.sparkContext.applicationId]))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -85,3 +85,35 @@ def test_page_text_examples(values, text, label):
     got = values([(text,)], "text string", rules.page_text_label("text"))
     assert got == [label and LABEL_PREFIX + label]
 
+
+
+# Written out by hand, so that a wrong needle or label in the tables shows.
+@pytest.mark.parametrize("url, label", [
+    ("https://calciomercato.com/x", "ERROR: Must enable cookies to access site"),
+    ("http://a.example/report.pdf", "ERROR: Content is a pdf"),
+    ("http://a.example/x.jpg", "ERROR: Video/ Image content only"), ("http://a.example/x.jpg?y", None),
+    ("http://www.msnbc.com/watch/1", "ERROR: Video/ Image content only"), ("http://www.msnbc.com/1", None),
+    ("http://learnprogress.org/a", "ERROR: Website is no longer maintained"), ("http://a.example/story", None),
+])
+def test_urls_by_hand(values, url, label):
+    assert values([(url,)], "url string", rules.url_label("url")) == [label]
+
+
+def test_page_texts_by_hand(values):
+    cases = {
+        "x 410 deleted by author": "ERROR: 410 Deleted", "406 not acceptable!": "ERROR: 406 Not Acceptable",
+        "not acceptable": "ERROR: 406 Not Acceptable", "not found": "ERROR: 404 Page not found", "not found.": None,
+        "a this content has been removed b": "ERROR: Article has been archived",
+        "we blocked your ip": "ERROR: Blocked from website", "too many requests": "ERROR: Blocked from website",
+        "internal server error": "ERROR: Internal Server Error", "a client-side exception": "ERROR: Client-Side Exception",
+        "x\nvia youtube": "ERROR: Video/ Image content only", "an ordinary article": None,
+    }
+    assert values([(t,) for t in cases], "text string", rules.page_text_label("text")) == list(cases.values())
+
+
+def test_empty_pages_by_hand(values):
+    cases = [("http://pantsonfirenews.com/a", "Some Text", "ERROR: 403 Forbidden"),
+             ("http://ktla.com/news/a", "Some Text", "ERROR: 451 Unavailable for legal reasons"),
+             ("http://a.example/", " ", "ERROR: 404 Page not found")]
+    got = values([c[:2] for c in cases], "url string, text string", rules.empty_page_result("url", "text", "lower(text)"))
+    assert got == [c[2] for c in cases]
