@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import json
-
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 
@@ -27,13 +25,5 @@ def learned(key: str | Column, n: int) -> Column:
     return F.coalesce(crc_mod(key, n) != 0, F.lit(False))
 
 
-def sha256_hex(column: Column) -> Column:
-    return F.sha2(column.cast("binary"), 256)
-
-
-def json_literal(value) -> Column:
-    return F.lit(json.dumps(value))
-
-
 def total_bytes(docs: DataFrame, text: str = "text") -> int:
     return docs.agg(F.sum(F.octet_length(text))).first()[0] or 0

@@ -242,7 +242,8 @@ def update(docs: DataFrame, model: Model, id_col: str, text_col: str) -> Model:
             "seen": pa.array([R.to_bits(o[1]) for o in out], pa.binary()),
             "data": pa.array([o[2].astype(np.float16).tobytes() for o in out], pa.binary())})
 
-    def average(key, batches):
+    # batch by batch: a task sees one message of every other task
+    def average(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = count = None
         for batch in batches:
             for seen, data in zip(batch.column("seen").to_pylist(), batch.column("data").to_pylist()):
@@ -256,7 +257,7 @@ def update(docs: DataFrame, model: Model, id_col: str, text_col: str) -> Model:
 
     texts = docs.where(F.col(f"`{text_col}`").isNotNull()).select(F.col(f"`{text_col}`").alias("_text"))
     changes = texts.mapInArrow(steps, "message long, seen binary, data binary") \
-        .groupBy("message").applyInArrow(_by_batches(average), "message long, data binary")
+        .groupBy("message").applyInArrow(average, "message long, data binary")
     # the whole model, whose size is fixed
     for message, data in changes.collect():
         change = np.frombuffer(data, np.float32).reshape(-1, CLASSES)
@@ -268,14 +269,6 @@ def update(docs: DataFrame, model: Model, id_col: str, text_col: str) -> Model:
     return model
 
 
-def _by_batches(run):
-    """``run(key, batches)`` as a function on one table of a group."""
-    def of_table(key, rows):
-        return pa.Table.from_batches(list(run(key, rows.to_batches(max_chunksize=8))))
-
-    return of_table
-
-
 def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", run_bytes: int = R.RUN_BYTES) -> DataFrame:
     """Per document: id, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score`` and ``score``.
 
