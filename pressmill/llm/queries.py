@@ -108,7 +108,10 @@ FROM docs LEFT JOIN removed USING (doc_id)
 
 BYTES_SQL = """
 WITH docs AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
-windows AS (SELECT doc_id, s, substr(h, 2 * s + 1, 100) AS g FROM docs, unnest(range(0, length(h) // 2 - 49)) AS t(s)),
+pieces AS (SELECT doc_id, 256 * c AS start, substr(h, 512 * c + 1, 610) AS piece FROM docs, unnest(range(0, length(h) // 512 + 1)) AS t(c)),
+windows AS (
+  SELECT doc_id, start + j AS s, md5_number(substr(piece, 2 * j + 1, 100)) AS g
+  FROM pieces, unnest(range(0, least(256, length(piece) // 2 - 49))) AS t(j)),
 firsts AS (SELECT g, min(doc_id) AS m FROM windows GROUP BY g),
 hits AS (SELECT doc_id, s, lag(s) OVER (PARTITION BY doc_id ORDER BY s) AS before FROM windows JOIN firsts USING (g) WHERE m < doc_id),
 marked AS (SELECT doc_id, s, sum(CASE WHEN before >= s - 50 THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY s) AS span FROM hits),
