@@ -3,8 +3,10 @@
 Every document is repeated a Poisson number of times whose mean is its source's
 rate, ``weight x total / documents of the source``.  The number is the inverse of
 the Poisson distribution at a uniform value hashed from seed and document, so it
-does not depend on partitioning and can be repeated by any engine.  Copies are put
-in a global random order by a second hash.
+does not depend on partitioning and can be repeated by any engine.  A rate whose
+``exp(-rate)`` doubles cannot hold is the sum of equal smaller ones, each drawn from
+its own hash: a sum of Poisson numbers is one.  Copies are put in a global random
+order by a second hash.
 """
 
 from __future__ import annotations
@@ -17,6 +19,10 @@ SEED = "mix-1"
 POWER = 0.5
 # sources whose table of probabilities is sent to every task; beyond it, a join
 BROADCAST_SOURCES = 10_000
+# rates over the first are drawn as sums of draws of at most the second
+ONE_DRAW, PART_RATE = 700, 500
+# copies of a document that are listed at once
+COPIES_AT_ONCE = 1024
 
 
 def uniform(*key: Column) -> Column:
@@ -66,22 +72,28 @@ def poisson_copies(docs: DataFrame, id_col: str = "doc_id", source: str = "sourc
     """``docs`` with ``_copy`` (from 1) and ``_order``: one row per copy, not yet shuffled.
 
     The draw depends on seed and id only, so repeated rows are repeated alike; a
-    null id draws like an empty one.  Rates over 700 are drawn in doubles that cannot
-    hold ``exp(-rate)``, so they are refused.
+    null id draws like an empty one.  Rates may be of any size.
     """
     rates = source_rates(docs, source, power, weights, total)
-    sources, highest = rates.agg(F.count("*"), F.max("rate")).first()
-    if (highest or 0) > 700:
-        raise ValueError("a source would have to be repeated more than 700 times")
-    table = rates.select("__mix_source", _terms(F.col("rate")).alias("__mix_terms"))
+    sources = rates.count()
+    parts = F.when(F.col("rate") > ONE_DRAW, F.ceil(F.col("rate") / PART_RATE)).otherwise(F.lit(1)).cast("int")
+    table = rates.withColumn("__mix_parts", parts).select(
+        "__mix_source", "__mix_parts", _terms(F.col("rate") / F.col("__mix_parts")).alias("__mix_terms"))
     if sources <= BROADCAST_SOURCES:
         table = F.broadcast(table)
-    u = uniform(F.lit(seed), F.coalesce(F.col(id_col).cast("string"), F.lit("")))
+    name = F.coalesce(F.col(id_col).cast("string"), F.lit(""))
+    several = F.transform(F.sequence(F.lit(1), F.col("__mix_parts")),
+                          lambda i: uniform(F.lit(seed), F.lit("draw"), name, i.cast("string")))
+    us = F.when(F.col("__mix_parts") == 1, F.array(uniform(F.lit(seed), name))).otherwise(several)
+    numbers = F.transform(us, lambda u: F.size(F.filter("__mix_terms", lambda c: c <= u)))
     drawn = docs.join(table, F.col(source).eqNullSafe(F.col("__mix_source"))) \
-        .withColumn("__mix_u", u) \
-        .withColumn("__mix_n", F.size(F.filter("__mix_terms", lambda c: c <= F.col("__mix_u"))))
-    copies = drawn.where("__mix_n > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("__mix_n"))))
-    order = F.md5(F.concat_ws("|", F.lit(seed), F.lit("order"), F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.col("_copy").cast("string")))
+        .withColumn("__mix_n", F.aggregate(numbers, F.lit(0).cast("long"), lambda s, n: s + n))
+    # in two steps, so that no list is as long as the copies of a document
+    n, at = F.col("__mix_n"), F.col("__mix_at")
+    copies = drawn.where("__mix_n > 0") \
+        .withColumn("__mix_at", F.explode(F.sequence(F.lit(1).cast("long"), n, F.lit(COPIES_AT_ONCE).cast("long")))) \
+        .withColumn("_copy", F.explode(F.sequence(at, F.least(at + F.lit(COPIES_AT_ONCE - 1), n))))
+    order = F.md5(F.concat_ws("|", F.lit(seed), F.lit("order"), name, F.col("_copy").cast("string")))
     return copies.withColumn("_order", order).select(*[docs[c] for c in docs.columns], "_copy", "_order")
 
 

@@ -37,7 +37,7 @@ def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     copies = mixing.poisson_copies(docs)
     return copies.orderBy("_order").select(
-        "doc_id", "text", "lang", "source", "n_chars", F.col("_copy").alias("copy"), F.col("_order").alias("mix_order"))
+        "doc_id", "text", "lang", "source", "n_chars", F.col("_copy").cast("int").alias("copy"), F.col("_order").alias("mix_order"))
 
 
 def op7_ann_search(spark: SparkSession, sf_dir: str) -> DataFrame:

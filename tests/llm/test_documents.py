@@ -123,6 +123,27 @@ def test_mixing(docs, documents, no_docs):
     assert [r[0] for r in only] == ["src1"]
 
 
+def test_mixing_of_high_rates(spark):
+    rows = spark.range(300).select(F.col("id").alias("doc_id"), F.when(F.col("id") >= 100, "big").alias("source"))
+    # the 100 rows without a source are repeated 2,000 times on average, the others 3 times
+    total = 200_600
+    weights = {None: 200_000.0, "big": 600.0}
+    given = mixing.source_rates(rows, weights=weights, total=total).collect()
+    assert {r["__mix_source"]: round(r["rate"]) for r in given} == {None: 2000, "big": 3}
+
+    def numbers(df):
+        copies = mixing.poisson_copies(df, weights=weights, total=total).groupBy("doc_id")
+        found = copies.agg(F.count("*"), F.max("_copy"), F.countDistinct("_copy")).collect()
+        assert all(n == last == different for _, n, last, different in found)
+        return {r[0]: r[1] for r in found}
+
+    drawn = numbers(rows)
+    high = np.array([drawn[i] for i in range(100)])
+    assert abs(high.mean() - 2000) < 4 * math.sqrt(2000 / 100) and 0.5 < high.var(ddof=1) / 2000 < 1.7
+    assert drawn == numbers(rows.repartition(7))
+
+
+
 # -- SimHash -------------------------------------------------------------------
 
 def slow_print(text):
