@@ -5,9 +5,12 @@ that of the word in its class.  Classes are a few very frequent words each, the
 of a text, and groups of all other words by their last letters.  The class softmax
 has hashed n-gram and skip features: the word before, the two before together, and
 the words two and three places before.  The softmax inside a class has one weight
-per word, whose maximum-entropy value is the logarithm of its count.
+per word, whose maximum-entropy value is the logarithm of its count.  What results
+is the lowest order of an interpolation with the counts of pairs and triples of
+words, so that the words before tell of every word and not only of its class.  A
+training text is scored without the occurrence in question in these counts.
 
-Counts of all words are gathered through runs, so their traffic grows with the
+Counts of all words, pairs and triples are gathered through runs, so their traffic grows with the
 corpus.  The weights are trained on all training texts: in each round every task
 takes gradient steps on its texts from the same weights, and the changes, averaged
 row by row by Spark, are the round's update.  Texts are scored in sparse numpy
@@ -39,8 +42,12 @@ BUCKET_BITS = (12, 13, 12, 12)
 ROUNDS = 2
 RATE = 0.5
 BATCH = 16_384
+# occurrences that the lower order counts as beside the counts of a pair and of a triple
+LOWER = (200.0, 50.0)
 # weight rows of a message
 MESSAGE_ROWS = 1024
+# messages of a run that are sent at once
+MESSAGES = 32
 END = np.uint64(0x5E9D_0000_0000_0001)
 
 _COUNTS = R.ANSWER + ", name long, n long"
@@ -70,13 +77,41 @@ def _tokens(block: R.Block):
     return owner, names, classes
 
 
+def _before(owner: np.ndarray, values: np.ndarray, k: int, first) -> np.ndarray:
+    """Value of the token ``k`` places before every token; ``first`` where the text does not reach back."""
+    past = np.full(len(values), first, values.dtype)
+    if len(values) > k:
+        past[k:] = np.where(owner[k:] == owner[:-k], values[:-k], past[k:])
+    return past
+
+
+def _ngrams(owner: np.ndarray, names: np.ndarray) -> list[np.ndarray]:
+    """Names of the pair and the triple that end in every token; their last bit is 0."""
+    one, two = (_before(owner, names, k, 0) for k in (1, 2))
+    return [x & ~np.uint64(1) for x in (R.pair(one, names, 8), R.pair(R.pair(two, one, 5), names, 9))]
+
+
+def _packed(counts: np.ndarray) -> bytes:
+    """Counts in as many bytes each as the largest needs."""
+    return R.planes(counts, max(1, (int(counts.max()).bit_length() + 7) // 8))
+
+
+def _unpacked(data: bytes, n: int) -> np.ndarray:
+    return R.from_planes(data, n, len(data) // n)
+
+
+def _counts_of(keys: np.ndarray, found: dict[int, bytes], bits: int) -> np.ndarray:
+    """Counts of the n-grams of a run from its answers."""
+    keys, at = np.unique(keys, return_inverse=True)
+    total = np.empty(len(keys), np.int64)
+    for part, own in R.parts_of(keys, bits):
+        total[own] = _unpacked(found[part], own.stop - own.start)
+    return total[at]
+
+
 def _features(owner: np.ndarray, names: np.ndarray) -> list[np.ndarray]:
     """Weight row of each feature for every token."""
-    back = []
-    for k in (1, 2, 3):
-        past = np.zeros(len(names), np.uint64)
-        past[k:] = np.where(owner[k:] == owner[:-k], names[:-k], np.uint64(0)) if len(names) > k else past[k:]
-        back.append(past)
+    back = [_before(owner, names, k, 0) for k in (1, 2, 3)]
     keys = (back[0], R.pair(back[0], back[1], 5), back[1], back[2])
     return [(R.mix(key, 50 + i) >> np.uint64(64 - bits)).astype(np.int64) for i, (key, bits) in enumerate(zip(keys, BUCKET_BITS))]
 
@@ -148,31 +183,69 @@ def take_steps(model: Model, touched: list[np.ndarray], owner: np.ndarray, names
 
 
 def count_words(given: R.Runs) -> DataFrame:
-    """Counts over training texts of the words of every run, in its order of words; totals by class; frequent words."""
+    """Counts over training texts of the words, pairs and triples of every run, in its order of them; totals by
+    class; frequent words.
+
+    Pairs and triples are orders 1 and 2; a part's number holds the order above its lower 32 bits.
+    """
     bits = given.bits
 
-    def words(key, rows):
-        _, _, texts, train = _texts(rows)
-        names, letters, counted = [], [], []
+    # in parts: neither the keys of all orders nor their messages are held at once
+    def words(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _, _, texts, train = _texts(pa.Table.from_batches(batches))
+        names, letters, counted, ngrams = [], [], [], ([], [])
         for block in R.blocks(texts):
             owner, name, by_letters = _tokens(block)
+            for known, new in zip(ngrams, _ngrams(owner, name)):
+                known.append(new)
             names.append(name)
             letters.append(by_letters)
             counted.append(train[owner + block.first])
         if not names:
-            return R.blobs([])
+            return
+        del texts
         name, letter, mine = map(np.concatenate, (names, letters, counted))
         order = np.argsort(name, kind="stable")
         heads = R.groups(name[order])
         keys, kinds = name[order][heads], letter[order][heads]
         counts = np.add.reduceat(mine[order].astype(np.int64), heads)
-        return R.blobs([(part, key[0].as_py(), at.stop - at.start,
-                         keys[at].tobytes() + kinds[at].astype(np.uint8).tobytes() + R.planes(counts[at], 6))
-                        for part, at in R.parts_of(keys, bits)])
+        out = [(part, key[0].as_py(), at.stop - at.start,
+                keys[at].tobytes() + kinds[at].astype(np.uint8).tobytes() + R.planes(counts[at], 6))
+               for part, at in R.parts_of(keys, bits)]
+        del names, letters, counted, name, letter, order, keys, kinds, counts
+        yield from R.blobs(out).to_batches(MESSAGES)
+        for number, found in enumerate(ngrams, 1):
+            # the last bit tells whether the token counts
+            coded = np.concatenate(found)
+            found.clear()
+            coded |= mine
+            coded.sort()
+            heads = R.groups(coded >> np.uint64(1))
+            counts = np.add.reduceat((coded & np.uint64(1)).astype(np.int64), heads)
+            keys = coded[heads]
+            del coded, heads
+            out = [(number << 32 | part, key[0].as_py(), at.stop - at.start,
+                    R.planes(keys[at] >> np.uint64(1), R.PLACE_BYTES) + _packed(counts[at]))
+                   for part, at in R.parts_of(keys, bits)]
+            del keys, counts
+            yield from R.blobs(out).to_batches(MESSAGES)
+
+    def ngram_totals(part, numbers, counts, data):
+        wide = R.PLACE_BYTES
+        names = np.concatenate([R.from_planes(d[: wide * n], n, wide) for n, d in zip(counts, data)])
+        own = np.concatenate([_unpacked(d[wide * n:], n) for n, d in zip(counts, data)]).astype(np.int64)
+        order = np.argsort(names, kind="stable")
+        heads = R.groups(names[order])
+        every = np.empty(len(order), np.uint64)
+        every[order] = np.repeat(np.add.reduceat(own[order], heads), np.diff(np.append(heads, len(order)))).astype(np.uint64)
+        return [(n, 4 + (part >> 32), part & 0xFFFFFFFF, _packed(x), None, None)
+                for n, x in zip(numbers, np.split(every, np.cumsum(counts)[:-1]))]
 
     def totals(key, rows):
         part = key[0].as_py()
         numbers, counts, data = rows["run"].to_pylist(), rows["count"].to_pylist(), rows["data"].to_pylist()
+        if part >> 32:
+            return answer(ngram_totals(part, numbers, counts, data))
         names = np.concatenate([np.frombuffer(d, np.uint64, n) for n, d in zip(counts, data)])
         kinds = np.concatenate([np.frombuffer(d, np.uint8, n, 8 * n) for n, d in zip(counts, data)])
         own = np.concatenate([R.from_planes(d[9 * n:], n, 6) for n, d in zip(counts, data)]).astype(np.int64)
@@ -190,6 +263,9 @@ def count_words(given: R.Runs) -> DataFrame:
         out += [(-1, 4, part, None, k, int(m)) for k, m in enumerate(size) if m]
         often = np.lexsort((word, -total))[: WORD_CLASSES + 1]
         out += [(-1, 2, part, bytes([int(kind[i])]), int(word[i]), int(total[i])) for i in often if total[i]]
+        return answer(out)
+
+    def answer(out):
         kinds_ = (pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.int64(), pa.int64())
         return pa.table({c: pa.array(v, t) for c, v, t in zip(
             ("run", "kind", "part", "data", "name", "n"), zip(*out), kinds_)})
@@ -290,7 +366,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", run_b
 
     def scored(key, rows, answers):
         known = sent.value
-        ids, has_id, texts, _ = _texts(rows)
+        ids, has_id, texts, train = _texts(rows)
         found = R.answers_of(answers, 0)
         parts = [(b, *_tokens(b)) for b in R.blocks(texts)]
         if not parts:
@@ -304,6 +380,10 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", run_b
         one = np.ones(CLASSES, np.float32)
         room, spare = np.empty((BATCH, CLASSES), np.float32), np.empty((BATCH, CLASSES), np.float32)
         inner = known.mass + SMOOTHING * (known.size + 1)
+        ngrams = [_counts_of(np.concatenate([_ngrams(p[1], p[2])[i] for p in parts]), R.answers_of(answers, 5 + i), bits)
+                  for i in (0, 1)]
+        # as many texts begin as end
+        begun, token = int(known.mass[WORD_CLASSES]), 0
         for block, owner, names, letters in parts:
             count = total[np.searchsorted(keys, names)]
             classes, features = known.classes(names, letters), _features(owner, names)
@@ -317,16 +397,22 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", run_b
                 np.exp(z, out=z)
                 chance[at: at + BATCH] = own - np.log(z @ one)
             inside = np.where(classes <= WORD_CLASSES, 1.0, (count + SMOOTHING) / inner[classes])
+            pairs, triples = (x[token: token + len(names)] for x in ngrams)
+            token += len(names)
+            own = train[owner + block.first].astype(np.int64)
+            p = np.exp(chance) * inside
+            for times, before, lower in ((pairs, count, LOWER[0]), (triples, pairs, LOWER[1])):
+                p = (times - own + lower * p) / (_before(owner, before, 1, begun) - own + lower)
             size, here = len(block.texts), slice(block.first, block.first + len(block.texts))
             n[here] = np.bincount(owner, minlength=size)
             n_known[here] = np.bincount(owner, weights=count > 0, minlength=size)
             base[here] = np.bincount(owner, np.log10((count + 0.1) / (tokens + 0.1 * (distinct + 1))), minlength=size)
-            full[here] = np.bincount(owner, chance / np.log(10) + np.log10(inside), minlength=size)
+            full[here] = np.bincount(owner, np.log10(np.maximum(p, 1e-300)), minlength=size)
         return pa.table({
             "_id": pa.array(ids, pa.int64(), mask=~has_id), "n_tokens": pa.array(n), "n_known": pa.array(n_known),
             "train_tokens": pa.array(np.full(len(n), int(tokens))), "base_score": pa.array(base), "score": pa.array(full)})
 
     schema = "_id long, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    back = counts.where("kind = 0").select("run", "kind", "part", "data")
+    back = counts.where("kind IN (0, 5, 6)").select("run", "kind", "part", "data")
     out = given.docs.groupBy("_run").cogroup(back.groupBy("run")).applyInArrow(scored, schema)
     return out.withColumnRenamed("_id", id_col)

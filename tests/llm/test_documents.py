@@ -52,6 +52,27 @@ def test_scores(docs, documents, no_docs):
     assert lm.score(no_docs).count() == 0
 
 
+def test_words_before_tell_of_words_of_one_class(spark):
+    # all words end alike; only their pairs tell a text from a shuffled one
+    rng = np.random.default_rng(4)
+    follow = dict(zip(range(200), rng.permutation(200).tolist()))
+
+    def text(fluent):
+        words = []
+        for w in rng.integers(0, 200, 40).tolist():
+            words += [f"a{w}xx", f"b{follow[w] if fluent else rng.integers(0, 200)}xx"]
+        return " ".join(words)
+
+    held = [i for i in range(3000) if not fold(i, 10)]
+    shuffled = set(held[::2])
+    rows = [(i, text(i not in shuffled)) for i in range(3000)]
+    scores = {r["doc_id"]: r["score"] for r in lm.score(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert min(scores[i] for i in held[1::2]) > max(scores[i] for i in held[::2]) + 20
+    # a text is scored without its own occurrences
+    learned_from = [scores[i] for i in range(3000) if fold(i, 10)]
+    assert abs(np.mean(learned_from) - np.mean([scores[i] for i in held[1::2]])) < 3
+
+
 # -- packing -------------------------------------------------------------------
 
 def test_packing(docs, documents, no_docs):
