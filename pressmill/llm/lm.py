@@ -331,7 +331,8 @@ def update(docs: DataFrame, model: Model, id_col: str, text_col: str) -> Model:
         mean = (total / np.maximum(count, 1)[:, None]).astype(np.float32)
         yield pa.RecordBatch.from_pydict({"message": pa.array([key[0].as_py()], pa.int64()), "data": pa.array([mean.tobytes()], pa.binary())})
 
-    texts = docs.where(F.col(f"`{text_col}`").isNotNull()).select(F.col(f"`{text_col}`").alias("_text"))
+    # a null text is an empty one, whose end is learned from
+    texts = docs.select(F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("_text"))
     changes = texts.mapInArrow(steps, "message long, seen binary, data binary") \
         .groupBy("message").applyInArrow(average, "message long, data binary")
     # the whole model, whose size is fixed

@@ -52,6 +52,13 @@ def test_scores(docs, documents, no_docs):
     assert lm.score(no_docs).count() == 0
 
 
+def test_null_texts_teach_their_end(spark):
+    texts = spark.createDataFrame([(i, None) for i in range(50)], "doc_id long, text string")
+    model = lm.Model([np.zeros((1 << b, lm.CLASSES), np.float32) for b in lm.BUCKET_BITS], np.zeros(lm.CLASSES, np.float32),
+                     np.zeros(0, np.uint64), np.zeros(lm.CLASSES), np.zeros(lm.CLASSES))
+    assert lm.update(texts, model, "doc_id", "text").bias.argmax() == lm.WORD_CLASSES
+
+
 def test_words_before_tell_of_words_of_one_class(spark):
     # all words end alike; only their pairs tell a text from a shuffled one
     rng = np.random.default_rng(4)
