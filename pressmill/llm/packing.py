@@ -135,53 +135,53 @@ def reduce_by_dominance(counts: dict[int, int], capacity: int) -> tuple[list[tup
     """Patterns fixed by dominance, as (lengths, times), and the counts that are left.
 
     For the longest piece ``j``: if nothing fits beside it, it stays alone; if a
-    piece fills the sequence exactly, or at most one piece fits beside it, or no two
-    pieces that fit together beat the largest one that fits, then ``j`` with that
-    largest piece dominates every other set.
+    piece fills the sequence exactly, or no three pieces fit beside it and no two
+    that do beat the largest one, then ``j`` with that largest piece dominates every
+    other set.
     """
     left = {k: n for k, n in counts.items() if n > 0}
     fixed = []
     lengths = sorted(left)
 
-    def largest(most: int, own: int) -> int | None:
-        """Largest length of at most ``most`` that is there when one ``own`` is taken."""
-        at = bisect.bisect_right(lengths, most) - 1
-        while at >= 0 and left[lengths[at]] - (lengths[at] == own) <= 0:
-            at -= 1
-        return lengths[at] if at >= 0 else None
-
-    def best_two(room: int, own: int) -> int:
-        """Largest sum of two pieces that fit together into ``room``; 0 if no two do."""
-        best, i, j = 0, 0, bisect.bisect_right(lengths, room) - 1
-        while i <= j:
-            total = lengths[i] + lengths[j]
+    def best_two(there: list[int], own: int, room: int) -> int:
+        """Largest sum of two pieces of ``there`` that fit together into ``room``; 0 if no two do."""
+        best, i, j = 0, 0, len(there) - 1
+        while i < j:
+            total = there[i] + there[j]
             if total > room:
                 j -= 1
-                continue
-            need = 2 if i == j else 1
-            enough = left[lengths[i]] - (lengths[i] == own) >= need and left[lengths[j]] - (lengths[j] == own) >= need
-            if enough:
+            else:
                 best = max(best, total)
-            if i == j or enough and total == room:
-                break
-            i += 1
+                i += 1
+        if i == j and 2 * there[i] <= room and left[there[i]] - (there[i] == own) >= 2:
+            best = max(best, 2 * there[i])
         return best
 
+    def three_fit(there: list[int], own: int, room: int) -> bool:
+        """Whether the three smallest pieces of ``there`` fit together into ``room``."""
+        least = [x for x in there[:3] for _ in range(min(3, left[x] - (x == own)))][:3]
+        return len(least) == 3 and sum(least) <= room
+
     for j in sorted(left, reverse=True):
         while left.get(j):
             room = capacity - j
-            k = largest(room, j)
+            # lengths that fit and are there when one ``j`` is taken
+            there = lengths[: bisect.bisect_right(lengths, room)]
+            if j <= room and left[j] == 1:
+                there.remove(j)
+            k = there[-1] if there else None
             if k is None:
                 fixed.append(((j,), left[j]))
                 left[j] = 0
                 break
-            if not (j + k == capacity or best_two(room, j) <= k):
+            if j + k < capacity and (three_fit(there, j, room) or best_two(there, j, room) > k):
                 break
             times = left[j] // 2 if j == k else min(left[j], left[k])
             # the criterion holds anew for each pair as long as k is there and no better piece comes
             fixed.append(((j, k), times))
             left[j] -= times
             left[k] -= times
+            lengths = [x for x in lengths if left[x]]
         lengths = [x for x in lengths if left[x]]
     return fixed, {k: n for k, n in left.items() if n}
 

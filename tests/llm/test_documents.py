@@ -119,6 +119,32 @@ def test_dominance():
     assert total == counts
 
 
+def fewest(pieces, capacity):
+    """Fewest sequences of a few pieces, by trying all."""
+    def place(at, rooms, best):
+        if len(rooms) >= best:
+            return best
+        if at == len(pieces):
+            return len(rooms)
+        for i in range(len(rooms)):
+            if rooms[i] >= pieces[at] and rooms[i] not in rooms[:i]:
+                best = place(at + 1, [*rooms[:i], rooms[i] - pieces[at], *rooms[i + 1:]], best)
+        return place(at + 1, [*rooms, capacity - pieces[at]], best)
+
+    return place(0, [], len(pieces) + 1)
+
+
+def test_fixed_sets_cost_no_sequence():
+    assert packing.reduce_by_dominance({10: 1, 7: 1, 3: 7}, 19)[0] == []
+    rng = np.random.default_rng(5)
+    for _ in range(300):
+        capacity = int(rng.integers(10, 40))
+        pieces = sorted(rng.integers(1, capacity + 1, int(rng.integers(2, 10))).tolist(), reverse=True)
+        fixed, left = packing.reduce_by_dominance(collections.Counter(pieces), capacity)
+        rest = sorted((x for x, n in left.items() for _ in range(n)), reverse=True)
+        assert sum(n for _, n in fixed) + fewest(rest, capacity) == fewest(pieces, capacity)
+
+
 def test_odd_texts_tokenise_alike():
     from tokenizers import Tokenizer
 
