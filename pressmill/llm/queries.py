@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from pressmill.llm import ann, forest, langid, lm, mixing, packing, pii, simhash, substring, suffix
-from pressmill.llm.common import held_out, learned, table
+from pressmill.llm import ann, forest, langid, lm, merkle, mixing, packing, phrases, pii, quality, simhash, substring, suffix
+from pressmill.llm.common import crc_mod, held_out, learned, table
 
 
 def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -68,10 +68,33 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return forest.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    more = (F.col("n_chars").cast("decimal(20,0)") + 1).cast("string")
+    changed = merkle.leaf_digest([more if f == "n_chars" else F.col(f) for f in merkle.FIELDS])
+    own = merkle.leaf_digest([F.col(f) for f in merkle.FIELDS])
+    found = merkle.manifest(docs, carry={"shown": F.when(crc_mod("doc_id", 7) == 0, changed).otherwise(own)})
+    return merkle.verify(found, F.col("shown")).select(
+        "doc_id", "leaf", "subroot", "root", F.sha2(merkle.proof_text(F.col("path")).cast("binary"), 256).alias("proof_sha256"),
+        "folded_root", "verified")
+
+
+def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    described = quality.describe_texts(table(spark, sf_dir, "documents"))
+    rules = quality.fit(described, table(spark, sf_dir, "labels"))
+    return quality.judge(described, rules).select(
+        "doc_id", *[F.col(f"counts.{c}") for c in quality.COUNTS[:5]], "base_failed", "kept", "rule")
+
+
 QUERIES = {
     f.__name__: f for f in (
         op1_suffix_dedup, op2_language_id, op3_substring_dedup, op4_lm_scoring, op5_best_fit_packing,
-        op6_source_mixing, op7_ann_search, op8_simhash, op9_pii, op10_embedding_dedup)
+        op6_source_mixing, op7_ann_search, op8_simhash, op9_pii, op10_embedding_dedup, op11_phrases,
+        op12_merkle_manifest, op13_quality_rules)
 }
 
 MIXING_SQL = """
@@ -140,7 +163,81 @@ SELECT vec_id, coalesce(n, 0) AS n_links, least(vec_id, coalesce(found.least, ve
 FROM v LEFT JOIN counts ON counts.a = vec_id LEFT JOIN found ON found.a = vec_id
 """
 
+PHRASES_SQL = r"""
+WITH parts AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS p
+  FROM documents),
+pieces AS (SELECT lang, regexp_extract_all(p, '[^\x20\x09]+') AS w FROM parts),
+grams AS (
+  SELECT lang, array_to_string(w[s:s + k - 1], ' ') AS phrase, k
+  FROM pieces, unnest(range(1, len(w) + 1)) AS t(s), range(1, 6) AS u(k) WHERE s + k - 1 <= len(w)),
+totals AS (SELECT lang, sum(len(w)) AS n FROM pieces GROUP BY lang),
+counts AS (SELECT lang, phrase, k, count(*) AS f FROM grams GROUP BY ALL HAVING count(*) >= 100),
+cands AS (SELECT lang, phrase, k, f AS a, string_split(phrase, ' ') AS w FROM counts WHERE k > 1),
+cuts AS (
+  SELECT c.lang, c.phrase, c.a, x.f AS l, y.f AS r, t.n, j,
+    CAST(1000 AS HUGEINT) * c.a * t.n // (CAST(x.f AS HUGEINT) * y.f) AS score
+  FROM cands c, range(1, 5) AS q(j), counts x, counts y, totals t
+  WHERE j < c.k AND x.lang = c.lang AND y.lang = c.lang AND t.lang = c.lang
+    AND x.phrase = array_to_string(c.w[1:j], ' ') AND y.phrase = array_to_string(c.w[j + 1:], ' ')),
+worst AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1),
+inner_parts AS (
+  SELECT lang, array_to_string(w[s:s + m - 1], ' ') AS phrase, max(a) AS over
+  FROM cands, range(1, 5) AS t(s), range(2, 5) AS u(m) WHERE m < k AND s + m - 1 <= k GROUP BY ALL),
+kept AS (SELECT worst.* FROM worst LEFT JOIN inner_parts p USING (lang, phrase) WHERE p.over IS NULL OR 100 * p.over < 100 * a),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT lang, rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score FROM ranked WHERE rank <= 2000
+"""
+
+_FIELD = "CASE WHEN {0} IS NULL THEN '-' ELSE strlen(CAST({0} AS VARCHAR)) || ':' || CAST({0} AS VARCHAR) END"
+_CRC32 = """xor(4294967295, list_reduce(list_concat([4294967295], flatten(list_transform(string_split(CAST({0} AS VARCHAR), ''),
+    lambda c: [ascii(c), -1, -1, -1, -1, -1, -1, -1, -1]))),
+    lambda x, e: CASE WHEN e >= 0 THEN xor(x, e) WHEN x % 2 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END))"""
+_LEAF = "sha256(" + " || ".join(_FIELD.format(f) for f in merkle.FIELDS) + ")"
+
+MERKLE_SQL = f"""
+WITH RECURSIVE leaves AS (
+  SELECT doc_id, lang, {_LEAF} AS leaf,
+    {_LEAF.replace("n_chars", "(n_chars + 1)")} AS changed,
+    row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, {_LEAF}) - 1 AS pos,
+    count(*) OVER (PARTITION BY lang) AS n
+  FROM documents),
+nodes(lang, lvl, pos, n, h) AS (
+  SELECT lang, 0, pos, n, leaf FROM leaves
+  UNION ALL
+  SELECT lang, lvl + 1, pos // 2, (n + 1) // 2, sha256(string_agg(h, '' ORDER BY pos))
+  FROM nodes WHERE n > 1 GROUP BY lang, lvl, pos // 2, n),
+subroots AS (
+  SELECT lang, h, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS pos, count(*) OVER () AS n FROM nodes WHERE n = 1),
+tops(lvl, pos, n, h) AS (
+  SELECT 0, pos, n, h FROM subroots
+  UNION ALL
+  SELECT lvl + 1, pos // 2, (n + 1) // 2, sha256(string_agg(h, '' ORDER BY pos)) FROM tops WHERE n > 1 GROUP BY lvl, pos // 2, n),
+steps AS (
+  SELECT a.lang, a.pos, b.lvl, CASE WHEN (a.pos >> b.lvl) % 2 = 1 THEN 'L' ELSE 'R' END || coalesce(s.h, '') AS step
+  FROM leaves a JOIN nodes b ON b.lang IS NOT DISTINCT FROM a.lang AND b.n > 1 AND b.pos = a.pos >> b.lvl
+  LEFT JOIN nodes s ON s.lang IS NOT DISTINCT FROM a.lang AND s.lvl = b.lvl AND s.pos = xor(a.pos >> b.lvl, 1)),
+lower_paths AS (SELECT lang, pos, list(step ORDER BY lvl) AS path FROM steps GROUP BY lang, pos),
+upper_paths AS (
+  SELECT a.lang, list(CASE WHEN (a.pos >> b.lvl) % 2 = 1 THEN 'L' ELSE 'R' END || coalesce(s.h, '') ORDER BY b.lvl) AS path
+  FROM subroots a JOIN tops b ON b.n > 1 AND b.pos = a.pos >> b.lvl
+  LEFT JOIN tops s ON s.lvl = b.lvl AND s.pos = xor(a.pos >> b.lvl, 1) GROUP BY a.lang),
+paths AS (
+  SELECT l.*, s.h AS subroot, (SELECT h FROM tops WHERE n = 1) AS root, list_concat(coalesce(p.path, []), coalesce(u.path, [])) AS path,
+    CASE WHEN {_CRC32.format("l.doc_id")} % 7 = 0 THEN l.changed ELSE l.leaf END AS shown
+  FROM leaves l JOIN subroots s ON s.lang IS NOT DISTINCT FROM l.lang
+  LEFT JOIN lower_paths p ON p.lang IS NOT DISTINCT FROM l.lang AND p.pos = l.pos
+  LEFT JOIN upper_paths u ON u.lang IS NOT DISTINCT FROM l.lang),
+folds AS (
+  SELECT *, list_reduce(list_concat([shown], path),
+    lambda x, y: CASE WHEN y[1] = 'L' THEN sha256(y[2:] || x) ELSE sha256(x || y[2:]) END) AS folded_root FROM paths)
+SELECT doc_id, leaf, subroot, root, sha256(array_to_string(list_transform(path, lambda p: p[2:]), '')) AS proof_sha256,
+  folded_root, folded_root = root AS verified
+FROM folds
+"""
+
 SQL = {
     "op1_suffix_dedup": BYTES_SQL, "op3_substring_dedup": WORDS_SQL, "op6_source_mixing": MIXING_SQL,
-    "op10_embedding_dedup": LINKS_SQL,
+    "op10_embedding_dedup": LINKS_SQL, "op11_phrases": PHRASES_SQL, "op12_merkle_manifest": MERKLE_SQL,
 }
