@@ -53,70 +53,65 @@ def proof_text(path: Column) -> Column:
     return F.array_join(F.transform(path, lambda step: F.concat(step["left"], step["right"])), "")
 
 
-def _run(columns: list[Column]) -> Column:
-    return F.concat(F.lit(""), *[F.coalesce(c, F.lit("")) for c in columns])
+def _run(columns: list[str]) -> str:
+    return "concat('', " + ", ".join(f"coalesce({c}, '')" for c in columns) + ")"
 
 
 class _Pivot:
     """Columns of one round: ``height`` levels of the trees, their nodes dealt into slots.
 
     ``n`` counts the nodes of a row's tree on the round's lowest level.  Where one is
-    left the tree has ended, and its root passes through the levels above.
+    left the tree has ended, and its root passes through the levels above.  Columns are
+    written as SQL text, as there are many of them.
     """
 
     def __init__(self, fanout: int, height: int):
         self.fanout, self.height, self.slots = fanout, height, fanout ** height
 
-    def nodes_at(self, level: int) -> Column:
-        return F.ceil(F.col("n") / F.lit(self.fanout ** level))
+    def nodes_at(self, level: int) -> str:
+        return f"((n + {self.fanout ** level - 1}) div {self.fanout ** level})"
 
-    def widths(self, level: int) -> range:
-        return range(self.fanout ** (self.height - level))
-
-    def name(self, level: int, i: int) -> str:
-        return f"slot_{level}_{i}"
+    def names(self, level: int) -> list[str]:
+        return [f"digest_{level}_{i}" for i in range(self.fanout ** (self.height - level))]
 
     def spread(self, nodes: DataFrame) -> DataFrame:
         """``nodes`` (tree, n, pos, node) to one row per parent with a column per node of every level."""
-        place = F.col("pos") % self.slots
-        columns = [F.max(F.when(place == i, F.col("node"))).alias(f"node_{i}") for i in range(self.slots)]
-        rows = nodes.groupBy("tree", "n", F.expr(f"pos div {self.slots}").alias("pos")).agg(*columns)
-        rows = rows.select("*", *[F.col(f"node_{i}.digest").alias(self.name(0, i)) for i in range(self.slots)])
+        columns = [F.expr(f"max(CASE WHEN pos % {self.slots} = {i} THEN node END) AS node_{i}") for i in range(self.slots)]
+        rows = nodes.groupBy("tree", "n", F.expr(f"pos div {self.slots} AS pos")).agg(*columns)
+        rows = rows.selectExpr("*", *[f"node_{i}.digest AS {name}" for i, name in enumerate(self.names(0))])
         for level in range(1, self.height + 1):
-            rows = rows.select("*", *[self._parent(level, i).alias(self.name(level, i)) for i in self.widths(level)])
+            rows = rows.selectExpr("*", *[f"{self._parent(level, i)} AS {name}" for i, name in enumerate(self.names(level))])
         return rows
 
-    def _children(self, level: int, i: int) -> list[Column]:
-        return [F.col(self.name(level - 1, i * self.fanout + k)) for k in range(self.fanout)]
+    def _children(self, level: int, i: int) -> list[str]:
+        return self.names(level - 1)[i * self.fanout: (i + 1) * self.fanout]
 
-    def _parent(self, level: int, i: int) -> Column:
+    def _parent(self, level: int, i: int) -> str:
         children = self._children(level, i)
-        hashed = F.when(children[0].isNotNull(), digest(_run(children)))
-        return F.when(self.nodes_at(level - 1) <= 1, children[0]).otherwise(hashed)
+        return (f"CASE WHEN {self.nodes_at(level - 1)} <= 1 THEN {children[0]} "
+                f"WHEN {children[0]} IS NOT NULL THEN sha2({_run(children)}, 256) END")
 
-    def top(self) -> Column:
-        return F.col(self.name(self.height, 0))
+    def top(self) -> str:
+        return self.names(self.height)[0]
 
-    def steps(self, slot: int) -> Column:
-        """Siblings of a slot's node and of its parents within the round, lowest first."""
+    def _steps(self, slot: int) -> str:
+        """Siblings of a slot's node and of its parents within the round, lowest first; null where a tree has ended."""
         steps = []
         for level in range(self.height):
             own = slot // self.fanout ** level
-            run = self._children(level + 1, own // self.fanout)
-            steps.append(F.struct(
-                _run(run[: own % self.fanout]).alias("left"), _run(run[own % self.fanout + 1:]).alias("right"),
-                (self.nodes_at(level) > 1).alias("hashed")))
-        return F.transform(F.filter(F.array(*steps), lambda s: s["hashed"]), lambda s: F.struct(s["left"], s["right"]))
+            run, at = self._children(level + 1, own // self.fanout), own % self.fanout
+            left, right = (_run(side) if side else "''" for side in (run[:at], run[at + 1:]))
+            steps.append(f"CASE WHEN {self.nodes_at(level)} > 1 THEN named_struct('left', {left}, 'right', {right}) END")
+        return f"array({', '.join(steps)})"
 
     def unfold(self, rows: DataFrame, above: DataFrame) -> DataFrame:
         """One row per node with its whole ``path``; ``above`` has (tree, pos, path, roots) of the parents."""
-        slots = F.array(*[
-            F.struct(F.lit(i).alias("slot"), F.col(f"node_{i}").alias("node"),
-                     F.when(F.col(f"node_{i}").isNotNull(), self.steps(i)).alias("steps")) for i in range(self.slots)])
-        held = F.filter(slots, lambda s: s["node"].isNotNull())
-        return rows.join(above, ["tree", "pos"]).select("tree", "pos", "path", "roots", F.explode(held).alias("one")).select(
-            "tree", (F.col("pos") * self.slots + F.col("one.slot")).alias("pos"), F.col("one.node").alias("node"),
-            F.concat("one.steps", "path").alias("path"), "roots")
+        slots = ", ".join(
+            f"CASE WHEN node_{i} IS NOT NULL THEN named_struct('slot', {i}, 'node', node_{i}, 'steps', {self._steps(i)}) END"
+            for i in range(self.slots))
+        return rows.join(above, ["tree", "pos"]).selectExpr("tree", "pos", "path", "roots", f"explode(array_compact(array({slots}))) AS one") \
+            .selectExpr("tree", f"pos * {self.slots} + one.slot AS pos", "one.node AS node",
+                        "concat(array_compact(one.steps), path) AS path", "roots")
 
 
 def _grow(nodes: DataFrame, pivot: _Pivot) -> list[DataFrame]:
@@ -125,7 +120,8 @@ def _grow(nodes: DataFrame, pivot: _Pivot) -> list[DataFrame]:
     rounds = []
     while not rounds or left > 1:
         rounds.append(write_between(pivot.spread(nodes)))
-        nodes = rounds[-1].select("tree", pivot.nodes_at(pivot.height).alias("n"), "pos", F.struct(pivot.top().alias("digest")).alias("node"))
+        nodes = rounds[-1].selectExpr(
+            "tree", f"{pivot.nodes_at(pivot.height)} AS n", "pos", f"named_struct('digest', {pivot.top()}) AS node")
         left = -(-left // pivot.slots)
     return rounds
 
@@ -159,13 +155,13 @@ def manifest(docs: DataFrame, id_col: str = "doc_id", group: str = "lang", field
 
     pivot = _Pivot(fanout, height)
     lower = _grow(nodes, pivot)
-    subroots = lower[-1].select("tree", pivot.top().alias("digest"))
+    subroots = lower[-1].selectExpr("tree", f"{pivot.top()} AS digest")
     count = groups.count()
     upper = _grow(subroots.select(
         F.lit(0).cast("long").alias("tree"), F.lit(count).cast("long").alias("n"), F.col("tree").alias("pos"),
         F.struct("digest").alias("node")), pivot)
     none = F.array().cast("array<struct<left:string,right:string>>")
-    roots = upper[-1].select("tree", "pos", none.alias("path"), F.struct(pivot.top().alias("root")).alias("roots"))
+    roots = upper[-1].select("tree", "pos", none.alias("path"), F.struct(F.col(pivot.top()).alias("root")).alias("roots"))
     tops = write_between(_descend(upper, pivot, roots).select(
         F.col("pos").alias("tree"), F.lit(0).cast("long").alias("pos"), "path",
         F.struct(F.col("node.digest").alias("subroot"), F.col("roots.root").alias("root")).alias("roots")))

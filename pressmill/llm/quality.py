@@ -40,7 +40,7 @@ CUTS = 64
 PRUNING_PARTS = 3
 MOST_RULES, MOST_CONDITIONS = 12, 4
 # bad among the pruning rows that a rule covers, at least, and how many it must cover
-PRECISION, LEAST_COVERED = 0.9, 10
+PRECISION, LEAST_COVERED = 0.9, 5
 
 
 def _without(raw: bytes, chars: bytes) -> int:
@@ -102,23 +102,21 @@ def counted(text: Column) -> Column:
     return run(text)
 
 
-def measures(counts: Column) -> dict[str, Column]:
-    """What rules may look at, by name."""
-    of = lambda name: counts[name].cast("double")
-    share = lambda a, b: F.when(of(b) > 0, of(a) / of(b)).otherwise(F.lit(0.0))
-    return {
-        "words": of("n_words"), "chars_per_word": share("word_chars", "n_words"),
-        "symbols_per_word": share("n_symbols", "n_words"), "repeated_lines": share("n_dup_lines", "n_lines"),
-        "repeated_words": share("n_repeat_words", "n_words"), "words_per_line": share("n_words", "n_lines"),
-        "distinct_words": share("n_distinct", "n_words"), "upper_letters": share("n_upper", "word_chars"),
-        "digits": share("n_digits", "word_chars"), "marks_per_word": share("n_marks", "n_words"),
-        "ended_lines": share("n_ended_lines", "n_lines"),
-    }
+def _share(part: str, whole: str) -> str:
+    return f"coalesce(try_divide(CAST(counts.{part} AS double), CAST(counts.{whole} AS double)), 0.0D)"
 
 
-def base_failed(counts: Column) -> Column:
-    words = counts["n_words"]
-    return (words < LEAST_WORDS) | (100 * counts["n_repeat_words"] > MOST_REPEATED * words)
+# What rules may look at, as SQL over the struct of counts.
+MEASURES = {
+    "words": "CAST(counts.n_words AS double)", "chars_per_word": _share("word_chars", "n_words"),
+    "symbols_per_word": _share("n_symbols", "n_words"), "repeated_lines": _share("n_dup_lines", "n_lines"),
+    "repeated_words": _share("n_repeat_words", "n_words"), "words_per_line": _share("n_words", "n_lines"),
+    "distinct_words": _share("n_distinct", "n_words"), "upper_letters": _share("n_upper", "word_chars"),
+    "digits": _share("n_digits", "word_chars"), "marks_per_word": _share("n_marks", "n_words"),
+    "ended_lines": _share("n_ended_lines", "n_lines"),
+}
+
+BASE_FAILED = f"(counts.n_words < {LEAST_WORDS} OR 100 * counts.n_repeat_words > {MOST_REPEATED} * counts.n_words)"
 
 
 @dataclass(frozen=True)
@@ -129,48 +127,34 @@ class Condition:
     below: bool
     cut: float
 
-    def __str__(self) -> str:
-        return f"{self.measure} {'<' if self.below else '>='} {self.cut:.6g}"
-
-    def column(self, values: dict[str, Column]) -> Column:
-        value = values[self.measure]
-        return value < F.lit(self.cut) if self.below else value >= F.lit(self.cut)
+    def sql(self) -> str:
+        return f"measures.{self.measure} {'<' if self.below else '>='} {self.cut!r}D"
 
 
 Rule = tuple[Condition, ...]
 
 
-def describe(rule: Rule) -> str:
-    return " AND ".join(map(str, rule))
-
+def rule_sql(rule: Rule) -> str:
+    return " AND ".join(c.sql() for c in rule) or "true"
 
-def _all(rule: Rule, values: dict[str, Column]) -> Column:
-    found = F.lit(True)
-    for condition in rule:
-        found = found & condition.column(values)
-    return found
 
-
-def first_rule(rules: list[Rule], values: dict[str, Column]) -> Column:
+def list_sql(rules: list[Rule]) -> str:
     """Number, from 1, of the first rule that holds; null if none does."""
-    found = F.lit(None).cast("int")
-    for number, rule in reversed(list(enumerate(rules, 1))):
-        found = F.when(_all(rule, values), F.lit(number)).otherwise(found)
-    return found
+    cases = " ".join(f"WHEN {rule_sql(rule)} THEN {number}" for number, rule in enumerate(rules, 1))
+    return f"CASE {cases} END" if rules else "CAST(NULL AS int)"
 
 
-def _cut_points(rows: DataFrame, names: list[str], cuts: int) -> dict[str, list[float]]:
+def _cut_points(rows: DataFrame, cuts: int) -> dict[str, list[float]]:
     """Values that part a measure into shares of about equal size, each once."""
     shares = [k / cuts for k in range(1, cuts)]
-    found = rows.approxQuantile(names, shares, 1 / (4 * cuts))
-    return {name: sorted(set(points)) for name, points in zip(names, found)}
+    found = rows.select("measures.*").approxQuantile(list(MEASURES), shares, 1 / (4 * cuts))
+    return {name: sorted(set(points)) for name, points in zip(MEASURES, found)}
 
 
-def _binned(values: dict[str, Column], cuts: dict[str, list[float]]) -> list[Column]:
+def _bins_sql(cuts: dict[str, list[float]]) -> str:
     """How many cut points each measure reaches."""
-    return [
-        F.size(F.filter(F.array(*[F.lit(float(c)) for c in cuts[name]]).cast("array<double>"), lambda c, v=value: c <= v))
-        for name, value in values.items()]
+    points = lambda name: f"array({', '.join(f'{c!r}D' for c in cuts[name])})"
+    return f"array({', '.join(f'size(filter({points(name)}, c -> c <= measures.{name}))' for name in cuts)})"
 
 
 def _gain(bad: np.ndarray, good: np.ndarray, all_bad: float, all_good: float) -> np.ndarray:
@@ -179,87 +163,75 @@ def _gain(bad: np.ndarray, good: np.ndarray, all_bad: float, all_good: float) ->
     return bad * (np.log2((bad + 1) / (bad + good + 2)) - before)
 
 
-def _grow(rows: DataFrame, names: list[str], cuts: dict[str, list[float]], values: dict[str, Column], most: int) -> Rule:
+def _grow(rows: DataFrame, cuts: dict[str, list[float]], most: int) -> Rule:
     rule: Rule = ()
     while len(rule) < most:
-        inside = rows.where(_all(rule, values))
-        table = inside.select("bad", F.posexplode("bins").alias("m", "bin")).groupBy("m", "bin").agg(
-            F.sum(F.when(F.col("bad"), 1).otherwise(0)).alias("bad"), F.count("*").alias("n")).collect()
+        table = rows.where(rule_sql(rule)).select("bad", F.posexplode("bins").alias("m", "bin")).groupBy("m", "bin").agg(
+            F.count_if("bad").alias("bad"), F.count("*").alias("n")).collect()
         best, chosen = 0.0, None
-        for m, name in enumerate(names):
-            points = cuts[name]
+        for m, (name, points) in enumerate(cuts.items()):
             counts = np.zeros((2, len(points) + 1))
             for r in table:
                 if r["m"] == m:
                     counts[:, r["bin"]] = r["bad"], r["n"] - r["bad"]
-            if not points:
-                continue
             all_bad, all_good = counts.sum(axis=1)
             under = np.cumsum(counts, axis=1)[:, :-1]
             for below, (bad, good) in ((True, under), (False, counts.sum(axis=1, keepdims=True) - under)):
                 gains = _gain(bad, good, all_bad, all_good)
-                at = int(gains.argmax())
-                if gains[at] > best + 1e-9:
-                    best, chosen = gains[at], Condition(name, below, points[at])
+                if len(gains) and gains.max() > best + 1e-9:
+                    best, chosen = gains.max(), Condition(name, below, points[int(gains.argmax())])
         if chosen is None:
             break
         rule = (*rule, chosen)
     return rule
 
 
-def _prune(rows: DataFrame, rule: Rule, values: dict[str, Column]) -> tuple[Rule, int, int]:
+def _prune(rows: DataFrame, rule: Rule) -> tuple[Rule, int, int]:
     """The beginning of a rule with the best balance of bad over good, and how many of each it covers."""
-    counts = []
-    for k in range(1, len(rule) + 1):
-        holds = _all(rule[:k], values)
-        counts += [F.count(F.when(holds & F.col("bad"), 1)), F.count(F.when(holds & ~F.col("bad"), 1))]
-    found = rows.agg(*counts).first()
-    best = max(range(len(rule)), key=lambda k: ((found[2 * k] - found[2 * k + 1]) / (found[2 * k] + found[2 * k + 1] + 1), -k))
-    return rule[: best + 1], found[2 * best], found[2 * best + 1]
+    begins = [rule[:k] for k in range(1, len(rule) + 1)]
+    found = rows.selectExpr(*[
+        f"count_if({rule_sql(part)} AND {kind})" for part in begins for kind in ("bad", "NOT bad")]).first()
+    pairs = [(found[2 * k], found[2 * k + 1]) for k in range(len(rule))]
+    best = max(range(len(rule)), key=lambda k: ((pairs[k][0] - pairs[k][1]) / (sum(pairs[k]) + 1), -k))
+    return begins[best], *pairs[best]
+
+
+def describe_texts(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+    """``(id, counts, measures)`` of whole texts, written once."""
+    found = docs.select(F.col(id_col).alias("id"), counted(F.col(text)).alias("counts"))
+    measures = ", ".join(f"'{name}', {sql}" for name, sql in MEASURES.items())
+    return write_between(found.selectExpr("id", "counts", f"named_struct({measures}) AS measures"))
 
 
-def fit(described: DataFrame, labels: DataFrame, id_col: str = "doc_id", label: str = "quality", counts: str = "counts",
+def fit(described: DataFrame, labels: DataFrame, id_col: str = "doc_id", label: str = "quality",
         learn: Column | None = None, cuts: int = CUTS, most_rules: int = MOST_RULES, most_conditions: int = MOST_CONDITIONS,
         precision: float = PRECISION, least_covered: int = LEAST_COVERED) -> list[Rule]:
     """Rules that name the rows labelled 0 among those the base lets through.
 
-    ``described`` has ids and a struct of ``COUNTS``; ``learn`` says of an id whether
-    its label may be used.
+    ``learn`` says of a row of ``labels`` whether it may be used.
     """
     known = labels.where(learn) if learn is not None else labels
     known = known.groupBy(F.col(id_col).alias("id")).agg((F.min(label) == 0).alias("bad")).where("bad IS NOT NULL")
-    rows = described.select(F.col(id_col).alias("id"), F.col(counts).alias("counts")).where(~base_failed(F.col("counts")))
-    values = measures(F.col("counts"))
-    names = list(values)
-    rows = rows.join(known, "id").select(
-        "bad", (crc_mod("id", PRUNING_PARTS) == 0).alias("pruning"), *[v.alias(k) for k, v in values.items()])
-    rows = write_between(rows)
-    kinds = rows.agg(F.count(F.when(F.col("bad"), 1)), F.count(F.when(~F.col("bad"), 1))).first()
-    if not min(kinds):
+    rows = write_between(described.where(f"NOT {BASE_FAILED}").join(known, "id").select(
+        "bad", (crc_mod("id", PRUNING_PARTS) == 0).alias("pruning"), "measures"))
+    if not min(rows.selectExpr("count_if(bad)", "count_if(NOT bad)").first()):
         return []
-    points = _cut_points(rows, names, cuts)
-    columns = {name: F.col(name) for name in names}
-    rows = write_between(rows.withColumn("bins", F.array(*_binned(columns, points))))
+    points = _cut_points(rows, cuts)
+    rows = write_between(rows.selectExpr("*", f"{_bins_sql(points)} AS bins"))
     rules: list[Rule] = []
     while len(rules) < most_rules:
-        left = rows.where(first_rule(rules, columns).isNull())
-        rule = _grow(left.where(~F.col("pruning")), names, points, columns, most_conditions)
+        left = rows.where(f"{list_sql(rules)} IS NULL")
+        rule = _grow(left.where("NOT pruning"), points, most_conditions)
         if not rule:
             break
-        rule, bad, good = _prune(left.where("pruning"), rule, columns)
+        rule, bad, good = _prune(left.where("pruning"), rule)
         if bad + good < least_covered or bad < precision * (bad + good):
             break
         rules.append(rule)
     return rules
 
 
-def describe_texts(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """Ids with the ``counts`` of their texts, written once."""
-    return write_between(docs.select(F.col(id_col), counted(F.col(text)).alias("counts")))
-
-
 def judge(described: DataFrame, rules: list[Rule]) -> DataFrame:
     """``described`` with ``base_failed``, ``rule`` (the first that holds, from 1) and ``kept``."""
-    rule = first_rule(rules, measures(F.col("counts")))
-    return described.withColumns({"base_failed": base_failed(F.col("counts")), "rule": rule}).withColumn(
-        "kept", ~F.col("base_failed") & F.col("rule").isNull())
+    return described.selectExpr("*", f"{BASE_FAILED} AS base_failed", f"{list_sql(rules)} AS rule") \
+        .selectExpr("*", "NOT base_failed AND rule IS NULL AS kept")

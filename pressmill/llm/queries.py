@@ -87,7 +87,7 @@ def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     described = quality.describe_texts(table(spark, sf_dir, "documents"))
     rules = quality.fit(described, table(spark, sf_dir, "labels"))
     return quality.judge(described, rules).select(
-        "doc_id", *[F.col(f"counts.{c}") for c in quality.COUNTS[:5]], "base_failed", "kept", "rule")
+        F.col("id").alias("doc_id"), *[F.col(f"counts.{c}") for c in quality.COUNTS[:5]], "base_failed", "kept", "rule")
 
 
 QUERIES = {
