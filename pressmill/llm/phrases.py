@@ -38,7 +38,7 @@ ABSORBED = 100
 # bits of the bitmap: for each frequent key, and at most
 KEY_BITS, MOST_BITS = 32, 1 << 28
 # text that a task turns into windows at once
-CHUNK_BYTES = 6_000_000
+CHUNK_BYTES = 2_000_000
 # parts in which the best phrases of one language are found
 RANK_PARTS = 64
 EXACT = "decimal(38,0)"
