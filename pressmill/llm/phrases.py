@@ -41,6 +41,7 @@ KEY_BITS, MOST_BITS = 32, 1 << 28
 CHUNK_BYTES = 2_000_000
 # parts in which the best phrases of one language are found
 RANK_PARTS = 64
+BROADCAST_LANGUAGES = 10_000
 EXACT = "decimal(38,0)"
 
 # a break is a word of its own: no other word can hold a full stop
@@ -211,6 +212,8 @@ def collocations(docs: DataFrame, text: str = "text", lang: str = "lang", min_co
     """
     counts = phrase_counts(docs, text, lang, min_count, longest, most_bits)
     totals = counts.where(F.size("words") == 0).select("lang", F.col("f").alias("n"))
+    if totals.count() <= BROADCAST_LANGUAGES:  # else Spark's join, by language
+        totals = F.broadcast(totals)
     known = counts.where(F.size("words") > 0).select("lang", _phrase(F.col("words")).alias("phrase"), "words", "f")
     candidates = known.where(F.size("words") > 1)
 
