@@ -708,12 +708,13 @@ def progress_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A4: events as a change log of users, read as a stream in three refreshes; the last one's differences."""
     path, log = folder(spark), folder(spark)
     events = table(spark, sf_dir, "events").selectExpr(
-        "CAST(user_id AS STRING) AS article_id", "event_id AS version", "event_type AS status")
-    for part in range(3):
-        events.filter(F.col("version") % 3 == part).coalesce(1).write.mode("append").parquet(log)
-    changes = read_changes(spark, log, files_per_refresh=1)
+        "CAST(user_id AS STRING) AS article_id", "event_id AS version", "event_type AS status").repartition(4)
     diffs = []
-    progress_stream(changes, path, lambda diff, n: diffs.append(diff), seconds=None).awaitTermination()
+    for part in range(3):
+        # several files a refresh; every run goes on from what the last one kept
+        events.filter(F.col("version") % 3 == part).write.mode("append").parquet(log)
+        progress_stream(read_changes(spark, log), path, lambda diff, n: diffs.append(diff), seconds=None,
+                        buckets=8, base_every=2).awaitTermination()
     return diffs[-1]
 
 
@@ -740,14 +741,16 @@ def article_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
         'stories_id', doc_id, 'title', 't', 'url', url, 'metadata', CAST(NULL AS STRUCT<a: INT>))"""),
         {"ignoreNullFields": "false"})
     docs.select(line.alias("value")).write.text(path)
+    # every other page was captured twice before, with another body
     responses = docs.filter("source <> 'src3'").selectExpr(
         "url", "url AS landing_url", "CAST(200 AS INT) AS status_code",
         "CASE WHEN doc_id % 10 = 0 THEN map('Content-Type', 'audio/x') ELSE map('a', 'b') END AS headers",
-        "'utf-8' AS encoding", "encode(content, 'UTF-8') AS body", "CAST(0.5 AS DOUBLE) AS elapsed",
-        "CAST(NULL AS STRING) AS error_kind")
+        "'utf-8' AS encoding", "content", "CAST(0.5 AS DOUBLE) AS elapsed", "CAST(NULL AS STRING) AS error_kind",
+        "explode(CASE WHEN doc_id % 2 = 0 THEN array(3, 1, 2) ELSE array(3) END) AS capture") \
+        .selectExpr("* EXCEPT (content)", "encode(CASE capture WHEN 3 THEN content ELSE '<p>old</p>' END, 'UTF-8') AS body")
     nothing = spark.createDataFrame([], ARTICLE)
     imported = import_batch(spark, nothing, path, pattern="*.txt").articles
-    scraped = scrape_batch(imported, responses, limit=0)
+    scraped = scrape_batch(imported, responses, limit=0, newest="capture")
     done = extract_batch(write_between(scraped.articles), scraped.content, limit=0)
     return done.articles.select(
         F.col("stories_id").alias("doc_id"), "batch_id", "status", "tries", "text_extracted", "abstract",

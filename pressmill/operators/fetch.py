@@ -1,11 +1,13 @@
 """Outcome of fetching, read from a table of captured responses."""
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, functions as F
 
 from pressmill.functions.decoding import decode_other
 from pressmill.functions.rules import label
 from pressmill.functions.rule_values import NOT_FOUND
 from pressmill.schemas import CONTENT_FETCHED, FAILED
+from pressmill.session import write_between
 
 # Limits, and the text stored when nothing could decode a body.
 MAX_BYTES = 52_428_800
@@ -29,22 +31,53 @@ def one_response_per_url(responses: DataFrame, newest: str) -> DataFrame:
     return responses.join(latest, ["url", newest], "left_semi")
 
 
-def wanted_responses(tasks: DataFrame, responses: DataFrame, newest: str | None = None) -> DataFrame:
-    """One response for each URL of ``tasks``, with ``capped``; bodies over a limit are dropped at once.
+def addressed(responses: DataFrame) -> DataFrame:
+    """``responses`` with ``_file`` and ``_row``, where each row is stored; other rows are stored first."""
+    place = [F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row")]
+    try:
+        return responses.select("*", *place)
+    except AnalysisException:  # not read from files
+        return write_between(responses).select("*", *place)
 
-    Limits need the response alone, so such bodies never reach a shuffle, and no
-    other does before the URLs asked for are known: Spark broadcasts these if they
-    are few.  Of several captures the one with the highest ``newest`` counts (any
-    fixed one without such a column), the last tie-break being a hash of the whole.
+
+def newest_captures(urls: DataFrame, captures: DataFrame, newest: str | None = None) -> DataFrame:
+    """``(url, _file, _row)`` of the newest capture of each URL asked for.
+
+    Reads URLs, times and addresses alone.  Of captures with one highest ``newest``,
+    or without such a column, the last by address counts.
+    """
+    asked = urls.select("url").filter("url IS NOT NULL").distinct()
+    found = captures.select("url", *([newest] if newest else []), "_file", "_row").join(asked, "url", "left_semi")
+    order = F.struct(*([F.col(newest)] if newest else []), "_file", "_row")
+    return found.groupBy("url").agg(F.max(order).alias("_pick")).select("url", "_pick._file", "_pick._row")
+
+
+def attach_newest(tasks: DataFrame, responses: DataFrame, newest: str | None = None) -> DataFrame:
+    """Add ``response`` (null if none) and ``status`` to every task, from a table of captures.
+
+    The capture of each URL is chosen by address, in narrow columns; bodies move once,
+    in the join by address, and those over a limit not at all (the response's
+    ``capped`` names the limit).  Tasks without a capture stay out of that join, as
+    their addresses would all be null.
     """
-    names = [c for c in responses.columns if c != "url"]
+    captures = addressed(responses)
+    picked = newest_captures(tasks, captures, newest).withColumnRenamed("url", "_url")
+    placed = write_between(tasks.drop("status").join(picked, F.col("url") == F.col("_url"), "left").drop("_url"))
     capped = cap_label(F.col("headers"), F.col("body"), F.col("elapsed"))
-    slim = responses.withColumn("capped", capped).withColumn("body", F.when(F.col("capped").isNull(), F.col("body")))
-    asked = slim.join(tasks.select("url").distinct(), "url", "left_semi")
-    flat = [F.to_json(c).alias(c) if c == "headers" else F.col(c) for c in names]
-    order = F.struct(*([F.col(newest)] if newest else []), F.xxhash64(*flat))
-    one = asked.groupBy("url").agg(F.max_by(F.struct(*names, "capped"), order).alias("_one"))
-    return one.select("url", "_one.*")
+    slim = captures.withColumn("capped", capped).withColumn("body", F.when(F.col("capped").isNull(), F.col("body")))
+    fields = [c for c in responses.columns if c != "url"]
+    bodies = slim.select(F.col("_file").alias("_at"), F.col("_row").alias("_n"), F.struct(*fields, "capped").alias("response"))
+    found = placed.filter(F.col("_file").isNotNull()).join(
+        bodies, (F.col("_file") == F.col("_at")) & (F.col("_row") == F.col("_n"))).drop("_at", "_n")
+    none = placed.filter(F.col("_file").isNull()).withColumn("response", F.lit(None).cast(bodies.schema["response"].dataType))
+    return _with_status(found.unionByName(none).drop("_file", "_row"), responses)
+
+
+def _with_status(joined: DataFrame, responses: DataFrame) -> DataFrame:
+    got = F.col("response").isNotNull()
+    if "error_kind" in responses.columns:
+        got = got & F.col("response.error_kind").isNull()
+    return joined.withColumn("status", F.when(got, CONTENT_FETCHED).otherwise(FAILED))
 
 
 def attach_responses(tasks: DataFrame, responses: DataFrame) -> DataFrame:
@@ -56,11 +89,7 @@ def attach_responses(tasks: DataFrame, responses: DataFrame) -> DataFrame:
     packed = responses.select(F.col("url").alias("_url"), F.struct(*[
         c for c in responses.columns if c != "url"
     ]).alias("response"))
-    joined = tasks.drop("status").join(packed, F.col("url") == F.col("_url"), "left").drop("_url")
-    got = F.col("response").isNotNull()
-    if "error_kind" in responses.columns:
-        got = got & F.col("response.error_kind").isNull()
-    return joined.withColumn("status", F.when(got, CONTENT_FETCHED).otherwise(FAILED))
+    return _with_status(tasks.drop("status").join(packed, F.col("url") == F.col("_url"), "left").drop("_url"), responses)
 
 
 def header(headers: Column, name: str) -> Column:

@@ -7,6 +7,9 @@ from pressmill.functions.rule_values import NOT_ENGLISH
 from pressmill.operators.numbering import add_totals_before, in_order, number_rows
 from pressmill.session import write_between
 
+# limits up to here are the top of the partitions' tops
+SMALL_LIMIT = 5_000
+
 
 def fetch_tasks(articles: DataFrame, batch_id: Column | int | None = None, status: str | None = None,
                 limit: int = 0, fields: list[str] | None = None,
@@ -14,16 +17,44 @@ def fetch_tasks(articles: DataFrame, batch_id: Column | int | None = None, statu
     """Rows of a status and batch; no batch or no status means any, limit 0 means all.
 
     Exactly ``limit`` rows are taken, or all if there are fewer: those of the lowest
-    ids, nulls first; of rows with one id any may be cut off.  Spark finds them as
-    the top of each partition, or after a global sort for a limit over
-    ``spark.sql.execution.topKSortFallbackThreshold``.
+    ids, nulls first; of rows with one id any may be cut off.  For a small limit they
+    are the top of each partition's top; see `lowest_rows` for a large one.
     """
     if status:
         articles = articles.filter(F.col("status") == status)
     if isinstance(batch_id, Column) or batch_id:
         articles = articles.filter(F.col("batch_id") == batch_id)
     tasks = articles.select(order, *[f for f in fields or [] if f != order]) if fields else articles
-    return tasks.orderBy(F.col(order).asc_nulls_first()).limit(limit) if limit else tasks
+    if not limit:
+        return tasks
+    if limit > SMALL_LIMIT:
+        return lowest_rows(tasks, order, limit)
+    return tasks.orderBy(F.col(order).asc_nulls_first()).limit(limit)
+
+
+def lowest_rows(rows: DataFrame, order: str, limit: int) -> DataFrame:
+    """Exactly the ``limit`` rows of the lowest ``order``, nulls first, or all if there are fewer.
+
+    The values alone are dealt into ranges and counted, which tells the range where
+    the limit falls and the value in it; the rows below that value are then a filter,
+    and no task gets more than one range.  Of the rows that have the value itself some
+    are taken by their place in the input, so ``rows`` must read the same twice.
+    """
+    ranged = in_order(rows.select(F.col(order).alias("_key")), F.col("_key").asc_nulls_first())
+    sizes = ranged.groupBy("_part").agg(F.count("*").alias("_size"))
+    numbered = add_totals_before(ranged, sizes, "_size", []).withColumn("_position", F.col("_before") + F.col("_at"))
+    cut = numbered.filter(F.col("_position") == limit - 1).select("_key").first()
+    if cut is None:
+        return rows
+    value = F.lit(cut[0]).cast(rows.schema[order].dataType)
+    least, last = numbered.filter(F.col("_key").eqNullSafe(value)).agg(F.min("_position"), F.max("_position")).first()
+    known = F.col(order).isNull() if cut[0] is not None else F.lit(False)
+    below = rows.filter(known | F.coalesce(F.col(order) < value, F.lit(False)))
+    equal = rows.filter(F.col(order).eqNullSafe(value))
+    if last >= limit:
+        some = number_rows(equal.withColumn("_row", F.monotonically_increasing_id()), "_row", name="_position")
+        equal = some.filter(F.col("_position") < limit - least).select(*rows.columns)
+    return below.unionByName(equal)
 
 
 def retry_filter(tasks: DataFrame, max_retries: int = 5) -> DataFrame:

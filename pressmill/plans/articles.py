@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from pressmill.operators.extract import extraction_update, resolve_pair
 from pressmill.operators.fetch import (
-    attach_responses, build_scraping_result, decode_body, wanted_responses,
+    attach_newest, build_scraping_result, decode_body,
 )
 from pressmill.operators.imports import (
     append_articles, check_articles, delete_batch, first_open_batch_id, latest_batch_id,
@@ -91,7 +91,7 @@ def scrape_batch(articles: DataFrame, responses: DataFrame, batch_id: int | str
     chosen = fetch_tasks(articles, choose_batch(articles, batch_id, status), status, limit,
                          ["article_id", "url", "tries"])
     tasks = retry_filter(chosen, max_retries)
-    got = attach_responses(tasks, wanted_responses(tasks, responses, newest))
+    got = attach_newest(tasks, responses, newest)
     part = lambda name: F.col(f"response.{name}")
     failed = (F.col("status") == FAILED) | part("capped").isNotNull()
     got = got.withColumns({

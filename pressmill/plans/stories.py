@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from pressmill.functions.rules import url_label
 from pressmill.operators.extract import resolve_strict
-from pressmill.operators.fetch import decode_body, wanted_responses
+from pressmill.operators.fetch import attach_newest, decode_body
 from pressmill.operators.search import collection_domains, search_stories
 from pressmill.operators.tasks import gate_label
 
@@ -19,16 +19,19 @@ def scrape_stories(stories: DataFrame, responses: DataFrame, english_only: bool
                    newest: str | None = None) -> DataFrame:
     """Stories with ``text``: the article, or the first error on the way to it.
 
-    Stories settled by language or URL are not looked up, and each other one takes
-    one response, the newest of its URL by the column ``newest``.  One join by URL;
-    bodies are decoded and parsed in the stage after it.
+    Stories settled by language or URL are not looked up: they never meet the captures.
+    Each other one takes one response, the newest of its URL by the column ``newest``.
+    Bodies move once, by address, and are decoded and parsed in the stage after it.
     """
     names = ["landing_url", "status_code", "headers", "encoding", "body", "elapsed", "error_kind"]
-    settled = F.coalesce(gate_label(english_only), url_label("url"))
-    asked = stories.withColumn("_asked", F.when(settled.isNull(), F.col("url")))
+    settled = F.coalesce(gate_label(english_only), url_label("url")).isNotNull()
     captured = responses.select("url", *names, *([newest] if newest and newest not in names else []))
-    wanted = wanted_responses(asked.select(F.col("_asked").alias("url")).filter("url IS NOT NULL"), captured, newest)
-    found = wanted.select(F.col("url").alias("_found"), *names)
-    joined = asked.join(found, F.col("_asked") == F.col("_found"), "left").drop("_asked", "_found")
-    resolved = resolve_strict(decode_body(joined), english_only)
+    # every column of a story goes along in one, so that none clashes with those of a response
+    packed = stories.select("url", settled.alias("_settled"), F.struct(*stories.columns).alias("_story"))
+    found = attach_newest(packed.filter("NOT _settled").drop("_settled"), captured, newest)
+    fields = [F.col(f"response.{name}").alias(name) for name in names]
+    looked_up = found.select("_story.*", *fields)
+    types = {name: looked_up.schema[name].dataType for name in names}
+    alone = packed.filter("_settled").select("_story.*", *[F.lit(None).cast(types[name]).alias(name) for name in names])
+    resolved = resolve_strict(decode_body(looked_up.unionByName(alone)), english_only)
     return resolved.select(*stories.columns, "text")

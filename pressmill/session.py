@@ -13,7 +13,6 @@ SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.variant.allowDuplicateKeys": "true",
-    "spark.sql.execution.topKSortFallbackThreshold": "100000",
 }
 
 
@@ -64,8 +63,12 @@ def write_between(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def remove_folder(spark: SparkSession, folder: str) -> None:
+    """Remove a folder, if it is there, wherever Spark can write."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def clear_between(spark: SparkSession) -> None:
     """Remove the tables this application wrote between stages; call it when no result needs them any more."""
-    path = spark._jvm.org.apache.hadoop.fs.Path("/".join([
-        shared_folder(spark).rstrip("/"), "pressmill", spark.sparkContext.applicationId]))
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    remove_folder(spark, "/".join([shared_folder(spark).rstrip("/"), "pressmill", spark.sparkContext.applicationId]))

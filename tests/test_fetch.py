@@ -70,6 +70,54 @@ def test_newest_response(spark):
     assert sorted(r["v"] for r in fetch.one_response_per_url(rows, "t").collect()) == ["new", "only"]
 
 
+def capture_rows():
+    """Captures of URLs, some of one time, with and without a limit broken, and a hot URL."""
+    rows = []
+    for u, times in {"a": [1, 3, 2], "b": [5], "c": [1, 1], "unasked": [1, 2], "hot": list(range(200))}.items():
+        rows += [(*response(u, body=f"{u}{t}".encode(), headers={"content-type": "audio/x"} if u == "b" else {"k": "v"}), t) for t in times]
+    return rows
+
+
+@pytest.mark.parametrize("stored", [True, False])
+def test_newest_captures_by_address(spark, tmp_path, stored):
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in RESPONSE) + ", t int"
+    captures = spark.createDataFrame(capture_rows(), schema)
+    if stored:
+        captures.repartition(3).write.parquet(str(tmp_path / "captures"))
+        captures = spark.read.parquet(str(tmp_path / "captures")).filter("status_code = 200")
+    tasks = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c"), (4, "none"), (5, None), (6, "hot"), (7, "a")], "article_id long, url string")
+    got = {r["article_id"]: r for r in fetch.attach_newest(tasks, captures, "t").collect()}
+    assert {k: r["response"] and (bytes(r["response"]["body"]).decode() if r["response"]["body"] else None, r["response"]["t"])
+            for k, r in got.items()} == {
+        1: ("a3", 3), 2: (None, 5), 3: ("c1", 1), 4: None, 5: None, 6: ("hot199", 199), 7: ("a3", 3)}
+    assert got[2]["response"]["capped"] == "CONTENT_AUDIO" and got[1]["response"]["capped"] is None
+    assert {k: r["status"] for k, r in got.items()} == {k: "FAILED" if k in (4, 5) else "CONTENT-FETCHED" for k in got}
+    # without times the last by address counts, one of each URL
+    assert sorted(r["article_id"] for r in fetch.attach_newest(tasks, captures.drop("t")).collect()) == [1, 2, 3, 4, 5, 6, 7]
+    assert fetch.attach_newest(tasks.filter("false"), captures, "t").count() == 0
+    assert {r["status"] for r in fetch.attach_newest(tasks, captures.filter("false"), "t").collect()} == {"FAILED"}
+
+
+def test_bodies_go_through_one_join_and_no_aggregate(spark, tmp_path, monkeypatch):
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in RESPONSE) + ", t int"
+    path = str(tmp_path / "captures")
+    spark.createDataFrame(capture_rows(), schema).write.parquet(path)
+    plans = []
+    monkeypatch.setattr(fetch, "write_between", lambda df: plans.append(df) or df)
+    tasks = spark.createDataFrame([(1, "a")], "article_id long, url string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        done = fetch.attach_newest(tasks, spark.read.parquet(path), "t")
+        text = done._jdf.queryExecution().executedPlan().toString()
+        narrow = plans[0]._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "body" not in narrow.split("== ")[0]
+    lines = [line for line in text.splitlines() if "body#" in line or "response#" in line]
+    assert lines and not any("Aggregate" in line for line in lines)
+    assert sum("Exchange" in line and "_at#" in line for line in text.splitlines()) == 1
+
+
 @pytest.mark.parametrize("kind, content, label", [
     (None, "x", None), (None, "", "Article not found"), (None, None, "Article not found"),
     ("ConnectionError", None, "requests.exceptions.ConnectionError"), ("ReadTimeout", None, "requests.exceptions.ReadTimeout"),

@@ -42,13 +42,39 @@ def test_blocks(frame, n):
     assert max(loads) - min(loads) <= max(sizes.values())
 
 
-def test_limits_are_exact(frame):
+@pytest.mark.parametrize("small", [5_000, 0])
+def test_limits_are_exact(frame, monkeypatch, small):
+    monkeypatch.setattr(tasks, "SMALL_LIMIT", small)
     df = frame([(None,), (1,), (2,), (2,), (2,), (3,)], "article_id long")
     got = [sorted((r[0] for r in tasks.fetch_tasks(df, limit=k).collect()), key=lambda x: -1 if x is None else x)
            for k in (1, 3, 5, 9)]
     assert got == [[None], [None, 1, 2], [None, 1, 2, 2, 2], [None, 1, 2, 2, 2, 3]]
 
 
+@pytest.mark.parametrize("kind", ["long", "string", "date"])
+def test_large_limits(frame, kind):
+    """Every cut through nulls, a hot value, ties and single values, with columns of any kind along."""
+    rng = random.Random(2)
+    keys = [None] * 40 + [7] * 130 + [rng.randrange(3, 60) for _ in range(200)]
+    cast = {"long": "k", "string": "lpad(CAST(k AS STRING), 3, '0')", "date": "date_add(DATE'2024-01-01', k)"}[kind]
+    df = frame([(k, i, {"m": i}) for i, k in enumerate(keys)], "k int, i int, m map<string, int>").selectExpr(f"{cast} AS key", "i", "m")
+    ordered = sorted(keys, key=lambda k: (k is not None, k))
+    for limit in (1, 40, 41, 100, 170, 171, 250, 369, 370, 371):
+        got = tasks.lowest_rows(df, "key", limit).collect()
+        want = ordered[:limit]
+        assert len({r["i"] for r in got}) == len(got) == len(want)
+        assert sorted((keys[r["i"]] for r in got), key=lambda k: (k is not None, k)) == want
+        assert all(r["m"] == {"m": r["i"]} for r in got)
+
+
+def test_large_limits_are_not_sorted_in_one_task(spark):
+    df = spark.range(0, 200_000, 1, 16).selectExpr("id * 7919 % 200000 AS article_id", "id")
+    found = tasks.fetch_tasks(df, limit=150_000)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "SinglePartition" not in plan and "Limit" not in plan and "Exchange" not in plan
+    assert found.agg(F.count("*"), F.max("article_id")).first()[:] == (150_000, 149_999)
+
+
 def test_one_block_takes_everything(frame):
     df = frame(task_rows(), "article_id long, media_url string, domain string")
     assert tasks.assign_blocks(df, 1).groupBy("block").count().collect()[0]["count"] == 400
