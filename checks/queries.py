@@ -750,7 +750,7 @@ def article_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
         .selectExpr("* EXCEPT (content)", "encode(CASE capture WHEN 3 THEN content ELSE '<p>old</p>' END, 'UTF-8') AS body")
     nothing = spark.createDataFrame([], ARTICLE)
     imported = import_batch(spark, nothing, path, pattern="*.txt").articles
-    scraped = scrape_batch(imported, responses, limit=0, newest="capture")
+    scraped = scrape_batch(imported, write_between(responses), limit=0, newest="capture")
     done = extract_batch(write_between(scraped.articles), scraped.content, limit=0)
     return done.articles.select(
         F.col("stories_id").alias("doc_id"), "batch_id", "status", "tries", "text_extracted", "abstract",

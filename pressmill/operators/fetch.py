@@ -31,13 +31,23 @@ def one_response_per_url(responses: DataFrame, newest: str) -> DataFrame:
     return responses.join(latest, ["url", newest], "left_semi")
 
 
+def _is_scan(df: DataFrame) -> bool:
+    """Whether each row is one row of a file, so that its place there tells it from all others."""
+    node = df._jdf.queryExecution().analyzed()
+    while node.nodeName() in ("Project", "Filter", "SubqueryAlias"):
+        node = node.children().head()
+    return node.nodeName() == "LogicalRelation"
+
+
 def addressed(responses: DataFrame) -> DataFrame:
-    """``responses`` with ``_file`` and ``_row``, where each row is stored; other rows are stored first."""
+    """``responses`` with ``_file`` and ``_row``, where each row is stored; rows made otherwise are stored first."""
     place = [F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row")]
-    try:
-        return responses.select("*", *place)
-    except AnalysisException:  # not read from files
-        return write_between(responses).select("*", *place)
+    if _is_scan(responses):
+        try:
+            return responses.select("*", *place)
+        except AnalysisException:  # a format whose rows have no places
+            pass
+    return write_between(responses).select("*", *place)
 
 
 def newest_captures(urls: DataFrame, captures: DataFrame, newest: str | None = None) -> DataFrame:

@@ -1,7 +1,8 @@
 """Article jobs: each takes the article table to its next version.
 
-Every job returns DataFrames; the caller writes them with `write_snapshot` and
-`append_content`, never over the version being read.
+``*_batch`` return DataFrames and leave writing to the caller, never over the version
+being read.  ``run_*`` do the same on a `BatchTable`: only batches with work are read
+and written, bodies are stored first, and then a version is published.
 """
 
 from dataclasses import dataclass
@@ -22,7 +23,8 @@ from pressmill.operators.tasks import (
 )
 from pressmill.schemas import CONTENT_FETCHED, FAILED, UNPROCESSED
 from pressmill.session import write_between
-from pressmill.sources.content import put_content, stored_bodies
+from pressmill.sources.batches import BatchTable
+from pressmill.sources.content import append_content, put_content, read_content, stored_bodies
 from pressmill.sources.records import read_lines
 
 # Fixed value: default of the fetch job.  No limit is set unless the caller gives one.
@@ -121,3 +123,48 @@ def extract_batch(articles: DataFrame, content: DataFrame, batch_id: int | str |
     texts, refs = put_content(done, "text", "text")
     extracted = refs.withColumnRenamed("content_id", "content_text")
     return Step(apply_extraction(articles, extracted), texts)
+
+
+def run_import(table: BatchTable, folder: str, overwrite: bool = False, pattern: str = "*.json") -> tuple[int, DataFrame]:
+    """Import files as a new batch; ``overwrite`` replaces the last one.  The version, and the refused records.
+
+    No stored article is read: ids of batches are known from the manifest.
+    """
+    known = sorted(b for b in table.batches() if b is not None)
+    replace = known[-1:] if overwrite else []
+    number = max([b for b in known if b not in replace], default=0) + 1
+    checked = write_between(check_articles(read_lines(table.spark, folder, pattern)))
+    accepted, rejected = split_checked(checked)
+    return table.append(stamp_articles(accepted, number), replace), rejected
+
+
+def _with_work(table: BatchTable, version: int, batch: int | str | None, status: str, limit: int) -> list[int | None]:
+    """Batches that the tasks of a job are in; a manifest's number of ids at most."""
+    articles = table.read(version=version).select("article_id", "batch_id", "status")
+    chosen = fetch_tasks(articles, choose_batch(articles, batch, status), status, limit, ["article_id", "batch_id"])
+    return [row[0] for row in chosen.select("batch_id").distinct().collect()]
+
+
+def run_scrape(table: BatchTable, content_path: str, responses: DataFrame, batch: int | str | None = None,
+               status: str = UNPROCESSED, limit: int = 0, max_retries: int = MAX_RETRIES, newest: str | None = None) -> int:
+    """`scrape_batch` on the batches with tasks; the published version."""
+    return _run(table, content_path, batch, status, limit, lambda articles: scrape_batch(
+        articles, responses, None, status, limit, max_retries, newest))
+
+
+def run_extract(table: BatchTable, content_path: str, batch: int | str | None = None,
+                status: str = CONTENT_FETCHED, limit: int = 0) -> int:
+    """`extract_batch` on the batches with tasks; the published version."""
+    content = read_content(table.spark, content_path)
+    return _run(table, content_path, batch, status, limit, lambda articles: extract_batch(
+        articles, content, None, status, limit))
+
+
+def _run(table: BatchTable, content_path: str, batch, status: str, limit: int, job) -> int:
+    version = table.latest()
+    touched = _with_work(table, version, batch, status, limit)
+    if not touched:
+        return version
+    step = job(table.read(touched, version))
+    append_content(step.content, content_path)
+    return table.update(step.articles, since=version)

@@ -78,11 +78,16 @@ def capture_rows():
     return rows
 
 
-@pytest.mark.parametrize("stored", [True, False])
+@pytest.mark.parametrize("stored", ["scan", "made", "exploded"])
 def test_newest_captures_by_address(spark, tmp_path, stored):
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in RESPONSE) + ", t int"
     captures = spark.createDataFrame(capture_rows(), schema)
-    if stored:
+    if stored == "exploded":
+        # many captures come from one row of a file
+        names = [f.name for f in RESPONSE] + ["t"]
+        captures.selectExpr(f"struct({', '.join(names)}) AS one").agg(F.collect_list("one").alias("all")).write.parquet(str(tmp_path / "all"))
+        captures = spark.read.parquet(str(tmp_path / "all")).selectExpr("inline(all)")
+    elif stored == "scan":
         captures.repartition(3).write.parquet(str(tmp_path / "captures"))
         captures = spark.read.parquet(str(tmp_path / "captures")).filter("status_code = 200")
     tasks = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c"), (4, "none"), (5, None), (6, "hot"), (7, "a")], "article_id long, url string")
