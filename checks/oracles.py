@@ -230,12 +230,29 @@ SQL["page_text_rules"] = f"""WITH rows AS (SELECT doc_id, '' AS url, lower(CASE
         WHEN 1 THEN concat(text, {_first}) ELSE concat({_first}, text, {_second}) END) AS text FROM documents),
     hits AS ({matches(rule_values.PAGE_TEXT_RULES, 'rows', 'doc_id')})
     SELECT doc_id, max_by(label, rank) AS label FROM rows LEFT JOIN hits USING (doc_id) GROUP BY doc_id"""
+# In these pages an unclosed paragraph lasts until </article> or the end, a closed
+# one until its own end tag, and no text node is blank.
+_cut = "'(?s)<script.*?</script>|<style.*?</style>|<!--.*?-->|<!DOCTYPE[^>]*>|</?[a-zA-Z][^>]*>'"
+
+
+def plain(markup: str) -> str:
+    """Text of a piece of page markup."""
+    # a known entity may lack its semicolon before a tag
+    text = f"regexp_replace({markup}, '&(amp|quot|copy|middot|lt|gt)<', '&\\1;<', 'g')"
+    text = f"regexp_replace({text}, {_cut}, '', 'g')"
+    text = f"regexp_replace({text}, '&([a-z]+)$', '\\1')"
+    for name, character in [("quot", '"'), ("copy", "©"), ("middot", "·"), ("lt", "<"), ("gt", ">"), ("amp", "&")]:
+        text = f"replace({text}, '&{name};', '{character}')"
+    return text
+
+
+_plain_html = plain("html")
 _u, _t = len(inputs.EMPTY_URL_NEEDLES), len(inputs.EMPTY_TEXT_NEEDLES)
 SQL["empty_page_rules"] = f"""WITH rows AS (SELECT page_id,
         CASE WHEN page_id % 5 = 0 THEN url ELSE concat(url, '/', {pick(inputs.EMPTY_URL_NEEDLES, f'page_id % {_u}')}, '/',
             {pick(inputs.EMPTY_URL_NEEDLES, f'(page_id * 3 + 1) % {_u}')}) END AS url,
         CASE WHEN page_id % 4 = 0 THEN {pick(inputs.EMPTY_TEXT_NEEDLES, f'page_id % {_t}')}
-            ELSE concat('Text ', page_id) END AS raw, lower(raw) AS text FROM pages),
+            ELSE {_plain_html} END AS raw, lower(raw) AS text FROM pages),
     hits AS ({matches(rule_values.EMPTY_PAGE_RULES, 'rows', 'page_id')}),
     best AS (SELECT page_id, max(rank) AS rank FROM hits GROUP BY page_id)
     SELECT rows.page_id, CASE WHEN best.rank IS NOT NULL THEN coalesce(label, raw) END AS result
@@ -249,22 +266,6 @@ SQL["last_resort_rules"] = f"""WITH rows AS (SELECT page_id, '' AS text, CASE WH
 
 # -- pages and extraction ------------------------------------------------------------------
 
-# In these pages an unclosed paragraph lasts until </article> or the end, a closed
-# one until its own end tag, and no text node is blank.
-_cut = "'(?s)<script.*?</script>|<style.*?</style>|<!--.*?-->|<!DOCTYPE[^>]*>|</?[a-zA-Z][^>]*>'"
-
-
-def plain(markup: str) -> str:
-    """Text of a piece of page markup."""
-    # a known entity may lack its semicolon before a tag
-    text = f"regexp_replace({markup}, '&(amp|quot|copy|middot|lt|gt)<', '&\\1;<', 'g')"
-    text = f"regexp_replace({text}, {_cut}, '', 'g')"
-    text = f"regexp_replace({text}, '&([a-z]+)$', '\\1')"
-    for name, character in [("quot", '"'), ("copy", "©"), ("middot", "·"), ("lt", "<"), ("gt", ">"), ("amp", "&")]:
-        text = f"replace({text}, '&{name};', '{character}')"
-    return text
-
-
 PARAGRAPHS = f"""pieces AS (SELECT page_id, html, string_split(html, '<p>') AS piece FROM pages),
     starts AS (SELECT page_id, html, piece, unnest(range(2, len(piece) + 1)) AS i FROM pieces),
     texts AS (SELECT page_id, i, {strip(plain("CASE WHEN contains(piece[i], '</p>') THEN string_split(piece[i], '</p>')[1] ELSE string_split(array_to_string(piece[i:], '<p>'), '</article>')[1] END"))} AS text FROM starts)"""
@@ -353,3 +354,11 @@ SQL["article_jobs"] = f"""WITH {MIXED} SELECT doc_id, CAST(1 AS BIGINT) AS batch
     CAST(CASE WHEN {_HTML} THEN 2 ELSE 1 END AS INT) AS tries, CASE WHEN {_HTML} THEN true END AS text_extracted,
     CASE WHEN {_HTML} THEN substr({_TEXT}, 1, 250) END AS abstract, CASE WHEN {_HTML} THEN {_ERROR} END AS parsing_error,
     {_HTML} AS has_html, {_HTML} AND {_TEXT} <> '' AS has_text FROM mixed"""
+_GOT = "(source <> 'src3' AND doc_id % 10 <> 1)"
+_HTML = f"(doc_id % 2 = 1 AND {_GOT} AND NOT no_body)"
+SQL["batch_table_jobs"] = f"""WITH {MIXED} SELECT doc_id, CAST(1 + doc_id % 2 AS BIGINT) AS batch_id,
+    CASE WHEN doc_id % 2 = 0 THEN 'UNPROCESSED' WHEN {_GOT} THEN 'CONTENT-FETCHED' ELSE 'FAILED' END AS status,
+    CAST(CASE WHEN doc_id % 2 = 0 THEN 0 WHEN {_HTML} THEN 2 ELSE 1 END AS INT) AS tries,
+    CASE WHEN {_HTML} THEN true END AS text_extracted, CASE WHEN {_HTML} THEN substr({_TEXT}, 1, 250) END AS abstract,
+    CASE WHEN {_HTML} THEN {_ERROR} END AS parsing_error, {_HTML} AND {_TEXT} <> '' AS has_text,
+    CAST(4 AS BIGINT) AS version FROM mixed"""

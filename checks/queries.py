@@ -6,7 +6,8 @@ from checks import inputs
 from checks.inputs import articles, folder, pick, scraped_articles, stories, table
 from pressmill.functions import rules
 from pressmill.operators import extract, fetch, html, imports, search, state, stats, tasks
-from pressmill.plans.articles import extract_batch, extract_plan, fetch_plan, import_batch, scrape_batch
+from pressmill.plans.articles import extract_batch, extract_plan, fetch_plan, import_batch, scrape_batch, run_extract, run_import, run_scrape
+from pressmill.sources.batches import BatchTable
 from pressmill.plans.stories import scrape_stories, story_query
 from pressmill.schemas import ARTICLE, STORY
 from pressmill.session import write_between
@@ -480,14 +481,15 @@ def page_text_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _empty_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw pages, every fourth with a needle as its text, parsed."""
     u, t = len(inputs.EMPTY_URL_NEEDLES), len(inputs.EMPTY_TEXT_NEEDLES)
-    return table(spark, sf_dir, "pages").select(
-        "page_id",
+    rows = table(spark, sf_dir, "pages").select(
+        "page_id", "html", pick(inputs.EMPTY_TEXT_NEEDLES, f"page_id % {t}").alias("needle"),
         F.when(F.col("page_id") % 5 == 0, F.col("url")).otherwise(
             F.concat(F.col("url"), F.lit("/"), pick(inputs.EMPTY_URL_NEEDLES, f"page_id % {u}"), F.lit("/"),
-                     pick(inputs.EMPTY_URL_NEEDLES, f"(page_id * 3 + 1) % {u}"))).alias("url"),
-        F.when(F.col("page_id") % 4 == 0, pick(inputs.EMPTY_TEXT_NEEDLES, f"page_id % {t}"))
-        .otherwise(F.concat(F.lit("Text "), F.col("page_id").cast("string"))).alias("page_text"))
+                     pick(inputs.EMPTY_URL_NEEDLES, f"(page_id * 3 + 1) % {u}"))).alias("url"))
+    planted = f"CASE WHEN page_id % 4 = 0 THEN concat('<div>', {inputs.escape('needle')}, '</div>') ELSE html END"
+    return html.page_parts(rows.withColumn("html", F.expr(planted)))
 
 
 @query
@@ -536,10 +538,12 @@ def paragraph_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def empty_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """H3: no paragraph, one blank, two blank, one with text."""
-    body = f"""CASE doc_id % 5 WHEN 0 THEN concat('<div>', {inputs.escape('text')}, '</div>')
-                 WHEN 1 THEN concat('<p> &nbsp;\t</p><div>', {inputs.escape('text')}, '</div>')
-                 WHEN 2 THEN '<p></p><p></p>' WHEN 3 THEN '<p>x' ELSE '' END"""
+    """H3: no paragraph, one blank, two blank, one with text, a heading alone; every text is in its page."""
+    text = inputs.escape("text")
+    body = f"""CASE doc_id % 5 WHEN 0 THEN concat('<div>', {text}, '</div>')
+                 WHEN 1 THEN concat('<p> &nbsp;\t</p><div>', {text}, '</div>')
+                 WHEN 2 THEN concat('<p></p><p></p><div>', {text}, '</div>')
+                 WHEN 3 THEN concat('<p>x ', {text}) ELSE concat('<h1>', {text}, '</h1>') END"""
     parts = html.page_parts(table(spark, sf_dir, "documents").selectExpr("doc_id", f"{body} AS html"))
     return parts.select("doc_id", html.is_empty().alias("is_empty"))
 
@@ -756,3 +760,28 @@ def article_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("stories_id").alias("doc_id"), "batch_id", "status", "tries", "text_extracted", "abstract",
         "parsing_error", F.col("scraping_result.content_html").isNotNull().alias("has_html"),
         F.col("scraping_result.content_text").isNotNull().alias("has_text"))
+
+
+@query
+def batch_table_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two batches in a versioned table, of which the last is scraped, and then both extracted."""
+    docs = _mixed_pages(spark, sf_dir)
+    line = F.to_json(F.expr("""named_struct('ap_syndicated', false, 'collect_date', '2024-01-05', 'guid', url,
+        'language', language, 'media_id', 1, 'media_name', 'm', 'media_url', url, 'processed_stories_id', doc_id,
+        'stories_id', doc_id, 'title', 't', 'url', url, 'metadata', CAST(NULL AS STRUCT<a: INT>))"""),
+        {"ignoreNullFields": "false"})
+    responses = write_between(docs.filter("source <> 'src3'").selectExpr(
+        "url", "url AS landing_url", "CAST(200 AS INT) AS status_code",
+        "CASE WHEN doc_id % 10 = 1 THEN map('Content-Type', 'audio/x') ELSE map('a', 'b') END AS headers",
+        "'utf-8' AS encoding", "encode(content, 'UTF-8') AS body", "CAST(0.5 AS DOUBLE) AS elapsed",
+        "CAST(NULL AS STRING) AS error_kind"))
+    articles, pages = BatchTable(spark, folder(spark)), folder(spark)
+    for part in range(2):
+        path = folder(spark)
+        docs.filter(F.col("doc_id") % 2 == part).select(line.alias("value")).write.text(path)
+        run_import(articles, path, pattern="*.txt")
+    run_scrape(articles, pages, responses, "last")
+    version = run_extract(articles, pages)
+    return articles.read().select(
+        F.col("stories_id").alias("doc_id"), "batch_id", "status", "tries", "text_extracted", "abstract", "parsing_error",
+        F.col("scraping_result.content_text").isNotNull().alias("has_text"), F.lit(version).cast("long").alias("version"))

@@ -6,6 +6,7 @@ from pressmill.functions.json_text import one_record
 from pressmill.schemas import (
     ARTICLE, ARTICLE_FIELDS, BOOLEAN, INTEGER, LIST, METADATA, OBJECT, STRING, TAGS, UNPROCESSED,
 )
+from pressmill.session import settle
 
 # Texts that count as true and false.
 TRUE_TEXTS = ["1", "on", "t", "true", "y", "yes"]
@@ -49,6 +50,7 @@ def check_articles(lines: DataFrame, value: str = "value") -> DataFrame:
     for a value of the wrong type, or ``malformed`` for a line that is no object.
     Each line is parsed once, into the known fields only; unknown keys drop out.
     """
+    settle(lines)
     fields = ", ".join(f"{name}: variant" for name, _, _ in ARTICLE_FIELDS)
     # the generator keeps the parse from being repeated for every field
     parsed = lines.select("*", F.posexplode_outer(F.expr(one_record(value, fields))).alias("_n", "_r"))

@@ -68,9 +68,17 @@ def write_snapshot(articles: DataFrame, path: str) -> None:
 def replace_batches(articles: DataFrame, path: str) -> None:
     """Write the batches in ``articles`` over those of the table; others stay untouched.
 
-    Lets a job rewrite only the batches it worked on, given whole.  The rows are
-    written apart first, so they may come from the same table.
+    Lets a job rewrite only the batches it worked on, given whole: one of another
+    number of rows than the stored one is refused before anything is written.  The rows
+    are written apart first, so they may come from the same table.  See `BatchTable` for
+    versions, which readers can hold on to.
     """
     new = write_between(articles)
+    stored = new.sparkSession.read.schema(articles.schema).parquet(path)
+    sizes = lambda df, name: df.groupBy(F.col("batch_id").alias(f"_{name}")).agg(F.count("*").alias(name))
+    given = sizes(new, "given").join(sizes(stored, "kept"), F.col("_given").eqNullSafe(F.col("_kept")))
+    wrong = given.filter("given <> kept").select("_given", "given", "kept").limit(5).collect()
+    if wrong:
+        raise ValueError("batches not given whole: " + ", ".join(f"{b} ({g} of {k} rows)" for b, g, k in wrong))
     new.write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
         .partitionBy("batch_id").parquet(path)

@@ -90,3 +90,11 @@ def test_import_batch_and_reimport(spark, tmp_path):
     assert sorted(r[0] for r in again.articles.select("batch_id").collect()) == [1, 1, 2, 2]
     assert again.articles.schema == ARTICLE
     assert {r[0] for r in again.articles.select("imported_from").collect()} == {"a.json", "b.json"}
+
+
+def test_repeated_keys_do_not_depend_on_the_session(spark):
+    plain = spark.newSession()
+    plain.conf.set("spark.sql.variant.allowDuplicateKeys", "false")
+    line = json.dumps({**RECORD, "metadata": {}}).replace('"metadata": {}', '"metadata": {"date_guess_method": {"a": "1", "a": "2"}}')
+    accepted, rejected = imports.validate_articles(plain.createDataFrame([(line,)], "value string"))
+    assert rejected.count() == 0 and accepted.first()["metadata"]["date_guess_method"] == {"a": "2"}

@@ -2,6 +2,7 @@
 
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from pressmill.operators import state, stats
@@ -66,6 +67,17 @@ def test_replacing_batches_leaves_others(spark, tmp_path):
     assert sorted(tuple(r) for r in table().collect()) == [(1, "a", 1), (2, "b", 2), (3, "b", 2)]
 
 
+def test_half_a_batch_is_refused(spark, tmp_path):
+    path, schema = str(tmp_path / "table"), "article_id long, v string, batch_id long"
+    state.write_snapshot(spark.createDataFrame([(1, "a", 1), (2, "a", 2), (3, "a", 2)], schema), path)
+    with pytest.raises(ValueError, match=r"2 \(1 of 2 rows\)"):
+        state.replace_batches(spark.createDataFrame([(2, "b", 2), (1, "b", 1)], schema), path)
+    assert {r["v"] for r in spark.read.schema(schema).parquet(path).collect()} == {"a"}
+    # a batch that is not there yet has no rows to lose
+    state.replace_batches(spark.createDataFrame([(9, "b", 3)], schema), path)
+    assert spark.read.schema(schema).parquet(path).count() == 4
+
+
 def test_articles_from_file_to_text(spark, tmp_path):
     urls = {"http://a/ok": b"<p>caf\xe9</p>", "http://a/audio": b"x", "http://a/empty": b"", "http://a/denied": b"<p>Access denied</p>"}
     lines = [json.dumps({**RECORD, "url": url}) for url in [*urls, "http://a/none"]]
