@@ -106,7 +106,7 @@ def _bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as articles with a body, which is sometimes empty or absent."""
     return table(spark, sf_dir, "documents").selectExpr(
         "doc_id AS article_id", "concat('https://x.example/', CAST(doc_id AS STRING)) AS url",
-        "CAST(doc_id % 4 AS INT) AS tries",
+        "CAST(doc_id % 4 AS INT) AS tries", "CASE WHEN doc_id % 6 > 0 THEN doc_id % 6 END AS batch_id",
         "CASE doc_id % 11 WHEN 4 THEN '' WHEN 7 THEN NULL ELSE text END AS body")
 
 

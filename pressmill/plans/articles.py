@@ -91,7 +91,7 @@ def scrape_batch(articles: DataFrame, responses: DataFrame, batch_id: int | str
     decoded, to be stored apart from the article.
     """
     chosen = fetch_tasks(articles, choose_batch(articles, batch_id, status), status, limit,
-                         ["article_id", "url", "tries"])
+                         ["article_id", "url", "tries", "batch_id"])
     tasks = retry_filter(chosen, max_retries)
     got = attach_newest(tasks, responses, newest)
     part = lambda name: F.col(f"response.{name}")
@@ -113,13 +113,13 @@ def extract_batch(articles: DataFrame, content: DataFrame, batch_id: int | str |
                   status: str = CONTENT_FETCHED, limit: int = 0) -> Step:
     """Extract text from stored pages; articles without a stored page stay as they are."""
     tasks = fetch_tasks(articles, choose_batch(articles, batch_id, status), status, limit,
-                        ["article_id", "url", "tries", "scraping_result"])
+                        ["article_id", "url", "tries", "batch_id", "scraping_result"])
     refs = tasks.withColumn("content_html", F.col("scraping_result.content_html")).drop("scraping_result")
     refs = refs.filter(F.col("content_html").isNotNull())
     pages = stored_bodies(refs, content.filter(F.col("kind") == "html"), "content_html")
     resolved = extraction_update(resolve_pair(pages, html="body"))
     done = write_between(resolved.select(
-        "article_id", "url", "tries", "text", "text_extracted", "abstract", "parsing_error"))
+        "article_id", "url", "tries", "batch_id", "text", "text_extracted", "abstract", "parsing_error"))
     texts, refs = put_content(done, "text", "text")
     extracted = refs.withColumnRenamed("content_id", "content_text")
     return Step(apply_extraction(articles, extracted), texts)
@@ -148,16 +148,15 @@ def _with_work(table: BatchTable, version: int, batch: int | str | None, status:
 def run_scrape(table: BatchTable, content_path: str, responses: DataFrame, batch: int | str | None = None,
                status: str = UNPROCESSED, limit: int = 0, max_retries: int = MAX_RETRIES, newest: str | None = None) -> int:
     """`scrape_batch` on the batches with tasks; the published version."""
-    return _run(table, content_path, batch, status, limit, lambda articles: scrape_batch(
+    return _run(table, content_path, batch, status, limit, lambda articles, _: scrape_batch(
         articles, responses, None, status, limit, max_retries, newest))
 
 
 def run_extract(table: BatchTable, content_path: str, batch: int | str | None = None,
                 status: str = CONTENT_FETCHED, limit: int = 0) -> int:
     """`extract_batch` on the batches with tasks; the published version."""
-    content = read_content(table.spark, content_path)
-    return _run(table, content_path, batch, status, limit, lambda articles: extract_batch(
-        articles, content, None, status, limit))
+    return _run(table, content_path, batch, status, limit, lambda articles, batches: extract_batch(
+        articles, read_content(table.spark, content_path, "html", batches), None, status, limit))
 
 
 def _run(table: BatchTable, content_path: str, batch, status: str, limit: int, job) -> int:
@@ -165,6 +164,6 @@ def _run(table: BatchTable, content_path: str, batch, status: str, limit: int, j
     touched = _with_work(table, version, batch, status, limit)
     if not touched:
         return version
-    step = job(table.read(touched, version))
+    step = job(table.read(touched, version), touched)
     append_content(step.content, content_path)
     return table.update(step.articles, since=version)

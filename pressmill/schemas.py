@@ -78,7 +78,7 @@ EXTRACTION = table(
 
 PAGE_CONTENT = table(
     content_id=T.StringType(), article_id=T.StringType(), target_url=T.StringType(),
-    kind=T.StringType(), body=T.StringType(),
+    kind=T.StringType(), body=T.StringType(), batch=T.LongType(),
 )
 
 RESPONSE = table(

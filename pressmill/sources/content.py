@@ -1,4 +1,9 @@
-"""Page bodies kept apart from the articles."""
+"""Page bodies kept apart from the articles.
+
+Bodies lie in one folder per kind and batch of their articles.  Where references have a
+``batch_id``, lookups join by batch too, so that Spark prunes the folders of other
+batches when it has seen the references, or at once if it is told the batches.
+"""
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -10,6 +15,17 @@ def content_id(article_id: Column, kind: str, tries: Column) -> Column:
     return F.sha2(F.concat_ws("|", article_id.cast("string"), F.lit(kind), tries.cast("string")), 256)
 
 
+# Bodies of articles without a batch.
+NO_BATCH = -1
+
+
+def batch_of(articles: DataFrame) -> Column:
+    """Number of the folder that an article's bodies go to."""
+    if "batch_id" not in articles.columns:
+        return F.lit(NO_BATCH).cast("bigint")
+    return F.coalesce(F.col("batch_id").cast("bigint"), F.lit(NO_BATCH).cast("bigint"))
+
+
 def put_content(articles: DataFrame, body: str, kind: str, url: str = "url",
                 tries: Column | None = None) -> tuple[DataFrame, DataFrame]:
     """Rows to append to the content table, and the articles with their reference.
@@ -27,18 +43,32 @@ def put_content(articles: DataFrame, body: str, kind: str, url: str = "url",
         F.col(url).alias("target_url"),
         F.lit(kind).alias("kind"),
         F.col(body).alias("body"),
+        batch_of(with_id).alias("batch"),
     )
     return content, with_id.drop(body)
 
 
 def append_content(content: DataFrame, path: str) -> None:
-    """Append bodies, one folder per kind, so that a reader of one kind skips the other."""
-    content.write.mode("append").partitionBy("kind").parquet(path)
+    """Append bodies, one folder per kind and batch, so that a reader of some skips the others."""
+    content.write.mode("append").partitionBy("kind", "batch").parquet(path)
 
 
-def read_content(spark, path: str, kind: str | None = None) -> DataFrame:
+def read_content(spark, path: str, kind: str | None = None, batches: list[int | None] | None = None) -> DataFrame:
+    """Stored bodies, of one kind and of some batches if these are given."""
     content = spark.read.schema(PAGE_CONTENT).parquet(path)
-    return content if kind is None else content.filter(F.col("kind") == kind)
+    if kind is not None:
+        content = content.filter(F.col("kind") == kind)
+    if batches is not None:
+        content = content.filter(F.col("batch").isin([NO_BATCH if b is None else b for b in batches]))
+    return content
+
+
+def _matched(refs: DataFrame, content: DataFrame, ref: str, *columns: Column) -> tuple[DataFrame, Column]:
+    """Narrowed content, and the condition that finds the rows of references in it."""
+    by_batch = "batch_id" in refs.columns and "batch" in content.columns
+    found = content.select(F.col("content_id").alias("_id"), *columns, *([F.col("batch").alias("_batch")] if by_batch else []))
+    match = F.col(ref) == F.col("_id")
+    return found, match & (batch_of(refs) == F.col("_batch")) if by_batch else match
 
 
 def get_content(refs: DataFrame, content: DataFrame, ref: str = "content_id") -> DataFrame:
@@ -47,8 +77,8 @@ def get_content(refs: DataFrame, content: DataFrame, ref: str = "content_id") ->
     Rows with a body come from `stored_bodies`; the others are found by an anti
     join on ids alone.
     """
-    ids = content.select(F.col("content_id").alias("_id"))
-    absent = refs.join(ids, F.col(ref) == F.col("_id"), "left_anti")
+    ids, match = _matched(refs, content, ref)
+    absent = refs.join(ids, match, "left_anti")
     return stored_bodies(refs, content, ref).unionByName(absent.withColumn("body", F.lit(None).cast("string")))
 
 
@@ -59,16 +89,13 @@ def stored_bodies(refs: DataFrame, content: DataFrame, ref: str = "content_id")
     small enough, so that no body is moved, and otherwise a run-time bloom filter
     can drop unwanted bodies before the shuffle.
     """
-    bodies = content.select(F.col("content_id").alias("_id"), "body")
-    return refs.join(bodies, F.col(ref) == F.col("_id")).drop("_id")
+    bodies, match = _matched(refs, content, ref, F.col("body"))
+    return refs.join(bodies, match).select(*refs.columns, "body")
 
 
 def content_info(refs: DataFrame, content: DataFrame, ref: str = "content_id") -> DataFrame:
     """Add the stored attributes by reference; the body column is never read."""
-    info = content.select(
-        F.col("content_id").alias("_id"),
-        F.col("article_id").alias("stored_article_id"),
-        F.col("target_url").alias("stored_url"),
-        F.col("kind").alias("stored_kind"),
-    )
-    return refs.join(info, F.col(ref) == F.col("_id"), "left").drop("_id")
+    info, match = _matched(
+        refs, content, ref, F.col("article_id").alias("stored_article_id"),
+        F.col("target_url").alias("stored_url"), F.col("kind").alias("stored_kind"))
+    return refs.join(info, match, "left").select(*refs.columns, "stored_article_id", "stored_url", "stored_kind")
