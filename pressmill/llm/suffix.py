@@ -76,7 +76,9 @@ def _stretches(texts: list[bytes], length: int, anchor: int):
         first = np.flatnonzero(head)
         value = value[first]
         out.append((first + at, np.flatnonzero(tail) + at,
-                    at + _PLACES - (value & np.uint64(_PLACES)).astype(np.int64), value & ~np.uint64(_PLACES)))
+                    at + _PLACES - (value & np.uint64(_PLACES)).astype(np.int64),
+                    # least hashes crowd at one end of the key space; mixed ones fill its parts evenly
+                    R.mix(value & ~np.uint64(_PLACES))))
     if not out:
         none = np.zeros(0, np.int64)
         return offsets, whole, none, none, none, none.astype(np.uint64)
