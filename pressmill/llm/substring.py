@@ -1,19 +1,22 @@
 """Removal of repeated word sequences by recompression (operator 3).
 
-Words have names, pairs of neighbouring names get a name of their own, and so on
-upwards.  A name is a hash of what it stands for, so it is the same in every task
-and round without a table of names.  Which neighbours are joined is settled by a
-class bit of their names, as in recompression: a left name and the right name after
-it are a pair.  Equal neighbours have one class, so a run of one word is never
-parted differently in two places.  Where a pair begins or ends therefore depends on
-a few words around it, and a sequence of words is cut at the same places wherever
-it stands (save for its first and last words).
-
-Round 1 exchanges, of each window of words, one such interior place, named with the
-words around it: a place that two documents share reveals a possible repeat.  Round
-2 verifies: names of whole windows, built by doubling from names of pairs, are
-exchanged for windows at shared places alone, and each learns the smallest document
-that holds it.  Both rounds send one entry per run of documents and name.
+Words are symbols.  A round first names runs of one symbol by the symbol and its
+number, and then pairs: a class bit of each name says left or right, and a left symbol
+and the right one after it become one.  Rounds go on until no symbol fits into a window
+of words any more.  A name is a hash of what it stands for, so that it is the same in
+every task and round without a table of names.
+
+Every symbol has a *context*: the words that decide that it begins and ends where it
+does, whatever stands around them.  So wherever these words occur, the symbol does: it
+is an interior symbol of every window that holds its context.  Of its interior symbols,
+and of three of them in a row, each window takes the one that covers most words (by
+name, of several) as its key.  A window inside a run has the run, and one where two
+runs meet has their meeting.
+
+The first exchange tells for each key whether a second document has it, which reveals
+possible repeats.  The second verifies: windows of shared keys are named by doubling,
+by two hashes of 104 bits together, and each learns the smallest document that holds
+it.  Both send one entry per run of documents and name.
 """
 
 from __future__ import annotations
@@ -28,64 +31,148 @@ from pressmill.llm import runs as R
 from pressmill.llm.runs import ANSWER as _ANSWER, BLOB as _BLOB, PLACE_BYTES, answers_of as _answers, blobs as _blobs
 
 WINDOW = 13
-# words before and after a place that name it with it, and so reach of a place in a window
-BEFORE, AFTER = 3, 4
-
-
-def _rename(names: np.ndarray, same: np.ndarray, salt: int) -> tuple[np.ndarray, np.ndarray]:
-    """One round of pairs: which positions end up inside a pair, and the names at all starts."""
-    left = (R.mix(names, salt) & np.uint64(1)) == 0
-    joined = np.zeros(len(names), dtype=bool)
-    if len(names) > 1:
-        joined[1:] = left[:-1] & ~left[1:] & same[1:]
-    first = np.flatnonzero(~joined)
-    out = names[first].copy()
-    has = first + 1 < len(names)
-    with_next = np.zeros(len(first), dtype=bool)
-    with_next[has] = joined[first[has] + 1]
-    out[with_next] = R.pair(names[first[with_next]], names[first[with_next] + 1], salt)
-    return first, out
-
-
-def interior_places(names: np.ndarray, doc: np.ndarray) -> np.ndarray:
-    """Flags of words that begin a name after two rounds."""
-    same = np.zeros(len(names), dtype=bool)
-    same[1:] = doc[1:] == doc[:-1]
-    first, level = _rename(names, same, 21)
-    again = np.zeros(len(level), dtype=bool)
-    again[1:] = doc[first[1:]] == doc[first[:-1]]
-    second, _ = _rename(level, again, 22)
-    flags = np.zeros(len(names), dtype=bool)
-    flags[first[second]] = True
-    return flags
-
-
-def window_places(names: np.ndarray, doc: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
-    """First words of all windows, and the name of the place each window chooses.
-
-    Of the interior places a window can name with their surroundings, it chooses
-    the least name; a window without any (it is short, or one word repeated) names
-    itself by its first words.
+# a context that goes beyond the document is known nowhere else
+_FAR = np.int64(1 << 40)
+# numbers held at once for the keys of some documents
+_CELLS = 4_000_000
+
+
+class Level:
+    """Symbols of some words after a round: name, words ``start`` to ``stop``, context ``lo`` to ``hi``, document."""
+
+    def __init__(self, name, start, stop, lo, hi, doc):
+        self.name, self.start, self.stop, self.lo, self.hi, self.doc = name, start, stop, lo, hi, doc
+        self.joined = np.zeros(len(name), dtype=bool)  # to the symbol before, of the same document
+        self.joined[1:] = doc[1:] == doc[:-1]
+
+    @classmethod
+    def of_words(cls, names: np.ndarray, doc: np.ndarray) -> Level:
+        at = np.arange(len(names))
+        return cls(names, at, at + 1, at, at + 1, doc)
+
+    def before(self, values: np.ndarray) -> np.ndarray:
+        """Each symbol's value of the one before it; far off at the document's edge."""
+        out = np.full(len(values), -_FAR)
+        out[1:] = np.where(self.joined[1:], values[:-1], -_FAR)
+        return out
+
+    def after(self, values: np.ndarray) -> np.ndarray:
+        out = np.full(len(values), _FAR)
+        out[:-1] = np.where(self.joined[1:], values[1:], _FAR)
+        return out
+
+    def _merged(self, first: np.ndarray, last: np.ndarray, name: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> Level:
+        return Level(name, self.start[first], self.stop[last], lo, hi, self.doc[first])
+
+    def runs(self) -> Level:
+        """Neighbours of one name become one symbol; its ends are known where others stand beside it."""
+        new = np.ones(len(self.name), dtype=bool)
+        new[1:] = (self.name[1:] != self.name[:-1]) | ~self.joined[1:]
+        first = np.flatnonzero(new)
+        last = np.append(first[1:], len(new)) - 1
+        count = (last - first + 1).astype(np.uint64)
+        name = self.name[first]
+        name = np.where(count > 1, R.pair(name, count, 11), name)
+        lo = np.minimum(self.lo[first], self.before(self.lo)[first])
+        hi = np.maximum(self.hi[last], self.after(self.hi)[last])
+        return self._merged(first, last, name, lo, hi)
+
+    def pairs(self, salt: int) -> Level:
+        """A left symbol and the right one after it become one; single ones are known by the other side."""
+        left = (R.mix(self.name, salt) & np.uint64(1)) == 0
+        second = np.zeros(len(left), dtype=bool)
+        second[1:] = left[:-1] & ~left[1:] & self.joined[1:]
+        first = np.flatnonzero(~second)
+        paired = np.zeros(len(first), dtype=bool)
+        inner = first + 1 < len(left)
+        paired[inner] = second[first[inner] + 1]
+        last = first + paired
+        name = self.name[first].copy()
+        name[paired] = R.pair(self.name[first[paired]], self.name[last[paired]], salt)
+        lo, hi = self.lo[first], np.maximum(self.hi[first], self.hi[last])
+        lo = np.where(paired, np.minimum(lo, self.lo[last]), lo)
+        alone_left = ~paired & left[first]
+        lo = np.where(paired | alone_left, lo, np.minimum(lo, self.before(self.lo)[first]))
+        hi = np.where(alone_left, np.maximum(hi, self.after(self.hi)[first]), hi)
+        return self._merged(first, last, name, lo, hi)
+
+
+class _Keys:
+    """Least key of every window of words, from keys offered with their contexts."""
+
+    def __init__(self, words: int, window: int):
+        self.window = window
+        self.best = np.full((window + 1, words), ~np.uint64(0))
+
+    def offer(self, name: np.ndarray, covered: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> bool:
+        ok = np.flatnonzero(hi - lo <= self.window)
+        key = (np.uint64(255) - np.minimum(covered[ok], 255).astype(np.uint64) << np.uint64(56)) | (name[ok] >> np.uint64(8))
+        np.minimum.at(self.best, (hi[ok] - lo[ok], lo[ok]), key)
+        return len(ok) > 0
+
+    def level(self, level: Level, salt: int) -> bool:
+        """Offer symbols and threes of symbols; whether any symbol fits."""
+        fits = self.offer(R.mix(level.name, salt), level.stop - level.start, level.lo, level.hi)
+        if len(level.name) > 2:
+            threes = level.joined[1:-1] & level.joined[2:]
+            a, b, c = (np.flatnonzero(threes) + k for k in range(3))
+            name = R.pair(R.pair(level.name[a], level.name[b], salt), level.name[c], salt + 1)
+            lo = np.minimum(np.minimum(level.lo[a], level.lo[b]), level.lo[c])
+            hi = np.maximum(np.maximum(level.hi[a], level.hi[b]), level.hi[c])
+            self.offer(name, level.stop[c] - level.start[a], lo, hi)
+        return fits
+
+    def least(self) -> np.ndarray:
+        """A context lies in a window if it is the window, or in one shorter by a word at either end."""
+        held = self.best[0]
+        for size in range(1, self.window + 1):
+            shorter = held
+            held = np.minimum(self.best[size], shorter)
+            held[:-1] = np.minimum(held[:-1], shorter[1:])
+        return held
+
+
+def symbol_keys(names: np.ndarray, doc: np.ndarray, window: int, rounds: int | None = None) -> np.ndarray:
+    """Key of the window that begins at each word: all ones where no interior symbol is known.
+
+    ``rounds`` ends recompression early.
     """
-    n = len(names)
-    if n < window:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    width = BEFORE + AFTER
-    around = names[: n - width + 1].copy()
-    for k in range(1, width):
-        around = R.pair(around, names[k: n - width + 1 + k], 30)
-    flags = interior_places(names, doc)[BEFORE: BEFORE + len(around)]
-    # names of places are half the key space, those of other words the other half
-    keys = (around >> np.uint64(1)) | np.where(flags, np.uint64(0), np.uint64(1 << 63))
-    reach = window - width + 1
-    least = keys
-    span = 1
-    while span < reach:
-        step = min(span, reach - span)
-        least = np.minimum(least[: len(least) - step], least[step:])
-        span += step
-    starts = np.flatnonzero(doc[: n - window + 1] == doc[window - 1:])
-    return starts, least[starts]
+    keys, level = _Keys(len(names), window), Level.of_words(names, doc)
+    number = 0
+    while rounds is None or number < rounds:
+        if not number:
+            beside = np.flatnonzero(level.joined)
+            other = names[beside] != names[beside - 1]
+            meet, inside = beside[other], beside[~other]
+            keys.offer(R.pair(names[meet - 1], names[meet], 12), np.full(len(meet), 2), meet - 1, meet + 1)
+            keys.offer(R.pair(names[inside - 1], names[inside], 13), np.full(len(inside), 1), inside - 1, inside + 1)
+        level = level.runs()
+        fits = keys.level(level, 100 + 4 * number)
+        level = level.pairs(20 + number)
+        fits |= keys.level(level, 102 + 4 * number)
+        number += 1
+        if not fits:
+            break
+    return keys.least()
+
+
+def window_places(names: np.ndarray, doc: np.ndarray, window: int, rounds: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """First words of all windows that have a key, and their keys, spread over the key space."""
+    starts, keys = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
+    ends = np.flatnonzero(np.append(doc[1:] != doc[:-1], True)) + 1 if len(doc) else np.zeros(0, np.int64)
+    at = 0
+    while at < len(names):
+        # whole documents, as many as their numbers fit, or one
+        some = np.searchsorted(ends, at + _CELLS // (window + 1), "right") - 1
+        stop = int(ends[max(some, np.searchsorted(ends, at, "right"))])
+        own = doc[at:stop]
+        found = symbol_keys(names[at:stop], own, window, rounds)
+        first = np.flatnonzero(own[: max(0, len(own) - window + 1)] == own[window - 1:])
+        first = first[found[first] != ~np.uint64(0)]
+        starts.append(first + at)
+        keys.append(R.mix(found[first]))
+        at = stop
+    return np.concatenate(starts), np.concatenate(keys)
 
 
 def window_names(one: np.ndarray, two: np.ndarray, starts: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
@@ -106,12 +193,12 @@ def window_names(one: np.ndarray, two: np.ndarray, starts: np.ndarray, window: i
 
 
 class _Run:
-    """A run's windows and the places they chose."""
+    """A run's windows and the keys they took."""
 
-    def __init__(self, rows: pa.Table, window: int, seconds: bool):
+    def __init__(self, rows: pa.Table, window: int, seconds: bool, rounds: int | None):
         self.ids, self.known, self.texts = R.ordered(rows)
         self.doc, self.one, self.two = R.run_words(self.texts, seconds=seconds)
-        self.starts, self.place = window_places(self.one, self.doc, window)
+        self.starts, self.place = window_places(self.one, self.doc, window, rounds)
         ok = self.known[self.doc[self.starts]]
         self.starts, self.place = self.starts[ok], self.place[ok]
         self.order = np.argsort(self.place, kind="stable")
@@ -152,20 +239,22 @@ class _Windows:
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW,
-                   run_bytes: int = R.RUN_BYTES, keep_text: bool = False) -> DataFrame:
+                   run_bytes: int = R.RUN_BYTES, keep_text: bool = False, rounds: int | None = None) -> DataFrame:
     """Per document: id, ``n_words``, ``n_removed``, ``kept_sha256`` and, if asked for, ``kept``.
 
     A word goes if a window of ``window`` words over it also starts in a document
     of a smaller id.  Ids are integers; rows of one id do not remove from each
     other, and a row without an id neither removes nor loses.  Null and wordless
-    texts have no words; the kept text is then empty.  ``window`` is at least 7.
+    texts have no words; the kept text is then empty.  ``window`` is from 3 to 255.
+    ``rounds`` ends recompression early, for tests: by default it goes on as long as
+    symbols fit into windows.
     """
     given = R.in_runs(docs, id_col, text_col, run_bytes)
     by_run = given.docs.groupBy("_run")
     bits = given.bits
 
     def places(key, rows):
-        run = _Run(rows, window, seconds=False)
+        run = _Run(rows, window, False, rounds)
         owner = run.doc[run.starts][run.order]
         many = np.zeros(len(run.keys), dtype=bool)
         if len(run.keys):
@@ -176,7 +265,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                        for part, at in R.parts_of(run.keys, bits)])
 
     def windows(key, rows, answers):
-        run = _Run(rows, window, seconds=True)
+        run = _Run(rows, window, True, rounds)
         held = _Windows(run, run.shared_windows(_answers(answers, 0), bits), window)
         low = int(held.least.min()) if len(held.least) else 0
         short = (held.one << np.uint64(bits)) >> np.uint64(24)
@@ -203,7 +292,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             "data": pa.array([R.to_bits(f) for f in np.split(flags, np.cumsum(counts)[:-1])], pa.binary())})
 
     def assemble(key, rows, answers):
-        run = _Run(rows, window, seconds=True)
+        run = _Run(rows, window, True, rounds)
         held = _Windows(run, run.shared_windows(_answers(answers, 0), bits), window)
         elsewhere = np.zeros(len(held.one), dtype=bool)
         found = _answers(answers, 1)

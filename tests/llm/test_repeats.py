@@ -3,9 +3,10 @@
 import hashlib
 import random
 
+import numpy as np
 import pytest
 
-from pressmill.llm import substring, suffix
+from pressmill.llm import runs as R, substring, suffix
 
 
 def by_bytes(rows, length):
@@ -76,6 +77,59 @@ def test_words(spark, docs, documents, no_docs):
     assert substring.remove_repeats(no_docs).count() == 0
 
 
+def test_repeats_are_found_by_the_rounds_alone(spark):
+    # without naming there are no symbols, so nothing is revealed; later rounds only make keys rarer
+    shared = " ".join(f"w{i}" for i in range(30))
+    rows = [(1, shared), (2, f"a b {shared} c"), (3, "z " * 40), (4, "z " * 50), (5, "u v " * 30), (6, "v u " * 30)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    want = by_words(rows, 13)
+    removed = lambda found: {r["doc_id"]: r["n_removed"] for r in found.collect()}
+    assert sum(removed(substring.remove_repeats(df, rounds=0)).values()) == 0
+    for rounds in (1, 2, None):
+        same(substring.remove_repeats(df, rounds=rounds).collect(), want)
+    assert sum(w[2] for w in want) > 60
+
+
+def brute_symbols(words, window, rounds):
+    """Keys of windows recompressed each by itself, from interior symbols of the whole."""
+    names = np.array(words, np.uint64)
+    return substring.symbol_keys(R.mix(names), np.zeros(len(names), np.int32), window, rounds)
+
+
+@pytest.mark.parametrize("letters, window", [(2, 13), (3, 13), (8, 13), (2, 5), (30, 20)])
+def test_equal_windows_have_equal_keys(letters, window):
+    rng = random.Random(letters * window)
+    seen = {}
+    for _ in range(60):
+        words = rng.choices(range(letters), k=rng.randint(1, 120))
+        if rng.random() < .3:
+            words = (words[:3] * 60)[:90]
+        keys = brute_symbols(words, window, None)
+        for s in range(len(words) - window + 1):
+            assert keys[s] != ~np.uint64(0)
+            assert seen.setdefault(tuple(words[s: s + window]), keys[s]) == keys[s]
+    assert len(set(seen.values())) > len(seen) / 40
+
+
+def test_higher_rounds_cover_more_words():
+    rng = np.random.default_rng(2)
+    names, doc = R.mix(rng.integers(0, 5000, 20_000).astype(np.uint64)), np.zeros(20_000, np.int32)
+    covered = lambda rounds: float((255 - (substring.symbol_keys(names, doc, 13, rounds)[:-12] >> np.uint64(56))).mean())
+    one, two = covered(1), covered(2)
+    assert 4 < one < two <= covered(None) <= 13
+
+
+def test_parts_of_the_key_space_are_even():
+    rng = np.random.default_rng(3)
+    names, doc = R.mix(rng.integers(0, 3000, 100_000).astype(np.uint64)), np.arange(100_000, dtype=np.int32) // 300
+    _, keys = substring.window_places(names, doc, 13)
+    texts = [bytes(rng.integers(97, 110, 500, dtype=np.uint8)) for _ in range(200)]
+    *_, places = suffix._stretches(texts, 50, 24)
+    for found in (keys, places):
+        sizes = np.bincount((np.unique(found) >> np.uint64(64 - 6)).astype(int), minlength=64)
+        assert sizes.max() < 2 * sizes.mean()
+
+
 @pytest.mark.parametrize("seed", [3, 4])
 def test_tricky_words(spark, seed):
     rows = tricky(seed)
