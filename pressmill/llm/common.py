@@ -9,6 +9,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def packed(docs: DataFrame, name: str = "_all") -> Column:
+    """All columns of a row in one, so that none clashes with those of an operator."""
+    return F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias(name)
+
+
+def unpacked(docs: DataFrame, name: str = "_all") -> list[Column]:
+    """The columns of ``docs`` again, from a row packed as ``name``."""
+    return [F.col(f"{name}.`{c}`").alias(c) for c in docs.columns]
+
+
 def crc_mod(key: str | Column, n: int) -> Column:
     """crc32 of a key's text, modulo ``n``; null for a null key."""
     key = F.col(key) if isinstance(key, str) else key

@@ -18,6 +18,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
+from pressmill.llm.common import packed, unpacked
+
 BUCKET_BITS = 16
 DIMENSIONS = 16
 ORDERS = (2, 3, 4)
@@ -153,9 +155,20 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame
     """``docs`` with ``lang_pred``, ``score`` (0 to 1) and ``rejected``.
 
     A text that is null or has no letter is ``und`` with score 0, and so is every
-    text if nothing was learned; these are rejected.  Whole texts are read; nothing
-    is shuffled.
+    text if nothing was learned; these are rejected.  Whole texts are read, however
+    long; repeated rows are judged each, other columns stay as they are, and nothing is
+    shuffled.
     """
+    return _judged(docs, model, text_col).select(*unpacked(docs), "lang_pred", "score", "rejected")
+
+
+def keep_known(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that are not rejected, as they were; columns may have any names."""
+    return _judged(docs, model, text_col).where("NOT rejected").select(*unpacked(docs))
+
+
+def _judged(docs: DataFrame, model: Model, text_col: str) -> DataFrame:
+    """Rows packed, with the results beside."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("lang string, score double")
@@ -174,6 +187,6 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame
 
     letters = F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False))
     found = run(F.when(letters, F.col(text_col)))
-    return docs.withColumn("_found", found).select(
-        *[docs[c] for c in docs.columns], F.col("_found.lang").alias("lang_pred"), F.col("_found.score").alias("score"),
-        ((F.col("_found.lang") == NO_LANGUAGE) | (F.col("_found.score") < F.lit(model.threshold))).alias("rejected"))
+    rejected = (F.col("_found.lang") == NO_LANGUAGE) | (F.col("_found.score") < F.lit(model.threshold))
+    return docs.select(packed(docs), found.alias("_found")).select(
+        "_all", F.col("_found.lang").alias("lang_pred"), F.col("_found.score").alias("score"), rejected.alias("rejected"))

@@ -15,6 +15,8 @@ import math
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from pressmill.llm.common import packed, unpacked
+
 SEED = "mix-1"
 POWER = 0.5
 # sources whose table of probabilities is sent to every task; beyond it, a join
@@ -71,9 +73,16 @@ def poisson_copies(docs: DataFrame, id_col: str = "doc_id", source: str = "sourc
                    total: int | None = None) -> DataFrame:
     """``docs`` with ``_copy`` (from 1) and ``_order``: one row per copy, not yet shuffled.
 
-    The draw depends on seed and id only, so repeated rows are repeated alike; a
+    Columns of ``docs`` may have any names.  The draw depends on seed and id only, so repeated rows are repeated alike; a
     null id draws like an empty one.  Rates may be of any size.
     """
+    copies = _copies(docs, id_col, source, seed, power, weights, total)
+    return copies.select(*unpacked(docs), "_copy", "_order")
+
+
+def _copies(docs: DataFrame, id_col: str = "doc_id", source: str = "source", seed: str = SEED, power: float = POWER,
+            weights: dict[str, float] | None = None, total: int | None = None) -> DataFrame:
+    """Rows packed, with ``_copy`` and ``_order``."""
     rates = source_rates(docs, source, power, weights, total)
     sources = rates.count()
     parts = F.when(F.col("rate") > ONE_DRAW, F.ceil(F.col("rate") / PART_RATE)).otherwise(F.lit(1)).cast("int")
@@ -81,12 +90,13 @@ def poisson_copies(docs: DataFrame, id_col: str = "doc_id", source: str = "sourc
         "__mix_source", "__mix_parts", _terms(F.col("rate") / F.col("__mix_parts")).alias("__mix_terms"))
     if sources <= BROADCAST_SOURCES:
         table = F.broadcast(table)
-    name = F.coalesce(F.col(id_col).cast("string"), F.lit(""))
+    name = F.coalesce(F.col("__mix_id").cast("string"), F.lit(""))
     several = F.transform(F.sequence(F.lit(1), F.col("__mix_parts")),
                           lambda i: uniform(F.lit(seed), F.lit("draw"), name, i.cast("string")))
     us = F.when(F.col("__mix_parts") == 1, F.array(uniform(F.lit(seed), name))).otherwise(several)
     numbers = F.transform(us, lambda u: F.size(F.filter("__mix_terms", lambda c: c <= u)))
-    drawn = docs.join(table, F.col(source).eqNullSafe(F.col("__mix_source"))) \
+    rows = docs.select(packed(docs), F.col(f"`{id_col}`").alias("__mix_id"), F.col(f"`{source}`").alias("__mix_own"))
+    drawn = rows.join(table, F.col("__mix_own").eqNullSafe(F.col("__mix_source"))) \
         .withColumn("__mix_n", F.aggregate(numbers, F.lit(0).cast("long"), lambda s, n: s + n))
     # in two steps, so that no list is as long as the copies of a document
     n, at = F.col("__mix_n"), F.col("__mix_at")
@@ -94,7 +104,7 @@ def poisson_copies(docs: DataFrame, id_col: str = "doc_id", source: str = "sourc
         .withColumn("__mix_at", F.explode(F.sequence(F.lit(1).cast("long"), n, F.lit(COPIES_AT_ONCE).cast("long")))) \
         .withColumn("_copy", F.explode(F.sequence(at, F.least(at + F.lit(COPIES_AT_ONCE - 1), n))))
     order = F.md5(F.concat_ws("|", F.lit(seed), F.lit("order"), name, F.col("_copy").cast("string")))
-    return copies.withColumn("_order", order).select(*[docs[c] for c in docs.columns], "_copy", "_order")
+    return copies.withColumn("_order", order).select("_all", "_copy", "_order")
 
 
 def mix(docs: DataFrame, **options) -> DataFrame:
@@ -102,4 +112,4 @@ def mix(docs: DataFrame, **options) -> DataFrame:
 
     Empty tables give empty ones; texts are not looked at.
     """
-    return poisson_copies(docs, **options).orderBy("_order").select(*docs.columns)
+    return _copies(docs, **options).orderBy("_order").select(*unpacked(docs))

@@ -16,6 +16,8 @@ from collections import defaultdict
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from pressmill.llm.common import packed, unpacked
+
 KINDS = ("email", "ip", "card", "phone")
 
 # Patterns of the contract.  A look-behind keeps a failed start from being tried
@@ -257,11 +259,18 @@ def _score(span: Column, weights: dict[tuple, float]) -> Column:
 def find(docs: DataFrame, weights: dict[tuple, float], text_col: str = "text") -> DataFrame:
     """``docs`` with ``_spans``: (start, kind number, end, base), in order of start and kind.
 
-    A null text has no spans.  Nothing is shuffled.
+    A null text has no spans; texts may be of any length, and repeated rows are each
+    searched.  Other columns may have any names.  Nothing is shuffled.
     """
+    return _with_spans(docs, weights, text_col).select(*unpacked(docs), "_spans")
+
+
+def _with_spans(docs: DataFrame, weights: dict[tuple, float], text_col: str) -> DataFrame:
+    """Rows packed, with ``text`` and ``_spans``, so that columns may have any names."""
     odds = math.log(ACCEPT / (1 - ACCEPT))
     kept = F.filter("_candidates", lambda s: s["base"] | (_score(s, weights) >= odds))
-    return with_candidates(docs, text_col).withColumn("_spans", F.array_sort(F.transform(
+    rows = docs.select(packed(docs), F.col(f"`{text_col}`").alias("text"))
+    return with_candidates(rows, "text").withColumn("_spans", F.array_sort(F.transform(
         kept, lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end"), s["base"].alias("base"))))) \
         .drop("_candidates")
 
@@ -279,7 +288,7 @@ def redact(docs: DataFrame, weights: dict[tuple, float], text_col: str = "text")
     Null texts stay null and texts without spans stay as they are.
     """
     names = F.array(*[F.lit(f"[{k.upper()}]") for k in KINDS])
-    text = F.col(f"`{text_col}`")
+    text = F.col("text")
     done = F.aggregate(
         "_spans", F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<string>").alias("out")),
         lambda s, x: F.when(x["start"] < s["at"], F.struct(F.greatest(s["at"], x["end"]).alias("at"), s["out"].alias("out")))
@@ -287,7 +296,7 @@ def redact(docs: DataFrame, weights: dict[tuple, float], text_col: str = "text")
             F.substring(text, (s["at"] + 1).cast("int"), (x["start"] - s["at"]).cast("int")),
             F.element_at(names, x["kind"] + 1))).alias("out"))))
     # the end of the last span written is where the rest begins
-    marked = find(docs, weights, text_col).withColumn("_done", F.when(F.size("_spans") > 0, done))
+    marked = _with_spans(docs, weights, text_col).withColumn("_done", F.when(F.size("_spans") > 0, done))
     rest = F.substring(text, (F.col("_done.at") + 1).cast("int"), F.length(text))
     out = F.when(F.col("_done").isNull(), text).otherwise(F.concat(F.array_join("_done.out", ""), rest))
-    return marked.withColumn(text_col, out).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return marked.select(*[out.alias(c) if c == text_col else own for c, own in zip(docs.columns, unpacked(docs))])

@@ -18,6 +18,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
+from pressmill.llm.common import packed, unpacked
 from pressmill.llm.components import components
 from pressmill.session import write_between
 
@@ -172,10 +173,10 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
              words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
     """One document of each component: that of the smallest id, nulls last.
 
-    Rows alike in every column count as one.  All columns come back as they were.
+    Rows alike in every column count as one.  All columns come back as they were,
+    whatever their names.
     """
-    columns = docs.columns
-    whole = F.xxhash64(*[F.col(f"`{c}`") for c in columns])
+    whole = F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])
     narrow = write_between(docs.select(
         F.col(id_col).alias("_id"), whole.alias("_row"), fingerprint(F.col(text_col), words).alias("fingerprint")))
     key = F.struct(F.col("_id").isNull().alias("n"), F.col("_id").alias("i"), F.col("_row").alias("r"))
@@ -183,6 +184,6 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     classes = fingerprint_classes(prints.select("fingerprint"), max_bits)
     kept = prints.join(classes, "fingerprint").groupBy("class").agg(F.min("first").alias("first"))
     kept = kept.select(F.col("first.r").alias("_kept"), F.col("first.i").alias("_kept_id"))
-    chosen = (F.col("_row") == F.col("_kept")) & F.col(f"`{id_col}`").eqNullSafe(F.col("_kept_id"))
-    return docs.withColumn("_row", whole).join(kept, chosen, "left_semi") \
-        .dropDuplicates(["_row", id_col]).select(*[F.col(f"`{c}`") for c in columns])
+    chosen = (F.col("_row") == F.col("_kept")) & F.col("_id").eqNullSafe(F.col("_kept_id"))
+    rows = docs.select(packed(docs), whole.alias("_row"), F.col(f"`{id_col}`").alias("_id"))
+    return rows.join(kept, chosen, "left_semi").dropDuplicates(["_row", "_id"]).select(*unpacked(docs))

@@ -35,3 +35,15 @@ def docs(spark, documents):
 @pytest.fixture(scope="session")
 def no_docs(spark):
     return spark.createDataFrame([], SCHEMA)
+
+
+CLASHING = ["_row", "_done", "_spans", "_candidates", "_copy", "_order", "_found", "_all", "_id", "score", "lang_pred",
+            "rejected", "fingerprint", "__mix_n", "rate", "counts", "measures", "kept", "piece", "tree", "path"]
+
+
+@pytest.fixture(scope="session")
+def clashing(spark, documents):
+    """The rows with columns that bear all names the operators use for themselves."""
+    rows = [(*r, *[f"{c}-{r[0]}" for c in CLASHING]) for r in documents]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"`{c}` string" for c in CLASHING)
+    return spark.createDataFrame(rows, schema).repartition(3).cache()

@@ -8,10 +8,12 @@ import zlib
 
 import numpy as np
 
+import pytest
+
 import corpus_pipeline
-from pressmill.llm import langid, mixing, packing
+from pressmill.llm import langid, merkle, mixing, packing, phrases, pii, quality, simhash, substring, suffix
 from pressmill.llm.common import learned
-from tests.llm.conftest import SF
+from tests.llm.conftest import CLASHING, SF
 from tests.llm.test_documents import PATTERNS, slow_components, slow_print, valid
 
 
@@ -82,3 +84,35 @@ def test_stages(spark):
     for r in found:
         fill[r["sequence_id"]] += r["length"]
     assert max(fill.values()) <= 4096 and len(fill) <= 1.03 * math.ceil(sum(fill.values()) / 4096) + 1
+
+
+def test_stages_keep_columns_of_any_names(spark, clashing, documents):
+    """Null, empty, wordless, very long and repeated rows, with columns named like the operators' own."""
+    seen = clashing
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        before, seen = seen, stage(spark, seen, SF)
+        assert seen.columns == clashing.columns, name
+        rows = seen.collect()
+        assert rows and all(r[c] == f"{c}-{r['doc_id']}" for r in rows for c in CLASHING), name
+        if name in ("simhash_near_dedup", "language_id"):
+            texts = {(r["doc_id"], r["text"]) for r in before.collect()}
+            assert {(r["doc_id"], r["text"]) for r in rows} <= texts
+        seen = spark.createDataFrame(rows, clashing.schema)
+    packed = corpus_pipeline.STAGES[-1][1](spark, seen, SF).collect()
+    assert {r["doc_id"] for r in packed} == {r["doc_id"] for r in seen.collect()}
+
+
+@pytest.mark.parametrize("run", [
+    lambda d: langid.identify(d, langid.fit(d, learned("doc_id", 5))).select("doc_id"), simhash.near_duplicates,
+    lambda d: pii.find(d.drop("_spans"), pii.fit(d)), lambda d: mixing.poisson_copies(d.drop("_copy", "_order")),
+    packing.pack_documents, suffix.remove_repeats, substring.remove_repeats, merkle.manifest, quality.describe_texts,
+    lambda d: phrases.collocations(d, min_count=5)],
+    ids=["langid", "simhash", "pii", "mixing", "packing", "suffix", "substring", "merkle", "quality", "phrases"])
+def test_operators_take_columns_of_any_names(spark, clashing, run):
+    plain = clashing.select("doc_id", "text", "lang", "source", "n_chars")
+    assert run(clashing).count() == run(plain).count() > 0
+
+
+def test_stages_on_empty_tables(spark, no_docs):
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, no_docs, SF).count() == 0, name
