@@ -1,7 +1,10 @@
 """A corpus from raw documents to packed sequences, in five stages.
 
 Every stage takes ``(spark, docs, sf_dir)``, works on all rows it is given and, but
-for the last, returns the columns of documents.
+for the last, returns the columns of documents; further columns stay as they are,
+whatever their names.  Null and empty texts have no language and leave in the first
+stage; texts may be of any length; repeated rows count as one from the second stage
+on.  Empty tables stay empty.
 """
 
 from __future__ import annotations
@@ -16,7 +19,7 @@ from pressmill.session import write_between
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of a known language; those the classifier rejects go."""
     model = langid.fit(docs, learned("doc_id", 5))
-    return langid.identify(docs, model).where("NOT rejected").select(*docs.columns)
+    return langid.keep_known(docs, model)
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
