@@ -100,6 +100,7 @@ SQL["collection_domains"] = f"WITH {SOURCES} SELECT name FROM sources WHERE coll
 SQL["search_stories"] = f"""WITH {STORIES}, {SOURCES} SELECT doc_id, domain, publication_date FROM stories
     WHERE publication_date >= '2024-01-03' AND publication_date <= '2024-01-24' AND doc_id % 29 <> 5
       AND domain IN (SELECT name FROM sources WHERE collection_id = 1) AND {_word('text', 'of[ ' + chr(10) + ']+the')}"""
+SQL["search_phrase_index"] = SQL["search_stories"]
 SQL["story_search_job"] = f"""WITH {STORIES}, {SOURCES} SELECT doc_id, language, url FROM stories
     WHERE publication_date >= '2024-01-01' AND publication_date <= '2024-01-15'
       AND domain IN (SELECT name FROM sources WHERE collection_id = 2) AND {_word('text', 'les')}"""

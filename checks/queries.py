@@ -11,7 +11,7 @@ from pressmill.sources.batches import BatchTable
 from pressmill.plans.stories import scrape_stories, story_query
 from pressmill.schemas import ARTICLE, STORY
 from pressmill.session import write_between
-from pressmill.sources import content, records, stories as story_files
+from pressmill.sources import content, phrase_index, records, stories as story_files
 from pressmill.streaming.progress import progress_stream, read_changes
 
 QUERIES = {}
@@ -256,6 +256,19 @@ def search_stories(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "domain", "publication_date")
 
 
+@query
+def search_phrase_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q2: the same from a stored index of all words."""
+    dated = stories(spark, sf_dir).withColumn("publication_date", F.expr(
+        "CASE WHEN doc_id % 29 = 5 THEN 'n/a' ELSE publication_date END"))
+    path = folder(spark)
+    phrase_index.write_phrase_index(dated, path, ("title", "text"))
+    found = phrase_index.search_phrase_index(
+        spark, path, search.collection_domains(_sources(spark, sf_dir), 1),
+        "of the", "2024-01-03", "2024-01-24", text=("title", "text"))
+    return found.select("doc_id", "domain", "publication_date")
+
+
 @query
 def story_search_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole search job, one word in the body."""

@@ -3,7 +3,7 @@
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, functions as F
 
-from pressmill.functions.decoding import decode_other
+from pressmill.functions.decoding import ALL_NAMES, decode_other, decode_single_byte
 from pressmill.functions.rules import label
 from pressmill.functions.rule_values import NOT_FOUND
 from pressmill.schemas import CONTENT_FETCHED, FAILED
@@ -136,14 +136,14 @@ def decode_body(df: DataFrame, body: str = "body", encoding: str = "encoding") -
     """Add ``content`` and ``used_encoding``.
 
     Declared encoding first, then UTF-8, then a fixed text that marks failure;
-    such a row still counts as fetched.  UTF-8, Latin-1 and ASCII are decoded in
-    the JVM; only bodies in another encoding pass through Python.
+    such a row still counts as fetched.  UTF-8 and encodings of one byte a character
+    are decoded in the JVM; only bodies in another encoding pass through Python.
     """
     raw, declared = F.col(body), F.col(encoding)
     name = F.replace(F.lower(F.trim(declared)), F.lit("_"), F.lit("-"))
     utf8 = F.try_validate_utf8(raw.cast("string"))
     latin1 = F.decode(raw, "ISO-8859-1")
-    in_jvm = name.isin(UTF_8 + LATIN_1 + ASCII)
+    in_jvm = name.isin(UTF_8 + LATIN_1 + ASCII + ALL_NAMES)
     df = df.withColumn("_other", decode_other(
         F.when(~in_jvm, raw), F.when(~in_jvm, declared)
     ))
@@ -151,6 +151,7 @@ def decode_body(df: DataFrame, body: str = "body", encoding: str = "encoding") -
         F.when(name.isin(UTF_8), utf8)
         .when(name.isin(LATIN_1), latin1)
         .when(name.isin(ASCII) & latin1.rlike(r"\A\p{ASCII}*\z"), latin1)
+        .when(name.isin(ALL_NAMES), decode_single_byte(latin1, name))
         .otherwise(F.col("_other"))
     )
     content = F.coalesce(by_declared, utf8, F.when(raw.isNotNull(), UNDECODED))

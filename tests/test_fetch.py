@@ -131,3 +131,21 @@ def test_bodies_go_through_one_join_and_no_aggregate(spark, tmp_path, monkeypatc
 def test_fetch_errors(values, kind, content, label):
     column = fetch.fetch_error_label(F.col("k"), F.col("k"), F.col("c"))
     assert values([(kind, content)], "k string, c string", column) == [label and "ERROR: " + label]
+
+
+def test_single_byte_encodings_without_python(spark):
+    """Each byte of each encoding, as Python's codecs read it."""
+    from pressmill.functions.decoding import SINGLE_BYTE, names_of
+
+    rows, want = [], {}
+    for codec in SINGLE_BYTE:
+        for name in (names_of(codec)[0], codec.upper()):
+            for byte in range(256):
+                body = b"a" + bytes([byte]) + b"z"
+                rows.append(response(body=body, encoding=name))
+                try:
+                    want[name, body] = (body.decode(codec), name)
+                except UnicodeDecodeError:
+                    want[name, body] = ("DECODING_ERROR", "utf-8")
+    got = fetch.decode_body(spark.createDataFrame(rows, RESPONSE)).select("encoding", "body", "content", "used_encoding").collect()
+    assert {(r[0], bytes(r[1])): (r[2], r[3]) for r in got} == want
