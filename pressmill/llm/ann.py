@@ -8,7 +8,12 @@ the rows of these cells by exact cosine.
 
 The cells of one centroid of the first half are worked on together: a query is sent
 once to each such centroid, with a bit for every second one, and gets back one list
-of its best rows there.
+of its best rows there.  Rows and queries of a centroid are both dealt into blocks, so
+that no task holds more than one block of each.
+
+Cells that cannot hold a better row are left out: the ``k``-th best cosine among some
+rows of the sample is a lower bound, and a query's distance to a centroid less that
+centroid's radius tells how near any row of it can be.
 """
 
 from __future__ import annotations
@@ -19,7 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F, Window
+from pyspark.sql import Column, DataFrame, functions as F, Window
 
 from pressmill.llm.vectors import matrix, packed, unit
 from pressmill.session import write_between
@@ -31,8 +36,10 @@ CELL_ROWS = 200
 MOST_CENTROIDS = 256
 # share of all rows that a query's cells hold; of it depends the recall
 SHARE = 0.85
-# rows of a cell compared in one task
+# rows, and queries, of a first centroid compared in one task
 BLOCK_ROWS = 4096
+# rows of the sample that bound a query's k-th best from below
+PROBE_ROWS = 2_000
 
 
 def kmeans(rows: np.ndarray, k: int, seed: int, rounds: int = 10) -> np.ndarray:
@@ -75,6 +82,11 @@ def visit(one: np.ndarray, two: np.ndarray, sizes: dict[int, int], wanted: float
     return out
 
 
+def reach(own: np.ndarray, radii: np.ndarray) -> np.ndarray:
+    """Least squared distance of queries to any row of each centroid, from those to the centroids."""
+    return np.maximum(np.sqrt(np.maximum(own, 0)) - radii[None, :] - 1e-7, 0) ** 2
+
+
 def best(query: np.ndarray, rows: np.ndarray, ids: np.ndarray, own: np.ndarray, asked: np.ndarray, k: int):
     """Exact ``k`` best of the ``asked`` ones of ``rows`` for each query, as (query number, id, cosine)."""
     like = query @ rows.T
@@ -110,12 +122,14 @@ def search(table: DataFrame, queries: DataFrame, id_col: str = "vec_id", vector_
     asked = packed(queries, id_col, vector_col).where(F.size("_vector") == sizes["n"])
     copies = Window.partitionBy("_vector").orderBy("_id")
     rows = rows.withColumn("_copy", F.row_number().over(copies)).where(F.col("_copy") <= k + 1).select("_id", "_vector")
-    sample = matrix(rows.orderBy(F.xxhash64("_id")).limit(SAMPLE_ROWS).toPandas()["_vector"])
+    sampled = rows.orderBy(F.xxhash64("_id")).limit(SAMPLE_ROWS).toPandas()
+    sample = matrix(sampled["_vector"])
     half = sample.shape[1] // 2
     number = max(1, min(MOST_CENTROIDS, math.ceil(math.sqrt(sizes["count"] / CELL_ROWS))))
     sample = unit(sample)
     books = [kmeans(sample[:, :half], number, 1), kmeans(sample[:, half:], number, 2)] if half else \
         [np.zeros((1, 0)), kmeans(sample, number, 2)]
+    probes, probe_ids = sample[:PROBE_ROWS], sampled["_id"].to_numpy()[:PROBE_ROWS]
     sent = spark.sparkContext.broadcast(books)
 
     def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -123,37 +137,66 @@ def search(table: DataFrame, queries: DataFrame, id_col: str = "vec_id", vector_
         for batch in batches:
             if len(batch):
                 x = unit(matrix(batch["_vector"]))
-                yield batch.assign(first=nearest(x[:, :half], one), second=nearest(x[:, half:], two))
+                a, b = nearest(x[:, :half], one), nearest(x[:, half:], two)
+                yield batch.assign(first=a, second=b, away_one=np.linalg.norm(x[:, :half] - one[a], axis=1),
+                                   away_two=np.linalg.norm(x[:, half:] - two[b], axis=1))
 
-    entries = write_between(rows.mapInPandas(assign, "_id long, _vector array<double>, first int, second int"))
+    entries = write_between(rows.mapInPandas(
+        assign, "_id long, _vector array<double>, first int, second int, away_one double, away_two double"))
     second = len(books[1])
     # at most MOST_CENTROIDS squared cells
-    held = {r[0] * second + r[1]: r[2] for r in entries.groupBy("first", "second").count().collect()}
+    cells = entries.groupBy("first", "second").agg(F.count("*"), F.max("away_one"), F.max("away_two")).collect()
+    held = {r[0] * second + r[1]: r[2] for r in cells}
+    radii = np.zeros(len(books[0])), np.zeros(second)
+    for a, b, _, away_one, away_two in cells:
+        radii[0][a], radii[1][b] = max(radii[0][a], away_one), max(radii[1][b], away_two)
+    probe_cells = nearest(probes[:, :half], books[0]) * second + nearest(probes[:, half:], books[1])
+    known = spark.sparkContext.broadcast((probes, probe_ids, probe_cells, radii))
     wanted = share * sum(held.values())
     of_first: dict[int, int] = {}
     for cell, n in held.items():
         of_first[cell // second] = of_first.get(cell // second, 0) + n
 
     def traverse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        one, two = sent.value
-        for batch in batches:
-            if not len(batch):
-                continue
-            x = unit(matrix(batch["_vector"]))
-            first, second_ = distances(x[:, :half], one), distances(x[:, half:], two)
-            out = []
-            for i in range(len(x)):
-                chosen = np.zeros((len(one), second), dtype=bool)
-                chosen.ravel()[visit(first[i], second_[i], held, wanted)] = True
-                out += [(batch["_id"].iat[i], batch["_vector"].iat[i], int(c), np.packbits(chosen[c]).tobytes())
-                        for c in np.flatnonzero(chosen.any(axis=1))]
-            yield pd.DataFrame(out, columns=["_id", "_vector", "first", "asked"])
-
-    blocks = F.create_map(*[x for c, n in of_first.items() for x in (F.lit(c), F.lit(math.ceil(n / BLOCK_ROWS)))])
-    count = blocks[F.col("first")]
-    visits = asked.mapInPandas(traverse, "_id long, _vector array<double>, first int, asked binary") \
-        .withColumn("block", F.explode(F.sequence(F.lit(0), count - 1)))
-    dealt = entries.withColumn("block", F.pmod(F.xxhash64("_id"), count).cast("int"))
+        (one, two), (probe, ids, cells_of, (radius_one, radius_two)) = sent.value, known.value
+        for whole in batches:
+            for at in range(0, len(whole), 1024):
+                batch = whole.iloc[at: at + 1024]
+                x = unit(matrix(batch["_vector"]))
+                first, second_ = distances(x[:, :half], one), distances(x[:, half:], two)
+                like = x @ probe.T
+                like[batch["_id"].to_numpy()[:, None] == ids[None, :]] = -1
+                # no row farther than the k-th best of these rows is wanted; their cells are visited
+                top = np.argpartition(like, -min(k, len(ids)), axis=1)[:, -min(k, len(ids)):]
+                far = 2 - 2 * np.take_along_axis(like, top, axis=1).min(axis=1) + 1e-9 if len(ids) > k else np.full(len(x), 5.0)
+                near_one, near_two = reach(first, radius_one), reach(second_, radius_two)
+                visits = []
+                for i in range(len(x)):
+                    chosen = np.zeros((len(one), second), dtype=bool)
+                    chosen.ravel()[visit(first[i], second_[i], held, wanted)] = True
+                    chosen.ravel()[cells_of[top[i]]] = True
+                    chosen &= near_one[i][:, None] + near_two[i][None, :] <= far[i]
+                    visits.append([(int(c), np.packbits(chosen[c]).tobytes()) for c in np.flatnonzero(chosen.any(axis=1))])
+                yield batch.assign(visits=visits)
+
+    going = write_between(asked.mapInPandas(
+        traverse, "_id long, _vector array<double>, visits array<struct<first: int, asked: binary>>"))
+    visits = going.select("_id", "_vector", F.explode("visits").alias("_v")).select("_id", "_vector", "_v.*")
+    # at most MOST_CENTROIDS numbers
+    asking = {r[0]: r[1] for r in visits.groupBy("first").count().collect()}
+
+    def blocks(of: dict[int, int]) -> Column:
+        """Number of blocks of a first centroid."""
+        pairs = [x for c in of_first for x in (F.lit(c), F.lit(max(1, math.ceil(of.get(c, 0) / BLOCK_ROWS))))]
+        return F.create_map(*pairs)[F.col("first")]
+
+    def dealt(to: DataFrame, own: dict[int, int], other: dict[int, int], names: tuple[str, str]) -> DataFrame:
+        """Rows with a block of their own side, for each block of the other."""
+        block = F.pmod(F.xxhash64("_id"), blocks(own)).cast("int")
+        return to.withColumn(names[0], block).withColumn(names[1], F.explode(F.sequence(F.lit(0), blocks(other) - 1)))
+
+    visits = dealt(visits, asking, of_first, ("query_block", "block"))
+    visited = dealt(entries.drop("away_one", "away_two"), of_first, asking, ("block", "query_block"))
 
     def compare(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if not len(left) or not len(right):
@@ -167,7 +210,7 @@ def search(table: DataFrame, queries: DataFrame, id_col: str = "vec_id", vector_
             found += [(own[at + q], v, s) for q, v, s in best(x[part], y, ids, own[part], wanted_here[part][:, cells], k)]
         return pd.DataFrame(found, columns=["query_id", "vec_id", "score"])
 
-    near = visits.groupBy("first", "block").cogroup(dealt.groupBy("first", "block")) \
+    near = visits.groupBy("first", "block", "query_block").cogroup(visited.groupBy("first", "block", "query_block")) \
         .applyInPandas(compare, "query_id long, vec_id long, score double")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return near.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k) \

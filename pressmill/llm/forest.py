@@ -4,7 +4,9 @@ A tree splits the vectors at the median of a random projection, and the halves
 again, until leaves are small; vectors near a split go to both sides.  The rows of a
 leaf are compared with each other, pairs of at least the threshold are joined, and
 the leaves of all trees together give the components.  Directions and split points
-are fitted on a bounded sample; every row is put into leaves.
+are fitted on a bounded sample; every row is put into leaves.  Leaves that are still
+too large are split further, by points fitted on a bounded sample of each, until none
+is; one that no split makes smaller is compared in pairs of blocks.
 
 A component's links are then counted exactly without listing pairs: two vectors
 within half the threshold's angle of a third are linked for certain, so the rows
@@ -25,7 +27,8 @@ from pressmill.llm.components import components
 from pressmill.llm.vectors import matrix, packed, unit
 from pressmill.session import write_between
 
-TREES = 6
+# trees up to a depth of DEPTH, and one more for each further level
+TREES, DEPTH = 6, 6
 LEAF_ROWS = 256
 # share of the rows, on either side of a split, that goes to both sides
 SPILL = 0.05
@@ -33,13 +36,18 @@ SAMPLE_ROWS = 20_000
 # rows of the sample in a leaf at least
 LEAF_SAMPLE = 24
 BLOCK_ROWS = 1024
+# rows of a leaf, over ``leaf_rows``, that is split further; rows it is fitted on, levels and rounds
+TOO_LARGE, FIT_ROWS, LEVELS, ROUNDS = 4, 512, 4, 8
+
+
+PLANTED = "tree int, leaf long, _first long, _vector array<double>"
 
 
 class Tree:
-    """Split points of one tree; directions follow from seed, tree and level."""
+    """Split points of one tree; directions follow from seed, tree (and round) and level."""
 
-    def __init__(self, sample: np.ndarray, number: int, depth: int):
-        self.directions = np.random.default_rng([11, number]).normal(size=(depth, sample.shape[1]))
+    def __init__(self, sample: np.ndarray, number: int | tuple[int, int], depth: int):
+        self.directions = np.random.default_rng([11, *np.atleast_1d(number)]).normal(size=(depth, sample.shape[1]))
         self.splits: dict[int, tuple[float, float, float]] = {}
         self._fit(sample @ self.directions.T, 1, 0)
 
@@ -83,7 +91,7 @@ def groups_within(rows: np.ndarray, least: float) -> np.ndarray:
 
 
 def near_duplicates(table: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", least: float = 0.9,
-                    trees: int = TREES, leaf_rows: int = LEAF_ROWS) -> DataFrame:
+                    trees: int | None = None, leaf_rows: int = LEAF_ROWS) -> DataFrame:
     """Per row: id, ``n_links`` (other rows linked directly), ``component_id`` and ``kept``.
 
     Links are pairs of cosine at least ``least``; a component's id is its smallest,
@@ -103,6 +111,7 @@ def near_duplicates(table: DataFrame, id_col: str = "vec_id", vector_col: str =
     total = distinct.count()
     sample = unit(matrix(distinct.orderBy(F.xxhash64("_first")).limit(SAMPLE_ROWS).toPandas()["_vector"]))
     depth = max(0, math.ceil(math.log2(max(1, total / leaf_rows))))
+    trees = TREES + max(0, depth - DEPTH) if trees is None else trees
     forest = spark.sparkContext.broadcast([Tree(sample, t, depth) for t in range(trees)])
 
     def plant(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -122,8 +131,8 @@ def near_duplicates(table: DataFrame, id_col: str = "vec_id", vector_col: str =
         moved = np.flatnonzero(label != np.arange(len(label)))
         return pd.DataFrame({"a": own[moved], "b": own[label[moved]]})
 
-    planted = distinct.select("_first", "_vector").mapInPandas(plant, "tree int, leaf long, _first long, _vector array<double>")
-    links = planted.groupBy("tree", "leaf").applyInPandas(compare, "a long, b long").distinct()
+    planted = _split_further(distinct.select("_first", "_vector").mapInPandas(plant, PLANTED), leaf_rows)
+    links = planted.groupBy("tree", "leaf", "i", "j").applyInPandas(compare, "a long, b long").distinct()
     roots = components(links).select(F.col("node").alias("_first"), "root")
     members = distinct.join(roots, "_first", "left").withColumn("root", F.coalesce("root", "_first"))
     counted = write_between(_with_links(members, least))
@@ -135,6 +144,51 @@ def near_duplicates(table: DataFrame, id_col: str = "vec_id", vector_col: str =
         F.coalesce(F.col("_id") == F.when(known, F.col("root")).otherwise(F.col("_id")), F.lit(False)).alias("kept"))
 
 
+def _split_further(planted: DataFrame, leaf_rows: int) -> DataFrame:
+    """Rows in leaves of bounded size, with the pair of blocks ``i``, ``j`` to be compared in."""
+    most = TOO_LARGE * leaf_rows
+
+    def large(rows: DataFrame) -> DataFrame:
+        return write_between(rows.groupBy("tree", "leaf").agg(F.count("*").alias("_rows")).where(F.col("_rows") > most))
+
+    sizes = large(planted)
+    for number in range(1, ROUNDS + 1):
+        if sizes.isEmpty():
+            break
+
+        def fit(rows: pd.DataFrame) -> pd.DataFrame:
+            levels = min(LEVELS, math.ceil(math.log2(rows["_rows"].iat[0] / leaf_rows)))
+            tree = Tree(unit(matrix(rows.sort_values("_first")["_vector"])), (int(rows["tree"].iat[0]), number), levels)
+            return pd.DataFrame({"tree": rows["tree"].iloc[:1], "leaf": rows["leaf"].iloc[:1], "_nodes": [list(tree.splits)],
+                                 "_low": [[x[0] for x in tree.splits.values()]], "_high": [[x[2] for x in tree.splits.values()]]})
+
+        def descend(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for batch in batches:
+                for (own, leaf), rows in batch.groupby(["tree", "leaf"], sort=False):
+                    nodes = rows["_nodes"].iat[0]
+                    if nodes is None or not len(nodes):
+                        yield rows[["tree", "leaf", "_first", "_vector"]]
+                        continue
+                    x = unit(matrix(rows["_vector"]))
+                    tree = Tree(x[:0], (int(own), number), LEVELS)
+                    tree.splits = {int(n): (a, a, b) for n, a, b in zip(nodes, rows["_low"].iat[0], rows["_high"].iat[0])}
+                    at, node = tree.leaves(x)
+                    yield pd.DataFrame({"tree": own, "leaf": (int(leaf) << (LEVELS + 1)) + node,
+                                        "_first": rows["_first"].to_numpy()[at], "_vector": rows["_vector"].to_numpy()[at]})
+
+        taken = F.pmod(F.xxhash64("_first", "tree", F.lit(number)), F.col("_rows")) < FIT_ROWS
+        points = write_between(planted.join(sizes, ["tree", "leaf"]).where(taken).groupBy("tree", "leaf").applyInPandas(
+            fit, "tree int, leaf long, _nodes array<long>, _low array<double>, _high array<double>"))
+        planted = write_between(planted.join(points, ["tree", "leaf"], "left").mapInPandas(descend, PLANTED))
+        sizes = large(planted)
+    blocks = F.ceil(F.coalesce("_rows", F.lit(1)) / F.lit(max(BLOCK_ROWS, most))).cast("int")
+    own = F.pmod(F.xxhash64("_first"), blocks).cast("int")
+    dealt = planted.join(sizes, ["tree", "leaf"], "left").withColumn("_own", own) \
+        .withColumn("_other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    return dealt.select("tree", "leaf", "_first", "_vector",
+                        F.least("_own", "_other").alias("i"), F.greatest("_own", "_other").alias("j"))
+
+
 def _with_links(members: DataFrame, least: float) -> DataFrame:
     """``(_vector, root, _links)`` of distinct vectors: links of each of their rows."""
     sure = math.sqrt((1 + least) / 2) + 1e-9
