@@ -347,7 +347,11 @@ def update(docs: DataFrame, model: Model, id_col: str, text_col: str) -> Model:
 
 
 def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", run_bytes: int = R.RUN_BYTES) -> DataFrame:
-    """Per document: id, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score`` and ``score``.
+    """Per document: id, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score``, ``score``, ``left_out_score``.
+
+    ``score`` is one model's log10 probability of the text, whether it was learned from
+    or not.  ``left_out_score`` takes each occurrence of a learned text out of the counts
+    of pairs and triples before it is scored; other texts have the same in both.
 
     Tokens are words of the text with A-Z in lower case, and one end.  Learns from
     texts whose id's crc32 is not divisible by ``FOLDS``; a row without an id is
@@ -377,7 +381,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", run_b
         for part, at in R.parts_of(keys, bits):
             total[at] = R.from_planes(found[part], at.stop - at.start, 6).astype(np.int64)
         n, n_known = np.zeros(len(texts), np.int64), np.zeros(len(texts), np.int64)
-        base, full = np.zeros(len(texts)), np.zeros(len(texts))
+        base, full, alone = np.zeros(len(texts)), np.zeros(len(texts)), np.zeros(len(texts))
         one = np.ones(CLASSES, np.float32)
         room, spare = np.empty((BATCH, CLASSES), np.float32), np.empty((BATCH, CLASSES), np.float32)
         inner = known.mass + SMOOTHING * (known.size + 1)
@@ -402,18 +406,23 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", run_b
             token += len(names)
             own = train[owner + block.first].astype(np.int64)
             p = np.exp(chance) * inside
+            out = p
             for times, before, lower in ((pairs, count, LOWER[0]), (triples, pairs, LOWER[1])):
-                p = (times - own + lower * p) / (_before(owner, before, 1, begun) - own + lower)
+                every = _before(owner, before, 1, begun)
+                p = (times + lower * p) / (every + lower)
+                out = (times - own + lower * out) / (every - own + lower)
             size, here = len(block.texts), slice(block.first, block.first + len(block.texts))
             n[here] = np.bincount(owner, minlength=size)
             n_known[here] = np.bincount(owner, weights=count > 0, minlength=size)
             base[here] = np.bincount(owner, np.log10((count + 0.1) / (tokens + 0.1 * (distinct + 1))), minlength=size)
             full[here] = np.bincount(owner, np.log10(np.maximum(p, 1e-300)), minlength=size)
+            alone[here] = np.bincount(owner, np.log10(np.maximum(out, 1e-300)), minlength=size)
         return pa.table({
             "_id": pa.array(ids, pa.int64(), mask=~has_id), "n_tokens": pa.array(n), "n_known": pa.array(n_known),
-            "train_tokens": pa.array(np.full(len(n), int(tokens))), "base_score": pa.array(base), "score": pa.array(full)})
+            "train_tokens": pa.array(np.full(len(n), int(tokens))), "base_score": pa.array(base), "score": pa.array(full),
+            "left_out_score": pa.array(alone)})
 
-    schema = "_id long, n_tokens long, n_known long, train_tokens long, base_score double, score double"
+    schema = "_id long, n_tokens long, n_known long, train_tokens long, base_score double, score double, left_out_score double"
     back = counts.where("kind IN (0, 5, 6)").select("run", "kind", "part", "data")
     out = given.docs.groupBy("_run").cogroup(back.groupBy("run")).applyInArrow(scored, schema)
     return out.withColumnRenamed("_id", id_col)

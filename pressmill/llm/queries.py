@@ -25,7 +25,8 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score(table(spark, sf_dir, "documents")).select(
-        "doc_id", held_out("doc_id", lm.FOLDS).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+        "doc_id", held_out("doc_id", lm.FOLDS).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score",
+        "left_out_score")
 
 
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

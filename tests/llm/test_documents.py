@@ -73,10 +73,18 @@ def test_words_before_tell_of_words_of_one_class(spark):
     held = [i for i in range(3000) if not fold(i, 10)]
     shuffled = set(held[::2])
     rows = [(i, text(i not in shuffled)) for i in range(3000)]
-    scores = {r["doc_id"]: r["score"] for r in lm.score(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    # a learned and a held-out document with one text
+    copy_of, copy = next(i for i in range(3000) if fold(i, 10)), next(i for i in range(3000, 4000) if not fold(i, 10))
+    rows.append((copy, rows[copy_of][1]))
+    found = {r["doc_id"]: r for r in lm.score(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    scores = {i: r["score"] for i, r in found.items()}
     assert min(scores[i] for i in held[1::2]) > max(scores[i] for i in held[::2]) + 20
-    # a text is scored without its own occurrences
-    learned_from = [scores[i] for i in range(3000) if fold(i, 10)]
+    # one model scores both
+    assert abs(scores[copy] - scores[copy_of]) < 1e-6
+    assert all(r["left_out_score"] == r["score"] for i, r in found.items() if not fold(i, 10))
+    # a text may also be scored without its own occurrences
+    learned_from = [found[i]["left_out_score"] for i in range(3000) if fold(i, 10)]
+    assert max(learned_from) < 0 and np.mean(learned_from) < np.mean([scores[i] for i in range(3000) if fold(i, 10)])
     assert abs(np.mean(learned_from) - np.mean([scores[i] for i in held[1::2]])) < 3
 
 
