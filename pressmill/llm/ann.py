@@ -39,7 +39,7 @@ SHARE = 0.85
 # rows, and queries, of a first centroid compared in one task
 BLOCK_ROWS = 4096
 # rows of the sample that bound a query's k-th best from below
-PROBE_ROWS = 2_000
+PROBE_ROWS = 200
 
 
 def kmeans(rows: np.ndarray, k: int, seed: int, rounds: int = 10) -> np.ndarray:
