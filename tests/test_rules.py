@@ -1,8 +1,10 @@
 """Rule tables against a plain reading of them."""
 
 import itertools
+import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from pressmill.functions import rule_values as tables, rules
 from pressmill.functions.rule_values import LABEL_PREFIX
@@ -57,6 +59,29 @@ def test_page_text_rules(values):
     assert got == [last(tables.PAGE_TEXT_RULES, text=t) for t in texts]
 
 
+def test_first_test_of_page_texts_lets_every_needle_through(values):
+    found = needles(tables.PAGE_TEXT_RULES, "text")
+    rng = random.Random(5)
+    texts = [f"a{n}b" for n in found] + [f"x x {n}{m} " for n, m in itertools.product(found[::5], found[::3])]
+    # beginnings and ends of needles, which may or may not make up another
+    for _ in range(2_000):
+        n, m = rng.choice(found), rng.choice(found)
+        texts.append(n[: rng.randrange(len(n) + 1)] + rng.choice(["", " ", "\n"]) + m[rng.randrange(len(m)):])
+    got = values([(t,) for t in texts], "text string", rules.page_text_label("text"))
+    assert got == [last(tables.PAGE_TEXT_RULES, text=t) for t in texts]
+    assert any(got) and not all(got) and values([(None,)], "text string", rules.page_text_label("text")) == [None]
+
+
+def test_first_test_of_other_tables(values):
+    table = [("a", [("text", "any", ["one", "two ", "a.b c+d", " x y"])]), ("b", [("text", "all", ["p q", "r (s) t"])]),
+             ("c", [("text", "equals", ["", "end"])])]
+    texts = ["one", "someone", "two", "two ", "a.b c+d", "aab c+d", "x y", "z x y", "p q", "p qr (s) t", "r (s) t", "", "end", "ends"]
+    got = values([(t,) for t in texts], "text string", F.expr(rules.may_match(table, "text")))
+    assert all(g or not plain(table, text=t) for g, t in zip(got, texts)) and not all(got)
+    with pytest.raises(ValueError):
+        rules.may_match(tables.URL_RULES, "url")
+
+
 def test_empty_page_rules(values):
     urls, texts = joined(tables.EMPTY_PAGE_RULES, "url"), joined(tables.EMPTY_PAGE_RULES, "text")
     cases = [(u, t) for u in urls for t in ("Some Text", "Epoch Video here", " ")]
