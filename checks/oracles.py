@@ -123,6 +123,28 @@ SQL["assign_blocks"] = """WITH tasks AS (
 sites AS (SELECT media_url, row_number() OVER (ORDER BY count(*) DESC, media_url) - 1 AS turn FROM tasks GROUP BY media_url)
 SELECT article_id, media_url, CAST(CASE WHEN turn % 16 < 8 THEN turn % 16 ELSE 15 - turn % 16 END AS INT) AS block
 FROM tasks JOIN sites USING (media_url)"""
+SQL["even_blocks"] = """WITH RECURSIVE tasks AS (
+    SELECT event_id AS article_id, CASE WHEN event_id % 10 < 6
+        THEN concat('h', CAST(floor(sqrt(event_id % 1000)) AS INT)) ELSE concat('u', user_id) END AS media_url FROM events),
+sites AS (SELECT media_url, count(*) AS size, (SELECT count(*) FROM tasks) AS total FROM tasks GROUP BY media_url),
+heavy AS (SELECT *, row_number() OVER (ORDER BY size DESC, media_url) AS k FROM sites WHERE size * 64 >= total),
+placed AS (
+    SELECT CAST(0 AS BIGINT) AS k, CAST(NULL AS VARCHAR) AS media_url, CAST(NULL AS BIGINT) AS block,
+        [CAST(0 AS BIGINT) FOR x IN range(8)] AS loads
+    UNION ALL
+    SELECT h.k, h.media_url, list_position(loads, list_min(loads)) - 1,
+        [CASE WHEN i = list_position(loads, list_min(loads)) THEN loads[i] + h.size ELSE loads[i] END FOR i IN range(1, 9)]
+    FROM placed p JOIN heavy h ON h.k = p.k + 1),
+room AS (SELECT b, (SELECT arg_max(loads, k) FROM placed)[b + 1] AS load FROM range(8) t(b)),
+level AS (SELECT min(l) AS level FROM (
+    SELECT l, sum(greatest(0, l - load)) AS fits FROM room, range((SELECT count(*) + 1 FROM tasks)) t(l) GROUP BY l)
+    WHERE fits >= (SELECT coalesce(sum(size), 0) FROM sites WHERE size * 64 < total)),
+ends AS (SELECT b, sum(greatest(0, level - load)) OVER (ORDER BY b) AS upto FROM room, level),
+light AS (SELECT media_url, coalesce(sum(size) OVER (ORDER BY size DESC, media_url ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS first_task
+    FROM sites WHERE size * 64 < total),
+blocks AS (SELECT media_url, block FROM placed WHERE k > 0
+    UNION ALL SELECT media_url, (SELECT count(*) FROM ends WHERE upto <= first_task) FROM light)
+SELECT article_id, media_url, CAST(block AS INT) AS block FROM tasks JOIN blocks USING (media_url)"""
 SQL["stripe"] = f"""WITH {ARTICLES} SELECT article_id, url,
     CAST((row_number() OVER (ORDER BY article_id) - 1) % 4 AS INT) AS block FROM articles"""
 SQL["language_gate"] = """WITH rows AS (SELECT doc_id, CASE WHEN doc_id % 23 = 0 THEN NULL ELSE lang END AS language FROM documents)

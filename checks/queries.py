@@ -320,6 +320,14 @@ def assign_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tasks.assign_blocks(rows, 8).select("article_id", "media_url", "block")
 
 
+@query
+def even_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sites of very uneven sizes, heavy ones placed one by one."""
+    rows = articles(spark, sf_dir).withColumn("media_url", F.expr(
+        "CASE WHEN article_id % 10 < 6 THEN concat('h', CAST(floor(sqrt(article_id % 1000)) AS INT)) ELSE media_url END"))
+    return tasks.assign_blocks(rows, 8, even=True).select("article_id", "media_url", "block")
+
+
 @query
 def stripe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """W5."""

@@ -1,6 +1,9 @@
 """Choosing and spreading work."""
 
+from heapq import heapify, heapreplace
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from pressmill.functions.rules import label
 from pressmill.functions.rule_values import NOT_ENGLISH
@@ -9,6 +12,8 @@ from pressmill.session import write_between
 
 # limits up to here are the top of the partitions' tops
 SMALL_LIMIT = 5_000
+# a site is heavy if it holds at least this part of a block's fair share
+HEAVY_PARTS = 8
 
 
 def fetch_tasks(articles: DataFrame, batch_id: Column | int | None = None, status: str | None = None,
@@ -92,16 +97,70 @@ def site_blocks(tasks: DataFrame, n: int, site: str = "media_url") -> DataFrame:
     return numbered.withColumn("block", F.when(turn < n, turn).otherwise(2 * n - 1 - turn).cast("int"))
 
 
-def assign_blocks(tasks: DataFrame, n: int, site: str = "media_url") -> DataFrame:
+def even_site_blocks(tasks: DataFrame, n: int, site: str = "media_url") -> DataFrame:
+    """One row per site: ``n_tasks``, ``block``; heavy sites are placed one by one, the others fill up the blocks.
+
+    Heavy sites have at least 1/``HEAVY_PARTS`` of a block's fair share of the tasks, so
+    there are at most ``n * HEAVY_PARTS`` of them, whatever the input.  By falling size, then
+    name, each goes to the block with the fewest tasks yet, of equal ones to the first.
+    The tasks of the other sites, by falling size and name, are laid end to end into the room that
+    the blocks have below the level at which all would fit; a site goes where its first
+    task falls.  So no block gets more than the larger of what its heavy sites hold and
+    that level plus one light site.  A light site's place comes from one range shuffle of
+    sites and one sum per range.
+    """
+    sites = write_between(tasks.filter(F.col(site) != "").groupBy(site).agg(F.count("*").alias("n_tasks")))
+    total = sites.agg(F.sum("n_tasks")).first()[0] or 0
+    heavy = F.col("n_tasks") * F.lit(n * HEAVY_PARTS) >= F.lit(total)
+    loads = [(0, block) for block in range(n)]
+    heapify(loads)
+    placed = []
+    for row in sites.filter(heavy).orderBy(F.desc("n_tasks"), site).collect():
+        load, block = loads[0]
+        heapreplace(loads, (load + row["n_tasks"], block))
+        placed.append((row[site], row["n_tasks"], block))
+    by_block = [load for load, _ in sorted(loads, key=lambda x: x[1])]
+    ends, end = [], 0
+    level = _level(by_block, total - sum(by_block))
+    for load in by_block:
+        end += max(0, level - load)
+        ends.append(end)
+
+    ranged = in_order(sites.filter(~heavy), F.desc("n_tasks"), site)
+    here = Window.partitionBy("_part").orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
+    within = ranged.withColumn("_within", F.coalesce(F.sum("n_tasks").over(here), F.lit(0)))
+    sums = ranged.groupBy("_part").agg(F.sum("n_tasks").alias("_sum"))
+    start = F.col("_before") + F.col("_within")
+    full = F.size(F.filter(F.array(*[F.lit(e).cast("bigint") for e in ends]), lambda e: e <= start))
+    light = add_totals_before(within, sums, "_sum", []).select(site, "n_tasks", full.alias("block"))
+    schema = StructType([*sites.schema.fields, StructField("block", IntegerType())])
+    return light.unionByName(tasks.sparkSession.createDataFrame(placed, schema))
+
+
+def _level(loads: list[int], rest: int) -> int:
+    """Least level below which blocks of the given loads have room for ``rest`` tasks."""
+    below = 0
+    ordered = sorted(loads)
+    for k, load in enumerate(ordered, 1):
+        below += load
+        level = -(-(rest + below) // k)
+        if k == len(ordered) or level <= ordered[k]:
+            return level
+    return 0
+
+
+def assign_blocks(tasks: DataFrame, n: int, site: str = "media_url", even: bool = False) -> DataFrame:
     """Add ``block``: all tasks of a site share one, and blocks are of even size.
 
-    Tasks without a site drop out, except that a single block takes everything.
-    The join back is left to Spark: it broadcasts the site table if its size
-    allows, and AQE splits a site that holds much of the rows.
+    Sites are dealt by `site_blocks`, or by `even_site_blocks`, which reads the sizes first
+    and fits a few large sites better.  Tasks without a site drop out, except that a
+    single block takes everything.  The join back is left to Spark: it broadcasts the site
+    table if its size allows, and AQE splits a site that holds much of the rows.
     """
     if n <= 1:
         return tasks.withColumn("block", F.lit(0))
-    return tasks.join(site_blocks(tasks, n, site).select(site, "block"), site)
+    blocks = even_site_blocks(tasks, n, site) if even else site_blocks(tasks, n, site)
+    return tasks.join(blocks.select(site, "block"), site)
 
 
 def stripe(tasks: DataFrame, n: int, order: str = "article_id") -> DataFrame:

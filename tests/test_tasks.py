@@ -1,5 +1,6 @@
 """Work selection against plain Python, on one and on many partitions."""
 
+import itertools
 import random
 
 import pytest
@@ -42,6 +43,60 @@ def test_blocks(frame, n):
     assert max(loads) - min(loads) <= max(sizes.values())
 
 
+def by_site(rows):
+    sizes, blocks = {}, {}
+    for row in rows:
+        sizes[row["media_url"]] = sizes.get(row["media_url"], 0) + 1
+        blocks.setdefault(row["media_url"], set()).add(row["block"])
+    assert all(len(b) == 1 for b in blocks.values())
+    return sizes, {s: b.pop() for s, b in blocks.items()}
+
+
+def site_rows(sizes):
+    return [(f"{s}{i}", f"s{s:03}") for s, size in enumerate(sizes) for i in range(size)]
+
+
+@pytest.mark.parametrize("n, sizes", [
+    (3, [40] + [5] * 30), (4, [50, 49, 48, 30, 20, 9] + [1] * 90), (2, [100]), (5, [7] * 23), (6, [200] + [3] * 10),
+    (8, [int(900 / (i + 1)) + 1 for i in range(300)])])
+def test_even_blocks(frame, n, sizes):
+    rows = site_rows(sizes)
+    df = frame(rows + [("x", None), ("y", "")], "article_id string, media_url string")
+    found, blocks = by_site(tasks.assign_blocks(df, n, even=True).collect())
+    assert sorted(found.values()) == sorted(sizes) and set(blocks.values()) <= set(range(n))
+    total = sum(sizes)
+    heavy = sorted((s for s in found if found[s] * n * tasks.HEAVY_PARTS >= total), key=lambda s: (-found[s], s))
+    loads = [0] * n
+    for s in heavy:
+        assert blocks[s] == loads.index(min(loads))
+        loads[blocks[s]] += found[s]
+    level = next(x for x in range(total + 1) if sum(max(0, x - y) for y in loads) >= total - sum(loads))
+    most = max(loads)
+    for s in found:
+        if s not in heavy:
+            loads[blocks[s]] += found[s]
+    light = max([found[s] for s in found if s not in heavy], default=0)
+    assert max(loads) <= max(most, level + light)
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_even_blocks_come_near_the_best(spark, seed):
+    rng = random.Random(seed)
+    sizes = [rng.choice([1, 4, 9, 15, 28]) for _ in range(8)]
+    best = min(max(sum(s for s, b in zip(sizes, way) if b == k) for k in range(3))
+               for way in itertools.product(range(3), repeat=8))
+    df = spark.createDataFrame(site_rows(sizes), "article_id string, media_url string")
+    found, blocks = by_site(tasks.assign_blocks(df, 3, even=True).collect())
+    most = max(sum(found[s] for s in found if blocks[s] == b) for b in range(3))
+    # light sites can add one of them to the bound of longest-first
+    assert most <= best * 4 / 3 + max([s for s in sizes if s * 24 < sum(sizes)], default=0)
+
+
+def test_even_blocks_of_nothing(frame):
+    df = frame([(1, None), (2, "")], "article_id long, media_url string")
+    assert tasks.assign_blocks(df, 4, even=True).count() == 0
+
+
 @pytest.mark.parametrize("small", [5_000, 0])
 def test_limits_are_exact(frame, monkeypatch, small):
     monkeypatch.setattr(tasks, "SMALL_LIMIT", small)
