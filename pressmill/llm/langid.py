@@ -23,10 +23,12 @@ from pressmill.llm.common import packed, unpacked
 BUCKET_BITS = 16
 DIMENSIONS = 16
 ORDERS = (2, 3, 4)
-# the bounded sample: languages, rows of each, and characters of a row
-MAX_LANGUAGES = 256
+# the bounded sample: rows of a language, characters of a row, rows of all languages
+# where there are many, and rows that each has at least
 SAMPLE_ROWS = 600
 SAMPLE_CHARS = 20_000
+ALL_ROWS = 12_800
+LEAST_ROWS = 8
 # share of the sample for calibration; share of it that may be rejected
 CALIBRATION = 0.2
 REJECTED = 0.002
@@ -134,19 +136,21 @@ def train(texts: list[str], langs: list[str], seed: int = 7, epochs: int = 6) ->
 def fit(docs: DataFrame, learn_from: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model:
     """Train on a bounded sample of the rows that ``learn_from`` allows.
 
-    The sample takes rows of each language by a hash of their id: about
-    ``SAMPLE_ROWS`` of each of the ``MAX_LANGUAGES`` most frequent languages, of
-    1 to ``SAMPLE_CHARS`` characters each.
+    The sample takes rows of each language by a hash of their id, of 1 to
+    ``SAMPLE_CHARS`` characters each: about ``SAMPLE_ROWS``, fewer where there are many languages,
+    so that they come to about ``ALL_ROWS``, but at least about ``LEAST_ROWS``.  No language is left out.
     """
     rows = docs.where(learn_from & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()) \
         .select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), F.xxhash64(F.col(id_col), F.lit(11)).alias("h")) \
         .where(F.length("text").between(1, SAMPLE_CHARS))
-    counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()
+    counts = rows.groupBy("lang").count().collect()
     if not counts:
         return train([], [])
-    each = min(SAMPLE_ROWS, max(50, 4 * SAMPLE_ROWS // len(counts)))
-    share = F.create_map(*[x for r in counts for x in (F.lit(r[0]), F.lit(min(1.0, each / r[1])))])
-    sample = rows.where(F.pmod("h", F.lit(1 << 20)) < share[F.col("lang")] * (1 << 20)) \
+    each = min(SAMPLE_ROWS, max(4 * SAMPLE_ROWS // len(counts), min(50, max(LEAST_ROWS, ALL_ROWS // len(counts)))))
+    # one row per language
+    share = docs.sparkSession.createDataFrame([(r[0], min(1.0, each / r[1])) for r in counts], "lang string, share double")
+    rows = rows.join(share, "lang")
+    sample = rows.where(F.pmod("h", F.lit(1 << 20)) < F.col("share") * (1 << 20)) \
         .orderBy("h", "text").limit(2 * each * len(counts)).select("text", "lang").collect()
     return train([r[0] for r in sample], [r[1] for r in sample])
 

@@ -13,6 +13,8 @@ from __future__ import annotations
 
 import math
 from collections import defaultdict
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -34,36 +36,61 @@ STRICT = {
 # length with a digit are found once and the patterns are tried on them alone.
 CHUNK = r"(?<![0-9\x20().+-])(?=[0-9\x20().+-]{7})[\x20().+-]*+[0-9][0-9\x20().+-]*+"
 
-# Looser candidates: spelled-out addresses, grouped digits without a country code,
-# card numbers with a slip.
+# Looser candidates.  Most are doubtful: spelled-out addresses and words that read like
+# them; spelled-out and four-part numbers that no address can have; grouped, dotted and
+# long numbers, with or without a right check digit; numbers in groups of any country.
 LOOSE = {
-    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64} ?(?:\(at\)|\[at\]) ?[A-Za-z0-9-]{1,63} ?(?:\.|\(dot\)|\[dot\]) ?[A-Za-z]{2,24}(?![A-Za-z0-9-])",
-    "card": r"(?<![0-9-])[0-9]{4}([\x20-])[0-9]{4}\1[0-9]{4}\1[0-9]{4}(?![0-9-])",
-    "phone": r"(?<![0-9+().-])(?<![+(] )(?:\([0-9]{3}\) ?|[0-9]{3}[-.])[0-9]{3}[-. ][0-9]{4}(?![0-9-])",
+    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++(?: ?(?:\(at\)|\[at\]|\(AT\)|\[AT\]) ?[A-Za-z0-9-]++"
+             r"(?: ?(?:\(dot\)|\[dot\]|\(DOT\)|\[DOT\]|(?<= )dot(?= )) ?[A-Za-z0-9-]++|\.[A-Za-z0-9-]++)++"
+             r"| at [A-Za-z0-9-]++(?: dot [A-Za-z0-9-]++)++| AT [A-Za-z0-9-]++(?: DOT [A-Za-z0-9-]++)++)",
+    "ip": r"(?<![0-9.\])])[0-9]{1,3}(?:(?:\[\.\]|\(\.\))[0-9]{1,3}){3}(?![0-9\[(])",
+    "card": r"(?<![0-9.+-])(?:[0-9]{13,19}|[0-9]{4}(?:([\x20-])[0-9]{4}\1[0-9]{4}\1|\.[0-9]{4}\.[0-9]{4}\.)[0-9]{4})(?![0-9-])",
+    "phone": r"(?<![0-9+().-])(?<![+(] )(?:\([0-9]{2,5}\) ?|00[0-9]{1,3}[\x20-][0-9]{2,4}[\x20-]|[0-9]{3}[-.\x20])[0-9]{3,4}[-.\x20][0-9]{3,4}(?![0-9-])",
 }
 
-# Gazetteers: what such data commonly begins or ends with.
+# Gazetteers, fixed values: ends of host names, mailboxes by role, and first names.
+HOST_ENDS = """com org net edu gov mil int info biz io co ai app dev eu de fr es uk it nl be ch at pl pt se no dk fi
+    cz ie us ca mx br ar cl au nz jp cn kr in ru tr gr ro hu""".split()
+ROLES = "info contact support sales office admin help press editor news hello mail service team jobs billing webmaster".split()
+FIRST_NAMES = """james john robert michael william david richard joseph thomas charles mary patricia jennifer linda
+    elizabeth barbara susan jessica sarah karen peter paul mark george anna maria emma laura julia jane joe alice bob carol
+    dave eve hans karl klaus petra sabine ursula wolfgang juergen stefan andreas monika claudia jean pierre michel marie
+    jacques nathalie sophie claire francois jose juan antonio manuel carmen ana pilar dolores isabel luis carlos jorge
+    pedro miguel rosa lucia elena pablo sofia diego""".split()
+# what such numbers commonly begin with: networks in use, issuers, calling codes and area codes
 GAZETTEER = {
-    "email": r"(?i)\.(?:com|org|net|edu|gov|io|de|fr|es|uk|info|biz)$",
-    "ip": r"^(?!0|127\.|255\.)",
+    "email": r"(?i)(?:\.|dot[\])]? ?)(?:" + "|".join(HOST_ENDS) + r")$",
+    "ip": r"^(?!0|127\.|2[4-5][0-9])",
     "card": r"^(?:4|5[1-5]|2[2-7]|3[47]|6011|65)",
-    "phone": r"^(?:\+(?:1|3[0-9]|4[0-9]|5[0-9]|6[0-6]|7|8[1246]|9[0-58])|\(?[2-9][0-9]{2}[).-])",
+    "phone": r"^(?:(?:\+|00)(?:1|2[0-9]|3[0-9]|4[0-9]|5[0-9]|6[0-6]|7|8[1246]|9[0-58])|\(?[2-9][0-9]{2}[).\x20-]|\(0[1-9])",
 }
+# words before a span that speak for it and, unless one of those is there, against it
 CONTEXT = {
-    "email": r"(?i)(?:e-?mail|mailto|contact|write|kontakt|correo|courriel|adresse)[^\n]{0,24}$",
-    "ip": r"(?i)(?:\bip\b|host|server|address|client|adresse|servidor)[^\n]{0,24}$",
-    "card": r"(?i)(?:card|visa|master|amex|credit|payment|karte|carte|tarjeta)[^\n]{0,24}$",
-    "phone": r"(?i)(?:phone|tel|call|fax|mobile|cell|handy|t[eé]l[eé]f)[^\n]{0,24}$",
+    "email": r"(?i)(?:e-?mail|mailto|contact|write|reach|kontakt|correo|courriel|adresse)[^\n]{0,24}$",
+    "ip": r"(?i)(?:\bip\b|host|server|address|client|login|adresse|servidor)[^\n]{0,24}$",
+    "card": r"(?i)(?:card|visa|master|amex|credit|payment|paid|karte|carte|tarjeta)[^\n]{0,24}$",
+    "phone": r"(?i)(?:phone|\btel|call|fax|mobile|cell|handy|t[eé]l[eé]f|reach)[^\n]{0,24}$",
+}
+AGAINST = {
+    "email": r"(?i)(?:meet|met|look(?:s|ed)?|arrived?|start(?:s|ed)?|stay(?:s|ed)?|was|were|is|sold|dinner|lunch)(?: [a-z]+)?\W*$",
+    "ip": r"(?i)(?:version|release|build|firmware|section|chapter|\bv)\W{0,3}$",
+    "card": r"(?i)(?:order|invoice|serial|tracking|isbn|part|batch|account|number|sku|ticket|code)[^\n]{0,16}$",
+    "phone": r"(?i)(?:order|invoice|serial|tracking|isbn|part|batch|sku|ticket|code|pages?|lot|ref)[^\n]{0,16}$",
 }
 SHAPE = {
-    "email": r"^[^@]{2,64}@[^@]{4,}$",
-    "ip": r"^(?:0|[1-9][0-9]*)(?:\.(?:0|[1-9][0-9]*)){3}$",
-    "card": r"^(?:[0-9]{13,16}|(?:[0-9]{4}[ -]){3}[0-9]{4})$",
-    "phone": r"[ ().-]",
+    "email": r"(?i)^(?:[^@]{2,64}@[^@]{4,}|[a-z0-9._%+-]{2,64} ?[\[(][^@]+[\])][^@]+|[a-z0-9]*[._0-9][a-z0-9._]* at .+)$",
+    "ip": r"^(?:0|[1-9][0-9]*)(?:[\[(]?\.[\])]?(?:0|[1-9][0-9]*)){3}$",
+    "card": r"^(?:[0-9]{13,16}|(?:[0-9]{4}[ .-]){3}[0-9]{4})$",
+    "phone": r"^(?:\+|00|\(0?[1-9])|^[2-9][0-9]{2}([-.])[2-9][0-9]{2}\1[0-9]{4}$",
 }
 CONTEXT_CHARS = 40
 ACCEPT = 0.9
-LABELERS = ("regex", "gazetteer", "context", "shape")
+LABELERS = ("regex", "gazetteer", "context", "shape", "name")
+# a vote against a span counts at least this much against it, in log odds; a failed check
+# as if true spans failed it one time in 45 as often as others, say by a slip
+LEAST_AGAINST = {"regex": math.log(45), "gazetteer": 1.0, "context": 1.0, "shape": 1.0, "name": 1.0}
+# votes for a span beyond those against it at which it is as likely true as not at first
+START_VOTES = 1.5
 
 Votes = tuple[int, ...]
 
@@ -130,6 +157,19 @@ def _vote(good: Column, bad: Column | None = None) -> Column:
     return (vote.when(bad, -1) if bad is not None else vote).otherwise(0)
 
 
+def _checked(kind: str, match: Column) -> Column:
+    """Vote on a looser candidate by the check that a strict one of its kind passes; an address has none."""
+    if kind == "email":
+        return F.lit(0)
+    plain = F.regexp_replace(match, r"[\[\]()]", "") if kind == "ip" else match
+    return F.when(_valid(kind, plain), 0).otherwise(-1)
+
+
+def _has_word(text: Column, words: list[str]) -> Column:
+    """Whether one of the words is in a short text."""
+    return F.arrays_overlap(F.split(F.lower(text), "[^a-z]+"), F.array(*[F.lit(w) for w in words]))
+
+
 def _judged(kind: str, span: Column, text: Column, strict: bool) -> Column:
     """A candidate with its votes and features."""
     before = F.substring(text, F.greatest(F.lit(1), span["start"] + 1 - CONTEXT_CHARS).cast("int"),
@@ -139,10 +179,11 @@ def _judged(kind: str, span: Column, text: Column, strict: bool) -> Column:
     return F.struct(
         F.lit(KINDS.index(kind)).alias("kind"), span["start"].alias("start"), span["end"].alias("end"),
         F.lit(strict).alias("base"),
-        (F.lit(1) if strict else F.lit(-1) if kind == "card" else F.lit(0)).alias("regex"),
+        (F.lit(1) if strict else _checked(kind, match)).alias("regex"),
         _vote(match.rlike(GAZETTEER[kind]), ~match.rlike(GAZETTEER[kind])).alias("gazetteer"),
-        _vote(before.rlike(CONTEXT[kind])).alias("context"),
+        _vote(before.rlike(CONTEXT[kind]), before.rlike(AGAINST[kind])).alias("context"),
         _vote(match.rlike(SHAPE[kind]), ~match.rlike(SHAPE[kind])).alias("shape"),
+        _vote(_has_word(match if kind == "email" else before, FIRST_NAMES + (ROLES if kind == "email" else []))).alias("name"),
         size.alias("size"))
 
 
@@ -152,14 +193,17 @@ def with_candidates(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
     none = F.array().cast(_NO_SPANS)
     addresses = F.when(text.contains("@"), _found(text, STRICT["email"])).otherwise(none)
-    spelled = F.when(text.contains("(at)") | text.contains("[at]"), _found(text, LOOSE["email"])).otherwise(none)
+    # few texts have what every spelled-out span holds
+    marks = {"email": ("(at)", "[at]", "(AT)", "[AT]", " dot ", " DOT "), "ip": ("[.]", "(.)")}
+    spelled = {k: F.when(reduce(or_, [text.contains(m) for m in own]), _found(text, LOOSE[k])).otherwise(none)
+               for k, own in marks.items()}
 
     def strict(kind: str, chunks: Column) -> Column:
         found = addresses if kind == "email" else _inside(chunks, STRICT[kind])
         return F.transform(F.filter(found, lambda s: _valid(kind, s["match"])), lambda s: _judged(kind, s, text, True))
 
     def loose(kind: str, chunks: Column) -> Column:
-        found = spelled if kind == "email" else _inside(chunks, LOOSE[kind])
+        found = spelled[kind] if kind in spelled else _inside(chunks, LOOSE[kind])
         return F.transform(found, lambda s: _judged(kind, s, text, False))
 
     def judged(chunks: Column) -> Column:
@@ -178,11 +222,18 @@ def expectation_maximisation(counts: dict[Votes, float], base: set[Votes], round
 
     Each labeler's vote depends on the truth alone; its chances of every vote are
     estimated together with the share of true spans.  Votes of strict spans are
-    known to be true.
+    known to be true.  A labeler is never worse than chance: a vote for a span does not
+    count against it, and one against it counts at least ``LEAST_AGAINST``.
     """
+    least = [LEAST_AGAINST[k] for k in LABELERS]
+
+    def odds_of(k: int, x: int, true: float, false: float) -> float:
+        found = math.log(true / false)
+        return max(0.0, found) if x > 0 else min(-least[k], found) if x < 0 else found
+
     if not counts:
         return {}
-    belief = {v: 1.0 if v in base else 1 / (1 + math.exp(-(sum(v) - 0.5))) for v in counts}
+    belief = {v: 1.0 if v in base else 1 / (1 + math.exp(-(sum(v) - START_VOTES))) for v in counts}
     for _ in range(rounds):
         chance = [[{x: 1.0 for x in (-1, 0, 1)} for _ in LABELERS] for _ in (0, 1)]
         share = 1.0
@@ -201,7 +252,7 @@ def expectation_maximisation(counts: dict[Votes, float], base: set[Votes], round
         for votes in belief:
             if votes not in base:
                 odds = math.log(share / (1 - share)) if 0 < share < 1 else 0.0
-                odds += sum(math.log(chance[1][k][x] / chance[0][k][x]) for k, x in enumerate(votes))
+                odds += sum(odds_of(k, x, chance[1][k][x], chance[0][k][x]) for k, x in enumerate(votes))
                 belief[votes] = 1 / (1 + math.exp(-max(-30.0, min(30.0, odds))))
     return belief
 
@@ -238,8 +289,8 @@ def train(rows: list[tuple[int, bool, Votes, int, int]], steps: int = 300) -> di
 def fit(docs: DataFrame, text_col: str = "text") -> dict[tuple, float]:
     """Weights from the candidates of all texts, counted by kind, votes and size."""
     counted = with_candidates(docs.select(F.col(f"`{text_col}`").alias("text"))).select(F.explode("_candidates").alias("c")) \
-        .groupBy("c.kind", "c.base", "c.regex", "c.gazetteer", "c.context", "c.shape", "c.size").count()
-    return train([(r[0], r[1], (r[2], r[3], r[4], r[5]), r[6], r[7]) for r in counted.collect()])
+        .groupBy("c.kind", "c.base", *[f"c.{k}" for k in LABELERS], "c.size").count()
+    return train([(r[0], r[1], tuple(r[2: 2 + len(LABELERS)]), r["size"], r["count"]) for r in counted.collect()])
 
 
 def _score(span: Column, weights: dict[tuple, float]) -> Column:

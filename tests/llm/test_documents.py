@@ -33,6 +33,13 @@ def test_language(docs, no_docs):
     assert {r["lang_pred"] for r in langid.identify(docs, nothing).collect()} == {"und"}
 
 
+def test_many_languages(spark):
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    rows = [(300 * k + i, f"{letters[i % 26]}{letters[i // 26]}q word{k}", f"l{i}") for i in range(300) for k in range(2)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert set(langid.fit(docs, F.lit(True)).languages) == {r[2] for r in rows}
+
+
 # -- language model ------------------------------------------------------------
 
 def test_scores(docs, documents, no_docs):
@@ -322,3 +329,83 @@ def test_reliability():
     counts = {(0, 1, 1, 1): 50, (0, -1, 0, -1): 50, (0, -1, 1, 1): 3, (0, 1, 0, -1): 3}
     belief = pii.expectation_maximisation(counts, set())
     assert belief[0, 1, 1, 1] > 0.9 > 0.1 > belief[0, -1, 0, -1]
+
+
+# looser spans that are personal data, and ones that only look like it
+TRUE_SPANS = [
+    ("email", "please contact {}", "maria.lopez(at)example(dot)org"), ("email", "write to {}", "info [at] press.example.com"),
+    ("email", "e-mail: {}", "j.smith at mail dot example dot net"), ("email", "kontakt {}", "hans_klaus (at) zeitung dot de"),
+    ("ip", "server address {}", "10[.]20[.]30[.]40"), ("ip", "login from host {}", "81(.)2(.)69(.)142"),
+    ("card", "paid by card {}", "4111.1111.1111.1111"), ("card", "visa {}", "4012.8888.8888.1881"),
+    ("email", "see {}", "joe.park at mail dot example dot net"), ("phone", "then {}", "212-555-0199"),
+    ("phone", "call {}", "(212) 555-0199"), ("phone", "phone {}", "415-555-0132"), ("phone", "tel {}", "0049 30 2345 6789"),
+]
+FALSE_SPANS = [
+    ("email", "they met {}", "guests at noon dot the"), ("email", "it was {}", "sold at auction dot then"),
+    ("email", "she looked {}", "around at every dot on"), ("card", "tracking number {}", "9400110898825022"),
+    ("card", "order {}", "8123456789012345"), ("card", "serial code {}", "1234 5678 9012 3456"),
+    ("card", "james kept {}", "4000123412341234"), ("card", "mary wrote {}", "5100 1111 2222 3333"),
+    ("phone", "maria counted {}", "300 400 500"), ("phone", "and anna saw {}", "212 300 4500"),
+    ("phone", "pages {}", "100 200 300"), ("phone", "lot {}", "123 456 7890"), ("phone", "part ref {}", "145 0000 111"),
+]
+
+
+def loose_texts(kinds, copies=12):
+    """Texts with a planted span each, its place, and whether it is personal data."""
+    rows, filler = [], ["the paper came late", "rain fell on the town", "we read the news"]
+    for true, planted in ((True, TRUE_SPANS), (False, FALSE_SPANS)):
+        for i, (kind, frame, span) in enumerate(p for p in planted if p[0] in kinds):
+            for copy in range(copies):
+                start = f"{filler[(i + copy) % 3]} {copy}x. "
+                text = start + frame.format(span) + ", " + filler[copy % 3]
+                at = len(start) + frame.index("{}")
+                rows.append((len(rows), text, f"{kind}:{at}:{at + len(span)}", true))
+    strict = [("e-mail", "anna.meyer@example.org"), ("contact", "press@site.com"), ("host", "81.2.69.142"), ("ip", "10.1.2.3"),
+              ("card", "4111 1111 1111 1111"), ("visa", "4012888888881881"), ("call", "+49 30 2345 6789"), ("phone", "+1 (212) 555-0199")]
+    rows += [(len(rows) + i, f"{word} {span} here {i}", None, None) for i, (word, span) in enumerate(strict * 5)]
+    return rows
+
+
+def test_loose_spans(spark):
+    """Precision and recall on planted spans: by the method, by the sum of the votes, and with every candidate kept."""
+    rows = loose_texts(pii.KINDS)
+    df = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    weights = pii.fit(df)
+    plain = weights_of_votes()
+
+    def found(weights):
+        spans = pii.joined(F.filter("_spans", lambda s: ~s["base"])).alias("spans")
+        return {r["doc_id"]: set(filter(None, r["spans"].split(","))) for r in pii.find(df, weights).select("doc_id", spans).collect()}
+
+    def judged(got):
+        hits = sum(want in got[i] for i, _, want, true in rows if true)
+        wrong = sum(len(got[i] - ({want} if true else set())) for i, _, want, true in rows)
+        return hits / sum(bool(r[3]) for r in rows), hits / max(1, hits + wrong)
+
+    everything = judged(found({("bias",): 100.0}))
+    votes = judged(found(plain))
+    method = judged(found(weights))
+    print("recall and precision: all", everything, "votes", votes, "method", method)
+    assert everything[0] == 1.0 and everything[1] < 0.7
+    assert method[0] >= 0.9 and method[1] >= 0.95
+    assert method[0] * method[1] > votes[0] * votes[1]
+
+
+def weights_of_votes():
+    """Weights that let the sum of the votes decide: over a half, which passes the threshold."""
+    return {("bias",): -5.0 + math.log(pii.ACCEPT / (1 - pii.ACCEPT)),
+            **{("vote", k, x): 10.0 * x for k in range(len(pii.LABELERS)) for x in (-1, 0, 1)}}
+
+
+def test_long_spelled_addresses(spark):
+    long = "a" * 300 + " (at) " + "b" * 200 + " (dot) org"
+    df = spark.createDataFrame([(1, "mail " + long + " end"), (2, "x at " * 20_000 + " dot "), (3, " dot " * 20_000 + "(at)")], "doc_id long, text string")
+    got = pii.with_candidates(df).select("doc_id", F.transform("_candidates", lambda c: c["end"] - c["start"]).alias("n")).collect()
+    assert {r["doc_id"]: r["n"] for r in got} == {1: [len(long)], 2: [], 3: []}
+
+
+def test_labelers_are_no_worse_than_chance():
+    """A failed check counts against a span, however much the other votes look like certain ones."""
+    certain, failed = (1, 1, 1, 1, 0), (-1, 1, 0, 1, 0)
+    belief = pii.expectation_maximisation({certain: 1000, failed: 300, (0, -1, -1, -1, 0): 300}, {certain})
+    assert belief[failed] < pii.ACCEPT
