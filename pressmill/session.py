@@ -2,6 +2,7 @@
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -32,6 +33,18 @@ def settle(df: DataFrame) -> DataFrame:
     return df
 
 
+@contextmanager
+def task_bytes(spark: SparkSession, size: int):
+    """Shuffled bytes that a task is to take, at most, for what is run inside."""
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(size))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 _local_folder = []
 
 

@@ -2,10 +2,10 @@
 
 A folder holds
 
-* ``stories``: the stories by day, each as one struct,
-* ``postings``: per word, story and field the places of the word, by buckets of words
+* ``stories``: the stories by day, each as one struct, numbered as they are written,
+* ``postings``: a row for each place of a word in a field of a story, by buckets of words
   and sorted in them, so that a search opens the buckets of its words alone,
-* ``words``: in how many stories and fields a word occurs,
+* ``words``: how often a word occurs in a field,
 * ``columns``: no rows, but the columns of a story.
 
 A word is a run of word characters in lower case.  A place is twice the number of the
@@ -20,11 +20,14 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from pressmill.operators.search import has_phrase
+from pressmill.session import task_bytes
 
 BUCKETS = 64
+# packed postings a task takes; unpacked and sorted they are about twelve times as much
+TASK_BYTES = 32 << 20
 # a row's address among the stored stories
-ADDRESS = ["_day", "_file", "_row"]
-POSTING = "word string, _day date, _file string, _row long, _field string, places array<int>, bucket int"
+ADDRESS = ["_day", "_id"]
+POSTING = "word string, _day date, _id long, _field string, place int, bucket int"
 # what comes before a word, and the word
 PIECES = "(?U)\\W*\\w+"
 
@@ -43,10 +46,39 @@ def _word(piece: Column) -> Column:
 
 def _stored(spark: SparkSession, path: str) -> DataFrame:
     # an index of no stories has no files to tell the columns
-    columns = spark.read.parquet(f"{path}/columns").schema.add("_day", "date")
-    stories = spark.read.schema(columns).parquet(f"{path}/stories")
-    return stories.select("_day", F.col("_metadata.file_name").alias("_file"),
-                          F.col("_metadata.row_index").alias("_row"), "_story")
+    columns = spark.read.parquet(f"{path}/columns").schema.add("_id", "long").add("_day", "date")
+    return spark.read.schema(columns).parquet(f"{path}/stories").select(*ADDRESS, "_story")
+
+
+def _by_bucket(places: DataFrame, buckets: int) -> DataFrame:
+    """Words of a text by bucket, joined by blanks, and their places beside them: short rows to move.
+
+    A text's words are sorted and cut where the bucket changes, all inside its row.
+    """
+    own = [c for c in places.columns if c != "_places"]
+    ordered = places.where(F.size("_places") > 0).select(*own, F.sort_array(F.transform("_places", lambda p: F.struct(
+        _bucket(p["word"], buckets).alias("bucket"), p["word"].alias("word"), p["place"].alias("place")))).alias("_sorted"))
+    bucket = lambda at: F.get("_sorted", at)["bucket"]
+    cut = ordered.select(*own, "_sorted", F.filter(
+        F.sequence(F.lit(0), F.size("_sorted")),
+        lambda at: (at == 0) | (at == F.size("_sorted")) | (bucket(at) != bucket(at - 1))).alias("_cuts"))
+    group = F.explode(F.transform(
+        F.slice("_cuts", F.lit(2), F.size("_cuts") - 1),
+        lambda end, i: F.slice("_sorted", F.get("_cuts", i) + 1, end - F.get("_cuts", i))))
+    return cut.select(*own, group.alias("_g")).select(
+        F.get("_g.bucket", F.lit(0)).alias("bucket"), *own,
+        F.array_join("_g.word", " ").alias("_words"), F.col("_g.place").alias("place"))
+
+
+def _postings(texts: DataFrame, buckets: int) -> DataFrame:
+    """A row for each place of a word, its bucket's rows together."""
+    pieces = texts.select(*ADDRESS, "_field", _pieces(F.col("_text")).alias("_pieces"))
+    spaced = lambda piece: piece.rlike("(?U)^\\s+\\w").cast("int")
+    places = pieces.select(*ADDRESS, "_field", F.transform("_pieces", lambda p, i: F.struct(
+        _word(p).alias("word"), (2 * i + spaced(p)).alias("place"))).alias("_places"))
+    return _by_bucket(places, buckets).hint("rebalance", "bucket") \
+        .select("bucket", *ADDRESS, "_field", F.explode(F.arrays_zip(F.split("_words", " ").alias("word"), F.col("place"))).alias("_p")) \
+        .select("_p.word", *ADDRESS, "_field", "_p.place", "bucket")
 
 
 def write_phrase_index(stories: DataFrame, path: str, text: tuple[str, ...] = ("title",),
@@ -54,27 +86,24 @@ def write_phrase_index(stories: DataFrame, path: str, text: tuple[str, ...] = ("
     """Write the index of ``text`` columns to ``path``, in place of one that is there.
 
     All stories are kept, repeated ones too; a story whose date is none is stored and
-    never found, as by `search_stories`.  Any column names will do.  Words are grouped
-    by word and story, so a frequent word is no hot key, and a bucket too large for one
-    task is cut.
+    never found, as by `search_stories`.  Any column names will do.  Places are moved
+    once, to their buckets, one row for a text and bucket; so a frequent word is no hot
+    key, and a bucket too large for one task is cut.
     """
     spark = stories.sparkSession
     packed = stories.select(F.struct(*[F.col(f"`{c}`") for c in stories.columns]).alias("_story"))
     dated = packed.withColumn("_day", F.col(f"_story.`{date}`").try_cast("date"))
     packed.limit(0).write.mode("overwrite").parquet(f"{path}/columns")
-    dated.hint("rebalance", "_day").write.mode("overwrite").partitionBy("_day").parquet(f"{path}/stories")
+    dated.hint("rebalance", "_day").withColumn("_id", F.monotonically_increasing_id()) \
+        .write.mode("overwrite").partitionBy("_day").parquet(f"{path}/stories")
     # a story's address is fixed once it is written
     stored = _stored(spark, path).where("_day IS NOT NULL")
     fields = F.explode(F.array(*[
         F.struct(F.lit(c).alias("_field"), F.col(f"_story.`{c}`").cast("string").alias("_text")) for c in text]))
     texts = stored.select(*ADDRESS, fields.alias("_f")).select(*ADDRESS, "_f._field", "_f._text")
-    pieces = texts.select(*ADDRESS, "_field", F.posexplode(_pieces(F.col("_text"))).alias("_at", "_piece"))
-    spaced = F.col("_piece").rlike("(?U)^\\s+\\w").cast("int")
-    places = pieces.select(*ADDRESS, "_field", _word(F.col("_piece")).alias("word"), (2 * F.col("_at") + spaced).alias("_place"))
-    postings = places.groupBy("word", *ADDRESS, "_field").agg(F.sort_array(F.collect_list("_place")).alias("places"))
-    postings.withColumn("bucket", _bucket(F.col("word"), buckets)).hint("rebalance", "bucket") \
-        .sortWithinPartitions("bucket", "word", *ADDRESS) \
-        .write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/postings")
+    with task_bytes(spark, TASK_BYTES):
+        _postings(texts, buckets).sortWithinPartitions("bucket", "word", *ADDRESS, "_field", "place") \
+            .write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/postings")
     words = spark.read.schema(POSTING).parquet(f"{path}/postings").groupBy("bucket", "word", "_field").agg(F.count("*").alias("n"))
     words.withColumn("_buckets", F.lit(buckets)).write.mode("overwrite").parquet(f"{path}/words")
 
@@ -92,7 +121,7 @@ def search_phrase_index(spark: SparkSession, path: str, domains: DataFrame, phra
 
     Postings of the phrase's rarest word are read first and those of the others joined
     to them in rising number, each keeping the places where the phrase may begin.  The
-    joins are on addresses; Spark broadcasts the side that is small.  A phrase with
+    joins are on address and place; Spark broadcasts the side that is small.  A phrase with
     other than word characters is looked for in the texts of the stories left; one
     without any is looked for in all texts of the days.
     """
@@ -117,16 +146,13 @@ def search_phrase_index(spark: SparkSession, path: str, domains: DataFrame, phra
             """Where the phrase would begin, by its word ``i``."""
             word, bucket = words[i]
             rows = postings.where((F.col("bucket") == bucket) & (F.col("word") == word))
-            places = F.col("places")
             if plain and i:
-                places = F.filter(places, lambda p: p % 2 == 1)
-            first = F.transform(places, lambda p: F.floor(p / 2).cast("int") - i)
-            return rows.select(*ADDRESS, "_field", first.alias(f"_begin{i}")).where(F.size(f"_begin{i}") > 0)
+                rows = rows.where(F.col("place") % 2 == 1)
+            return rows.select(*ADDRESS, "_field", (F.floor(F.col("place") / 2).cast("int") - i).alias("_begin"))
 
-        found = begins(order[0]).withColumnRenamed(f"_begin{order[0]}", "_begin")
+        found = begins(order[0])
         for i in order[1:]:
-            found = found.join(begins(i), [*ADDRESS, "_field"]) \
-                .withColumn("_begin", F.array_intersect("_begin", f"_begin{i}")).drop(f"_begin{i}").where(F.size("_begin") > 0)
+            found = found.join(begins(i), [*ADDRESS, "_field", "_begin"], "left_semi")
         stories = stories.join(found.select(*ADDRESS), ADDRESS, "left_semi")
         in_text = F.lit(True) if plain else in_text
     found = stories.where(in_text)

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pressmill.operators.search import search_stories
-from pressmill.sources.phrase_index import search_phrase_index, write_phrase_index
+from pressmill.sources.phrase_index import _postings, search_phrase_index, write_phrase_index
 
 TEXTS = [
     "Big news of the day", "big  NEWS", "big, news", "bignews", "The U.S.\nHouse met", "UxS House", "the the the news big",
@@ -63,6 +63,16 @@ def test_texts_and_other_buckets_are_not_read(spark, domains, path):
     assert all("EqualTo(word," in s for s in postings)
 
 
+def test_places_are_moved_once(spark):
+    texts = spark.createDataFrame([(None, 1, "title", "b a b, a"), (None, 2, "title", "..."), (None, 2, "text", "A\tc"), (None, 3, "text", None)],
+                                  "_day date, _id long, _field string, _text string")
+    postings = _postings(texts, 4)
+    assert postings._jdf.queryExecution().executedPlan().toString().count("Exchange ") == 1
+    got = sorted((r["word"], r["_id"], r["_field"], r["place"]) for r in postings.collect())
+    assert got == [("a", 1, "title", 3), ("a", 1, "title", 6), ("a", 2, "text", 0), ("b", 1, "title", 0), ("b", 1, "title", 5), ("c", 2, "text", 3)]
+    assert postings.groupBy("word").agg(F.countDistinct("bucket").alias("n")).where("n > 1").count() == 0
+
+
 def test_nothing_stored(spark, stories, domains, tmp_path):
     path = str(tmp_path / "none")
     write_phrase_index(stories.limit(0), path, ("title",))
