@@ -1,5 +1,6 @@
 """Page reading: hand-made pages with known parts."""
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -124,3 +125,17 @@ def test_both_ways_of_reading_agree():
         slow.close()
         assert fast.parts() == slow.parts(), page
     assert ordinary > 3_000
+
+
+def test_pages_leave_the_reader_in_pieces():
+    """What is held at once does not grow with a batch of rows."""
+    from pressmill.functions import html_reader
+
+    html = [f"<p>{i} {'x' * 300_000}</p><div id='a'>{'y' * 300_000}</div>" for i in range(8)] + [None, "<p>z</p>"]
+    want = [{"tag": "div", "attr": "id", "value": "a"}]
+    types = (pa.string(), pa.list_(pa.struct([(c, pa.string()) for c in want[0]])), pa.string())
+    batch = tuple(pa.array(v, t) for v, t in zip((html, [want] * 9 + [None], [None] * 10), types))
+    pieces = list(html_reader._read_pages(iter([batch, tuple(a.slice(0, 0) for a in batch), batch])))
+    assert max(p.nbytes for p in pieces) < 3 * html_reader.PIECE_CHARS and len(pieces) > 4
+    assert [p["page_text"] for piece in pieces for p in piece.to_pylist()] == \
+        2 * [(read_page(h, want) or {"page_text": None})["page_text"] for h in html]
