@@ -16,7 +16,8 @@ runs meet has their meeting.
 The first exchange tells for each key whether a second document has it, which reveals
 possible repeats.  The second verifies: windows of shared keys are named by doubling,
 by two hashes of 104 bits together, and each learns the smallest document that holds
-it.  Both send one entry per run of documents and name.
+it.  Both send one entry per run of documents and name.  A run also sends itself which
+windows are shared, so that keys are found twice and not for the removal again.
 """
 
 from __future__ import annotations
@@ -34,7 +35,7 @@ WINDOW = 13
 # a context that goes beyond the document is known nowhere else
 _FAR = np.int64(1 << 40)
 # numbers held at once for the keys of some documents
-_CELLS = 4_000_000
+_CELLS = 2_000_000
 
 
 class Level:
@@ -101,25 +102,35 @@ class _Keys:
     """Least key of every window of words, from keys offered with their contexts."""
 
     def __init__(self, words: int, window: int):
-        self.window = window
+        self.window, self.words = window, words
         self.best = np.full((window + 1, words), ~np.uint64(0))
-
-    def offer(self, name: np.ndarray, covered: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> bool:
-        ok = np.flatnonzero(hi - lo <= self.window)
-        key = (np.uint64(255) - np.minimum(covered[ok], 255).astype(np.uint64) << np.uint64(56)) | (name[ok] >> np.uint64(8))
-        np.minimum.at(self.best, (hi[ok] - lo[ok], lo[ok]), key)
-        return len(ok) > 0
+        self.flat = self.best.reshape(-1)
+
+    def offer(self, lo: np.ndarray, hi: np.ndarray, covered, name) -> bool:
+        """Offer what has a context that fits; ``covered`` and ``name`` tell words and name of some by number."""
+        size = hi - lo
+        ok = np.flatnonzero(size <= self.window)
+        if not len(ok):
+            return False
+        key = (np.uint64(255) - np.minimum(covered(ok), 255).astype(np.uint64) << np.uint64(56)) | (name(ok) >> np.uint64(8))
+        # one index is much faster than two
+        at = size[ok] * self.words + lo[ok]
+        while len(at):
+            self.flat[at] = np.minimum(self.flat[at], key)
+            # of several at one place another may have been kept
+            lost = np.flatnonzero(self.flat[at] > key)
+            at, key = at[lost], key[lost]
+        return True
 
     def level(self, level: Level, salt: int) -> bool:
         """Offer symbols and threes of symbols; whether any symbol fits."""
-        fits = self.offer(R.mix(level.name, salt), level.stop - level.start, level.lo, level.hi)
+        fits = self.offer(level.lo, level.hi, lambda ok: level.stop[ok] - level.start[ok], lambda ok: R.mix(level.name[ok], salt))
         if len(level.name) > 2:
-            threes = level.joined[1:-1] & level.joined[2:]
-            a, b, c = (np.flatnonzero(threes) + k for k in range(3))
-            name = R.pair(R.pair(level.name[a], level.name[b], salt), level.name[c], salt + 1)
-            lo = np.minimum(np.minimum(level.lo[a], level.lo[b]), level.lo[c])
-            hi = np.maximum(np.maximum(level.hi[a], level.hi[b]), level.hi[c])
-            self.offer(name, level.stop[c] - level.start[a], lo, hi)
+            a = np.flatnonzero(level.joined[1:-1] & level.joined[2:])
+            lo = np.minimum(np.minimum(level.lo[:-2], level.lo[1:-1]), level.lo[2:])[a]
+            hi = np.maximum(np.maximum(level.hi[:-2], level.hi[1:-1]), level.hi[2:])[a]
+            self.offer(lo, hi, lambda ok: level.stop[a[ok] + 2] - level.start[a[ok]], lambda ok: R.pair(
+                R.pair(level.name[a[ok]], level.name[a[ok] + 1], salt), level.name[a[ok] + 2], salt + 1))
         return fits
 
     def least(self) -> np.ndarray:
@@ -144,8 +155,8 @@ def symbol_keys(names: np.ndarray, doc: np.ndarray, window: int, rounds: int | N
             beside = np.flatnonzero(level.joined)
             other = names[beside] != names[beside - 1]
             meet, inside = beside[other], beside[~other]
-            keys.offer(R.pair(names[meet - 1], names[meet], 12), np.full(len(meet), 2), meet - 1, meet + 1)
-            keys.offer(R.pair(names[inside - 1], names[inside], 13), np.full(len(inside), 1), inside - 1, inside + 1)
+            for own, words, salt in ((meet, 2, 12), (inside, 1, 13)):
+                keys.offer(own - 1, own + 1, lambda ok: np.full(len(ok), words), lambda ok: R.pair(names[own[ok] - 1], names[own[ok]], salt))
         level = level.runs()
         fits = keys.level(level, 100 + 4 * number)
         level = level.pairs(20 + number)
@@ -192,12 +203,19 @@ def window_names(one: np.ndarray, two: np.ndarray, starts: np.ndarray, window: i
     return out[0], out[1]
 
 
-class _Run:
-    """A run's windows and the keys they took."""
+class _Words:
+    """A run's words by name."""
 
-    def __init__(self, rows: pa.Table, window: int, seconds: bool, rounds: int | None):
+    def __init__(self, rows: pa.Table, seconds: bool):
         self.ids, self.known, self.texts = R.ordered(rows)
         self.doc, self.one, self.two = R.run_words(self.texts, seconds=seconds)
+
+
+class _Run(_Words):
+    """A run's windows and the keys they took."""
+
+    def __init__(self, rows: pa.Table, window: int, seconds: bool, rounds: int | None):
+        super().__init__(rows, seconds)
         self.starts, self.place = window_places(self.one, self.doc, window, rounds)
         ok = self.known[self.doc[self.starts]]
         self.starts, self.place = self.starts[ok], self.place[ok]
@@ -219,7 +237,7 @@ class _Run:
 class _Windows:
     """Distinct windows of a run at shared places, in order of their names."""
 
-    def __init__(self, run: _Run, starts: np.ndarray, window: int):
+    def __init__(self, run: _Words, starts: np.ndarray, window: int):
         self.starts = starts
         one, two = window_names(run.one, run.two, starts, window)
         self.owner = run.ids[run.doc[starts]]
@@ -269,12 +287,18 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         held = _Windows(run, run.shared_windows(_answers(answers, 0), bits), window)
         low = int(held.least.min()) if len(held.least) else 0
         short = (held.one << np.uint64(bits)) >> np.uint64(24)
-        return _blobs([(part, key[0].as_py(), at.stop - at.start,
+        shared = np.zeros(len(run.one), dtype=bool)
+        shared[held.starts] = True
+        # for the run itself, past the parts
+        own = [(-1 - key[0].as_py(), key[0].as_py(), len(shared), R.to_bits(shared))]
+        return _blobs(own + [(part, key[0].as_py(), at.stop - at.start,
                         np.int64(low).tobytes() + R.planes(short[at], 5) + R.planes(held.two[at], 5)
                         + R.planes((held.least[at] - low).view(np.uint64), 8))
                        for part, at in R.parts_of(held.one, bits)])
 
     def foreign(key, rows):
+        if key[0].as_py() < 0:
+            return pa.table({"run": rows["run"], "kind": pa.array([2], pa.int32()), "part": rows["part"], "data": rows["data"]})
         numbers, counts, data = rows["run"].to_pylist(), rows["count"].to_pylist(), rows["data"].to_pylist()
         one = np.concatenate([R.from_planes(d[8: 8 + 5 * n], n, 5) for n, d in zip(counts, data)])
         two = np.concatenate([R.from_planes(d[8 + 5 * n: 8 + 10 * n], n, 5) for n, d in zip(counts, data)])
@@ -292,8 +316,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             "data": pa.array([R.to_bits(f) for f in np.split(flags, np.cumsum(counts)[:-1])], pa.binary())})
 
     def assemble(key, rows, answers):
-        run = _Run(rows, window, True, rounds)
-        held = _Windows(run, run.shared_windows(_answers(answers, 0), bits), window)
+        run = _Words(rows, True)
+        shared, = _answers(answers, 2).values()
+        held = _Windows(run, np.flatnonzero(R.from_bits(shared, len(run.one))), window)
         elsewhere = np.zeros(len(held.one), dtype=bool)
         found = _answers(answers, 1)
         for part, at in R.parts_of(held.one, bits):
@@ -324,5 +349,5 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     round_2 = by_run.cogroup(round_1.groupBy("run")).applyInArrow(windows, _BLOB) \
         .groupBy("part").applyInArrow(foreign, _ANSWER)
     schema = "_id long, n_words long, n_removed long, kept_sha256 string" + ", kept string" * keep_text
-    result = by_run.cogroup(round_1.unionByName(round_2).groupBy("run")).applyInArrow(assemble, schema)
+    result = by_run.cogroup(round_2.groupBy("run")).applyInArrow(assemble, schema)
     return result.select(F.col("_id").alias(id_col), "n_words", "n_removed", "kept_sha256", *["kept"] * keep_text)

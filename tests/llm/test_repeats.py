@@ -164,3 +164,14 @@ def test_loser_tree():
         at[k] += 1
     assert out == sorted(x for r in runs for x in r)
     assert shared[1:] == [common(a, b) for a, b in zip(out, out[1:])]
+
+
+def test_removal_takes_the_second_answers_only(spark):
+    """Keys are found for the two exchanges; the removal is told which windows are shared."""
+    rows = [(i, " ".join(f"w{(i % 3) * 5 + k}" for k in range(20))) for i in range(9)] + [(9, ""), (None, "w0 w1"), (10, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = substring.remove_repeats(df, run_bytes=200)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    # no window was asked for by its key a third time
+    assert "Union" not in plan and plan.count("FlatMapCoGroupsInArrow") == 2
+    same(found.where("doc_id IS NOT NULL").collect(), by_words([r for r in rows if r[0] is not None], 13))
