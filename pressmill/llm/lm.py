@@ -42,6 +42,8 @@ BUCKET_BITS = (12, 13, 12, 12)
 ROUNDS = 2
 RATE = 0.5
 BATCH = 16_384
+# rows of all stretches that are summed at once, one of each
+STEPS = 48
 # occurrences that the lower order counts as beside the counts of a pair and of a triple
 LOWER = (200.0, 50.0)
 # weight rows of a message
@@ -49,6 +51,8 @@ MESSAGE_ROWS = 1024
 # messages of a run that are sent at once
 MESSAGES = 32
 END = np.uint64(0x5E9D_0000_0000_0001)
+# class of a word by its last two letters
+_BY_LETTERS = (WORD_CLASSES + 1 + R.mix(np.arange(1 << 16, dtype=np.uint64), 77) % np.uint64(LETTER_CLASSES)).astype(np.uint8)
 
 _COUNTS = R.ANSWER + ", name long, n long"
 
@@ -62,16 +66,17 @@ def _texts(rows: pa.Table):
 
 def _tokens(block: R.Block):
     """(document in the block, name, class by last letters, end flag) of all tokens of a block."""
-    doc, name, _ = R.word_names(block, lower=True, seconds=False)
-    letters = R.last_letters(block, lower=True)
-    doc = doc.astype(np.int64) - block.first
+    bounds = R.word_bounds(block, lower=True)
+    doc, name, _ = R.word_names(block, seconds=False, bounds=bounds)
+    letters = R.last_letters(block, bounds=bounds)
+    doc = doc - np.int32(block.first)
     count = np.bincount(doc, minlength=len(block.texts))
     place = np.arange(len(doc)) + doc
     total = len(doc) + len(block.texts)
     ends = np.cumsum(count + 1) - 1
-    names, classes, owner = np.empty(total, np.uint64), np.empty(total, np.int64), np.empty(total, np.int64)
+    names, classes, owner = np.empty(total, np.uint64), np.empty(total, np.uint8), np.empty(total, np.int32)
     names[place], names[ends] = name, END
-    classes[place] = WORD_CLASSES + 1 + (R.mix(letters, 77) % np.uint64(LETTER_CLASSES)).astype(np.int64)
+    classes[place] = _BY_LETTERS[letters.view(np.int64)]
     classes[ends] = WORD_CLASSES
     owner[place], owner[ends] = doc, np.arange(len(block.texts))
     return owner, names, classes
@@ -85,10 +90,12 @@ def _before(owner: np.ndarray, values: np.ndarray, k: int, first) -> np.ndarray:
     return past
 
 
-def _ngrams(owner: np.ndarray, names: np.ndarray) -> list[np.ndarray]:
-    """Names of the pair and the triple that end in every token; their last bit is 0."""
-    one, two = (_before(owner, names, k, 0) for k in (1, 2))
-    return [x & ~np.uint64(1) for x in (R.pair(one, names, 8), R.pair(R.pair(two, one, 5), names, 9))]
+def _ngrams(owner: np.ndarray, names: np.ndarray, number: int) -> np.ndarray:
+    """Names of the pairs (1) or the triples (2) that end in every token; their last bit is 0."""
+    one = _before(owner, names, 1, 0)
+    found = R.pair(one, names, 8) if number == 1 else R.pair(R.pair(_before(owner, names, 2, 0), one, 5), names, 9)
+    found &= ~np.uint64(1)
+    return found
 
 
 def _packed(counts: np.ndarray) -> bytes:
@@ -100,13 +107,21 @@ def _unpacked(data: bytes, n: int) -> np.ndarray:
     return R.from_planes(data, n, len(data) // n)
 
 
-def _counts_of(keys: np.ndarray, found: dict[int, bytes], bits: int) -> np.ndarray:
-    """Counts of the n-grams of a run from its answers."""
-    keys, at = np.unique(keys, return_inverse=True)
+def _counts_of(names: np.ndarray, found: dict[int, bytes], bits: int, unpacked=_unpacked) -> np.ndarray:
+    """Counts of the words or n-grams of a run from its answers, in as few bytes each as they need."""
+    order, keys = R.sorting(names)
+    del names
+    heads = R.groups(keys)
+    sizes, keys = np.diff(heads, append=len(keys)), keys[heads]
+    del heads
     total = np.empty(len(keys), np.int64)
     for part, own in R.parts_of(keys, bits):
-        total[own] = _unpacked(found[part], own.stop - own.start)
-    return total[at]
+        total[own] = unpacked(found[part], own.stop - own.start)
+    del keys
+    total = total.astype(np.min_scalar_type(total.max()))
+    out = np.empty(len(order), total.dtype)
+    out[order] = np.repeat(total, sizes)
+    return out
 
 
 def _features(owner: np.ndarray, names: np.ndarray) -> list[np.ndarray]:
@@ -127,9 +142,17 @@ class Model:
     size: np.ndarray
 
     def classes(self, names: np.ndarray, by_letters: np.ndarray) -> np.ndarray:
-        at = np.searchsorted(self.words, names)
-        hit = np.append(self.words, np.uint64(0))[at] == names
-        return np.where(hit & (at < len(self.words)), at, by_letters)
+        out = by_letters.astype(np.int64)
+        # only names that begin like a frequent word are looked up
+        maybe = np.zeros(1 << 12, dtype=bool)
+        maybe[self.words >> np.uint64(52)] = True
+        which = np.flatnonzero(maybe[(names >> np.uint64(52)).view(np.int64)])
+        if len(which):
+            found = names[which]
+            at = np.minimum(np.searchsorted(self.words, found), len(self.words) - 1)
+            hit = self.words[at] == found
+            out[which[hit]] = at[hit]
+        return out
 
     def logits(self, rows: list[np.ndarray], out: np.ndarray, spare: np.ndarray) -> None:
         """Logits of all classes into ``out``; ``spare`` is room of the same shape."""
@@ -140,46 +163,72 @@ class Model:
         out += self.bias
 
 
-def segment_sums(rows: np.ndarray, heads: np.ndarray) -> np.ndarray:
-    """Sums of stretches of rows that begin at ``heads``: row by row, the rest of a long one at once."""
-    ends = np.append(heads[1:], len(rows))
-    sizes = ends - heads
-    out = rows[heads]
-    open_, k = np.flatnonzero(sizes > 1), 1
-    while len(open_) and k < 8:
-        out[open_] += rows[heads[open_] + k]
-        k += 1
-        open_ = open_[sizes[open_] > k]
-    for i in open_.tolist():
-        out[i] += rows[heads[i] + k: ends[i]].sum(axis=0)
-    return out
-
+def segment_sums(rows: np.ndarray, order: np.ndarray, heads: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sums of stretches of ``rows[order]`` that begin at ``heads``, and the places of these in ``heads``.
 
-def take_steps(model: Model, touched: list[np.ndarray], owner: np.ndarray, names: np.ndarray, letters: np.ndarray,
-               squares: list[np.ndarray]) -> None:
-    """Gradient steps on the tokens of a block, with rates that fall as a row's gradients add up."""
+    Longer stretches come first, so that those with a next row are always the first ones.
+    A long one is its first eight rows and the sum of all others.
+    """
+    sizes = np.diff(heads, append=len(order))
+    most = sizes.max()
+    by = np.argsort((most - sizes).astype(np.uint16 if most < 1 << 16 else np.int64), kind="stable")
+    heads, sizes = heads[by], sizes[by]
+    # stretches with more rows than this
+    over = (len(sizes) - np.searchsorted(sizes[::-1], np.arange(STEPS), "right")).tolist()
+
+    def row(k: int) -> np.ndarray:
+        return rows.take(order.take(heads[: over[k]] + k), axis=0)
+
+    out = row(0)
+    for k in range(1, 8):
+        out[: over[k]] += row(k)
+    rest = row(8)
+    for k in range(9, STEPS):
+        rest[: over[k]] += row(k)
+    # beyond, one by one from the sum so far
+    for i, (head, size) in enumerate(zip(heads[: over[-1]].tolist(), sizes.tolist())):
+        if size > STEPS:
+            more = rows.take(order[head + STEPS - 1: head + size], axis=0)
+            more[0] = rest[i]
+            rest[i] = np.add.reduce(more, axis=0)
+    out[: over[8]] += rest
+    return out, by
+
+
+def take_steps(model: Model, table: np.ndarray, touched: np.ndarray, squares: np.ndarray, owner: np.ndarray, names: np.ndarray,
+               letters: np.ndarray) -> None:
+    """Gradient steps on the tokens of a block, with rates that fall as a row's gradients add up.
+
+    ``table`` holds the weights of all features, of which those of the model are views.
+    """
     classes = model.classes(names, letters)
-    rows = [r.astype(np.uint16) for r in _features(owner, names)]
+    # small numbers are sorted by their digits
+    kind = np.uint16 if len(table) <= 1 << 16 else np.int64
+    rows = [r.astype(kind) for r in _features(owner, names)]
+    firsts = np.cumsum([0, *map(len, model.weights[:-1])]).astype(kind)
     one = np.ones(CLASSES, np.float32)
     room, spare = np.empty((BATCH, CLASSES), np.float32), np.empty((BATCH, CLASSES), np.float32)
     for at in range(0, len(names), BATCH):
         own = [r[at: at + BATCH] for r in rows]
-        slope, moved = room[: len(own[0])], spare[: len(own[0])]
-        model.logits(own, slope, moved)
+        slope, number = room[: len(own[0])], np.arange(len(own[0]))
+        model.logits(own, slope, spare[: len(slope)])
         slope -= slope.max()
         np.exp(slope, out=slope)
         slope /= np.maximum(slope @ one, np.float32(1e-30))[:, None]
-        slope[np.arange(len(slope)), classes[at: at + BATCH]] -= 1
+        slope[number, classes[at: at + BATCH]] -= 1
         model.bias -= np.float32(RATE) * slope.mean(axis=0)
-        for table, seen, square, r in zip(model.weights, touched, squares, own):
-            order = np.argsort(r, kind="stable")
-            heads = R.groups(r[order])
-            np.take(slope, order, axis=0, out=moved, mode="clip")
-            total, which = segment_sums(moved, heads), r[order][heads]
-            square[which] += np.einsum("ij,ij->i", total, total) / CLASSES
-            total *= (np.float32(RATE) / np.sqrt(square[which] + 1))[:, None]
-            table[which] -= total
-            seen[which] = True
+        r = np.concatenate([r + first for r, first in zip(own, firsts)])
+        order = np.argsort(r, kind="stable")
+        r = r[order]
+        heads = R.groups(r)
+        total, by = segment_sums(slope, np.tile(number, len(own)).take(order), heads)
+        which = r[heads[by]].astype(np.int64)
+        squares[which] += np.einsum("ij,ij->i", total, total) / CLASSES
+        total *= (np.float32(RATE) / np.sqrt(squares[which] + 1))[:, None]
+        moved = table.take(which, axis=0)
+        moved -= total
+        table[which] = moved
+        touched[which] = True
 
 
 def count_words(given: R.Runs) -> DataFrame:
@@ -196,8 +245,8 @@ def count_words(given: R.Runs) -> DataFrame:
         names, letters, counted, ngrams = [], [], [], ([], [])
         for block in R.blocks(texts):
             owner, name, by_letters = _tokens(block)
-            for known, new in zip(ngrams, _ngrams(owner, name)):
-                known.append(new)
+            for number, known in enumerate(ngrams, 1):
+                known.append(_ngrams(owner, name, number))
             names.append(name)
             letters.append(by_letters)
             counted.append(train[owner + block.first])
@@ -205,12 +254,12 @@ def count_words(given: R.Runs) -> DataFrame:
             return
         del texts
         name, letter, mine = map(np.concatenate, (names, letters, counted))
-        order = np.argsort(name, kind="stable")
-        heads = R.groups(name[order])
-        keys, kinds = name[order][heads], letter[order][heads]
+        order, keys = R.sorting(name)
+        heads = R.groups(keys)
+        keys, kinds = keys[heads], letter[order[heads]]
         counts = np.add.reduceat(mine[order].astype(np.int64), heads)
         out = [(part, key[0].as_py(), at.stop - at.start,
-                keys[at].tobytes() + kinds[at].astype(np.uint8).tobytes() + R.planes(counts[at], 6))
+                keys[at].tobytes() + kinds[at].tobytes() + R.planes(counts[at], 6))
                for part, at in R.parts_of(keys, bits)]
         del names, letters, counted, name, letter, order, keys, kinds, counts
         yield from R.blobs(out).to_batches(MESSAGES)
@@ -234,8 +283,8 @@ def count_words(given: R.Runs) -> DataFrame:
         wide = R.PLACE_BYTES
         names = np.concatenate([R.from_planes(d[: wide * n], n, wide) for n, d in zip(counts, data)])
         own = np.concatenate([_unpacked(d[wide * n:], n) for n, d in zip(counts, data)]).astype(np.int64)
-        order = np.argsort(names, kind="stable")
-        heads = R.groups(names[order])
+        order, names = R.sorting(names)
+        heads = R.groups(names)
         every = np.empty(len(order), np.uint64)
         every[order] = np.repeat(np.add.reduceat(own[order], heads), np.diff(np.append(heads, len(order)))).astype(np.uint64)
         return [(n, 4 + (part >> 32), part & 0xFFFFFFFF, _packed(x), None, None)
@@ -249,14 +298,14 @@ def count_words(given: R.Runs) -> DataFrame:
         names = np.concatenate([np.frombuffer(d, np.uint64, n) for n, d in zip(counts, data)])
         kinds = np.concatenate([np.frombuffer(d, np.uint8, n, 8 * n) for n, d in zip(counts, data)])
         own = np.concatenate([R.from_planes(d[9 * n:], n, 6) for n, d in zip(counts, data)]).astype(np.int64)
-        order = np.argsort(names, kind="stable")
-        heads = R.groups(names[order])
+        order, names = R.sorting(names)
+        heads = R.groups(names)
         total = np.add.reduceat(own[order], heads)
         every = np.empty(len(order), np.uint64)
         every[order] = np.repeat(total, np.diff(np.append(heads, len(order)))).astype(np.uint64)
         out = [(n, 0, part, R.planes(x, 6), None, None)
                for n, x in zip(numbers, np.split(every, np.cumsum(counts)[:-1]))]
-        word, kind = names[order][heads].view(np.int64), kinds[order][heads]
+        word, kind = names[heads].view(np.int64), kinds[order[heads]]
         mass = np.bincount(kind, weights=total, minlength=CLASSES).astype(np.int64)
         size = np.bincount(kind[total > 0], minlength=CLASSES)
         out += [(-1, 3, part, None, k, int(m)) for k, m in enumerate(mass) if m]
@@ -296,23 +345,24 @@ def update(docs: DataFrame, model: Model, id_col: str, text_col: str) -> Model:
 
     def steps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = sent.value
-        own = Model([w.copy() for w in known.weights], known.bias.copy(), known.words, known.mass, known.size)
-        touched = [np.zeros(len(w), bool) for w in own.weights]
-        squares = [np.zeros(len(w), np.float32) for w in own.weights]
+        table = np.concatenate(known.weights)
+        ends = np.cumsum([len(w) for w in known.weights])[:-1]
+        own = Model(np.split(table, ends), known.bias.copy(), known.words, known.mass, known.size)
+        touched, squares = np.zeros(len(table), bool), np.zeros(len(table), np.float32)
         tokens = 0
         for batch in batches:
-            for block in R.blocks(batch.column("_text").to_pylist()):
+            for block in R.blocks(text.as_py() for text in batch.column("_text")):
                 parts = _tokens(block)
                 tokens += len(parts[0])
-                take_steps(own, touched, *parts, squares)
+                take_steps(own, table, touched, squares, *parts)
         if not tokens:
             return
         out = [(-1, np.ones(1, bool), (own.bias - known.bias)[None, :])]
-        for number, (table, seen, was) in enumerate(zip(own.weights, touched, known.weights)):
-            for at in range(0, len(table), MESSAGE_ROWS):
+        for number, (now, seen, was) in enumerate(zip(own.weights, np.split(touched, ends), known.weights)):
+            for at in range(0, len(now), MESSAGE_ROWS):
                 part = slice(at, at + MESSAGE_ROWS)
                 if seen[part].any():
-                    out.append((number << 32 | at, seen[part], (table[part] - was[part])[seen[part]]))
+                    out.append((number << 32 | at, seen[part], (now[part] - was[part])[seen[part]]))
         yield pa.RecordBatch.from_pydict({
             "message": pa.array([o[0] for o in out], pa.int64()),
             "seen": pa.array([R.to_bits(o[1]) for o in out], pa.binary()),
@@ -373,24 +423,24 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", run_b
         known = sent.value
         ids, has_id, texts, train = _texts(rows)
         found = R.answers_of(answers, 0)
-        parts = [(b, *_tokens(b)) for b in R.blocks(texts)]
+        # of the texts, only their number in each block is needed further
+        parts = [(b.first, len(b.texts), *_tokens(b)) for b in R.blocks(texts)]
+        del texts
         if not parts:
             return None
-        keys = np.unique(np.concatenate([p[2] for p in parts]))
-        total = np.zeros(len(keys), np.int64)
-        for part, at in R.parts_of(keys, bits):
-            total[at] = R.from_planes(found[part], at.stop - at.start, 6).astype(np.int64)
-        n, n_known = np.zeros(len(texts), np.int64), np.zeros(len(texts), np.int64)
-        base, full, alone = np.zeros(len(texts)), np.zeros(len(texts)), np.zeros(len(texts))
+        total = _counts_of(np.concatenate([p[3] for p in parts]), found, bits, lambda data, n: R.from_planes(data, n, 6))
+        n, n_known = np.zeros(len(ids), np.int64), np.zeros(len(ids), np.int64)
+        base, full, alone = np.zeros(len(ids)), np.zeros(len(ids)), np.zeros(len(ids))
         one = np.ones(CLASSES, np.float32)
         room, spare = np.empty((BATCH, CLASSES), np.float32), np.empty((BATCH, CLASSES), np.float32)
         inner = known.mass + SMOOTHING * (known.size + 1)
-        ngrams = [_counts_of(np.concatenate([_ngrams(p[1], p[2])[i] for p in parts]), R.answers_of(answers, 5 + i), bits)
-                  for i in (0, 1)]
+        ngrams = [_counts_of(np.concatenate([_ngrams(p[2], p[3], i) for p in parts]), R.answers_of(answers, 4 + i), bits)
+                  for i in (1, 2)]
         # as many texts begin as end
         begun, token = int(known.mass[WORD_CLASSES]), 0
-        for block, owner, names, letters in parts:
-            count = total[np.searchsorted(keys, names)]
+        for first, size, owner, names, letters in parts:
+            count, pairs, triples = (x[token: token + len(names)].astype(np.int64) for x in (total, *ngrams))
+            token += len(names)
             classes, features = known.classes(names, letters), _features(owner, names)
             chance = np.empty(len(names))
             for at in range(0, len(names), BATCH):
@@ -402,16 +452,14 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", run_b
                 np.exp(z, out=z)
                 chance[at: at + BATCH] = own - np.log(z @ one)
             inside = np.where(classes <= WORD_CLASSES, 1.0, (count + SMOOTHING) / inner[classes])
-            pairs, triples = (x[token: token + len(names)] for x in ngrams)
-            token += len(names)
-            own = train[owner + block.first].astype(np.int64)
+            own = train[owner + first].astype(np.int64)
             p = np.exp(chance) * inside
             out = p
             for times, before, lower in ((pairs, count, LOWER[0]), (triples, pairs, LOWER[1])):
                 every = _before(owner, before, 1, begun)
                 p = (times + lower * p) / (every + lower)
                 out = (times - own + lower * out) / (every - own + lower)
-            size, here = len(block.texts), slice(block.first, block.first + len(block.texts))
+            here = slice(first, first + size)
             n[here] = np.bincount(owner, minlength=size)
             n_known[here] = np.bincount(owner, weights=count > 0, minlength=size)
             base[here] = np.bincount(owner, np.log10((count + 0.1) / (tokens + 0.1 * (distinct + 1))), minlength=size)

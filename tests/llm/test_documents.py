@@ -4,13 +4,14 @@ import collections
 import hashlib
 import math
 import re
+import sys
 import zlib
 
 import numpy as np
 import xxhash
 from pyspark.sql import functions as F
 
-from pressmill.llm import langid, lm, mixing, packing, pii, simhash
+from pressmill.llm import langid, lm, mixing, packing, pii, runs as R, simhash
 from pressmill.llm.common import held_out, learned
 
 
@@ -95,6 +96,63 @@ def test_words_before_tell_of_words_of_one_class(spark):
     assert abs(np.mean(learned_from) - np.mean([scores[i] for i in held[1::2]])) < 3
 
 
+def test_words_are_counted_by_plain_sorts():
+    rng = np.random.default_rng(6)
+    names = np.sort(rng.integers(0, 1 << 62, 500).astype(np.uint64) << np.uint64(1))
+    counts = rng.integers(1, 300, len(names))
+    found = {part: lm._packed(counts[at].astype(np.uint64)) for part, at in R.parts_of(names, 3)}
+    picked = np.concatenate((np.arange(len(names)), rng.integers(0, len(names), 5_000)))
+    calls = collections.Counter()
+
+    def watch(frame, event, arg):
+        if event == "c_call":
+            calls[arg.__name__] += 1
+
+    sys.setprofile(watch)
+    try:
+        got = lm._counts_of(names[picked], found, 3)
+    finally:
+        sys.setprofile(None)
+    assert (got == counts[picked]).all()
+    assert calls["sort"] and not calls["argsort"]
+
+
+def test_sorting():
+    rng = np.random.default_rng(7)
+    far = rng.integers(0, 1 << 63, 3_000).astype(np.uint64)
+    near = np.uint64(1 << 63) + rng.integers(0, 40, 500).astype(np.uint64)  # differ in their last bits only
+    top = np.uint64(2**64 - 1) - rng.integers(0, 5_000, 5_000).astype(np.uint64)
+    for keys in (far, rng.permutation(np.concatenate((far, far, near))), top, far >> np.uint64(40), far[:1], far[:0],
+                 np.zeros(9, np.uint64), np.array([2**64 - 1, 0, 2**64 - 1, 2**64 - 2], np.uint64)):
+        order, found = R.sorting(keys)
+        assert (order == np.argsort(keys, kind="stable")).all() and (found == np.sort(keys)).all()
+
+
+def test_gradients_are_summed_by_stretches():
+    rng = np.random.default_rng(8)
+    rows = rng.standard_normal((3_000, lm.CLASSES)).astype(np.float32)
+    sizes = [1, 8, 9, 1, lm.STEPS - 1, lm.STEPS, lm.STEPS + 1, 400, 2, 1, 10]
+    heads, order = np.cumsum([0, *sizes[:-1]]), rng.integers(0, len(rows), sum(sizes))
+    for number in (len(sizes), 1):
+        heads, order = heads[:number], order[: sum(sizes[:number])]
+        total, by = lm.segment_sums(rows, order, heads)
+        assert sorted(by.tolist()) == list(range(number))
+        for sums, i in zip(total, by.tolist()):
+            own = rows[order[heads[i]: heads[i] + sizes[i]]]
+            want = sum(own[1:8], own[0].copy())
+            if sizes[i] > 8:
+                want += own[8:].sum(axis=0)
+            assert (sums == want).all()
+
+
+def test_names_of_words_do_not_depend_on_the_spaces_around_them():
+    plain, spaced = R.Block(3, [b"ab c", b"", b"ab", b"d"]), R.Block(3, [b" \t AB  c\n", b"\x0b", b"\r\rAb", b"D" + b" " * 300])
+    (doc, one, two), (doc_, one_, two_) = R.word_names(plain), R.word_names(spaced, lower=True)
+    assert doc.tolist() == doc_.tolist() == [3, 3, 5, 6]
+    assert (one == one_).all() and (two == two_).all() and len(set(one.tolist())) == 3
+    assert R.last_letters(plain).tolist() == R.last_letters(spaced, lower=True).tolist() == [256 * 98 + 97, 256 * 99, 256 * 98 + 97, 256 * 100]
+
+
 # -- packing -------------------------------------------------------------------
 
 def test_packing(docs, documents, no_docs):
